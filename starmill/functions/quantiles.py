@@ -17,11 +17,22 @@ SKETCH_ACCURACY = 10_000
 
 @dataclass
 class _Search:
-    """An order statistic: the value with ``rank`` values before it, somewhere in [low, high]."""
+    """An order statistic: the value with ``rank`` values before it, somewhere in [low, high].
 
+    ``size`` rows lie in the interval, ``start`` below it.
+    """
+
+    column: str
     rank: int
     low: float
     high: float
+    size: int
+    start: int = 0
+
+    @property
+    def place(self) -> int:
+        """Rank inside the interval."""
+        return self.rank - self.start
 
     @property
     def found(self) -> bool:
@@ -57,9 +68,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 
     large = [c for c in columns if counts[c] > buffer_rows]
     if large:
-        searches = {c: {r: _Search(r, *ranges[c][1:])
+        searches = {c: {r: _Search(c, r, *ranges[c][1:], counts[c])
                         for p in probabilities for r in _ranks(p, counts[c])} for c in large}
-        _narrow(values, searches, counts, buffer_rows, accuracy)
+        _narrow(values, [s for by_rank in searches.values() for s in by_rank.values()], buffer_rows, accuracy)
         for c in large:
             out[c] = [_interpolate(p, counts[c], searches[c]) for p in probabilities]
     return out
@@ -81,62 +92,62 @@ def _interpolate(p: float, n: int, found: dict[int, _Search]) -> float:
     return below + (above - below) * (p * (n - 1) - math.floor(p * (n - 1)))
 
 
-def _narrow(values: DataFrame, searches: dict[str, dict[int, _Search]], counts: dict[str, int],
-            buffer_rows: int, accuracy: int) -> None:
-    """Shrink every search to a single value."""
-    sizes = {(c, r): counts[c] for c, by_rank in searches.items() for r in by_rank}
-    starts = {key: 0 for key in sizes}
-    while True:
-        still = [(c, s) for c, by_rank in searches.items() for s in by_rank.values() if not s.found]
-        if not still:
-            return
-        hits = [s.inside(F.col(c)) for c, s in still]
-        scan = values.filter(_any(hits))
-        # The sketch names values around each rank; the rank inside the interval is known exactly.
-        asks = []
-        for i, (c, s) in enumerate(still):
-            size, place = sizes[c, s.rank], s.rank - starts[c, s.rank]
-            inside = F.when(hits[i], F.col(c))
-            if size <= buffer_rows:
-                shares = [place / (size - 1)] if size > 1 else [0.0]
-                asks.append(F.percentile(inside, F.array(*map(F.lit, shares))).alias(f"q{i}"))
-            else:
-                slack = 2.0 / accuracy
-                shares = [max(0.0, place / size - slack), min(1.0, (place + 1) / size + slack)]
-                asks.append(F.percentile_approx(inside, F.array(*map(F.lit, shares)), accuracy).alias(f"q{i}"))
-        row = scan.agg(*asks).first()
-        proposals = []
-        for i, (c, s) in enumerate(still):
-            if sizes[c, s.rank] <= buffer_rows:
-                s.low = s.high = row[f"q{i}"][0]
-            else:
-                proposals.append((c, s, *row[f"q{i}"]))
+def _narrow(values: DataFrame, searches: list[_Search], buffer_rows: int, accuracy: int) -> None:
+    """Shrink every search to a single value, all of them in the same passes."""
+    while searches := [s for s in searches if not s.found]:
+        proposals = _propose(values, searches, buffer_rows, accuracy)
         if proposals:
-            _verify(values, proposals, sizes, starts)
+            _verify(values, proposals)
+
+
+def _propose(values: DataFrame, searches: list[_Search], buffer_rows: int, accuracy: int) -> list:
+    """Settle the searches whose interval fits the buffer; name a smaller interval for the others."""
+    # Searches in the same interval share one column and one sketch.
+    shared: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        shared.setdefault((s.column, s.low, s.high), []).append(s)
+    groups = list(shared.values())
+    hits = [g[0].inside(F.col(g[0].column)) for g in groups]
+    scan = values.filter(_any(hits)).select(*[
+        F.when(hit, F.col(g[0].column)).alias(f"v{i}") for i, (g, hit) in enumerate(zip(groups, hits))])
+    asks = []
+    for i, g in enumerate(groups):
+        if g[0].size <= buffer_rows:
+            # Half a place above the wanted one, so that rounding cannot reach a neighbour.
+            asks += [F.expr(f"percentile_disc({(s.place + 0.5) / s.size!r}D) WITHIN GROUP (ORDER BY v{i})") for s in g]
+        else:
+            slack = 2.0 / accuracy
+            shares = [share for s in g for share in (max(0.0, s.place / s.size - slack),
+                                                     min(1.0, (s.place + 1) / s.size + slack))]
+            asks.append(F.percentile_approx(f"v{i}", F.array(*map(F.lit, shares)), accuracy))
+    row, proposals = list(scan.agg(*[a.alias(f"a{i}") for i, a in enumerate(asks)]).first()), []
+    for g in groups:
+        if g[0].size <= buffer_rows:
+            for s in g:
+                s.low = s.high = row.pop(0)
+        else:
+            bounds = row.pop(0)
+            proposals += [(s, bounds[2 * j], bounds[2 * j + 1]) for j, s in enumerate(g)]
+    return proposals
 
 
-def _verify(values: DataFrame, proposals: list, sizes: dict, starts: dict) -> None:
+def _verify(values: DataFrame, proposals: list) -> None:
     """Count what lies below and inside each proposed interval and keep the part that has the rank."""
-    scan = values.filter(_any([s.inside(F.col(c)) for c, s, _, _ in proposals]))
-    counters = []
-    for i, (c, s, low, high) in enumerate(proposals):
-        inside = s.inside(F.col(c))
-        counters += [F.count_if(inside & (F.col(c) < low)).alias(f"b{i}"),
-                     F.count_if(inside & (F.col(c) <= high)).alias(f"u{i}"),
-                     F.max(F.when(inside & (F.col(c) < low), F.col(c))).alias(f"p{i}"),
-                     F.min(F.when(inside & (F.col(c) > high), F.col(c))).alias(f"s{i}")]
-    row = scan.agg(*counters).first()
-    for i, (c, s, low, high) in enumerate(proposals):
-        place, start = s.rank - starts[c, s.rank], starts[c, s.rank]
-        below, upto = row[f"b{i}"], row[f"u{i}"]
-        if place < below:
-            s.high, sizes[c, s.rank] = row[f"p{i}"], below
-        elif place >= upto:
-            s.low, starts[c, s.rank] = row[f"s{i}"], start + upto
-            sizes[c, s.rank] -= upto
+    scan, counters = values.filter(_any([s.inside(F.col(s.column)) for s, _, _ in proposals])), []
+    for s, low, high in proposals:
+        value = F.col(s.column)
+        inside = s.inside(value)
+        counters += [F.count_if(inside & (value < low)), F.count_if(inside & (value <= high)),
+                     F.max(F.when(inside & (value < low), value)), F.min(F.when(inside & (value > high), value))]
+    row = scan.agg(*[c.alias(f"c{i}") for i, c in enumerate(counters)]).first()
+    for i, (s, low, high) in enumerate(proposals):
+        below, upto, before, after = row[4 * i:4 * i + 4]
+        if s.place < below:
+            s.high, s.size = before, below
+        elif s.place >= upto:
+            s.low, s.start, s.size = after, s.start + upto, s.size - upto
         else:
-            s.low, s.high = low, high
-            starts[c, s.rank], sizes[c, s.rank] = start + below, upto - below
+            s.low, s.high, s.start, s.size = low, high, s.start + below, upto - below
 
 
 def _any(tests: list[Column]) -> Column:

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmill import fixed
 from starmill.operators.dedup import latest_per_key
+from starmill.operators.spread import spread_join
 
 
 @dataclass(frozen=True)
@@ -19,7 +21,9 @@ class Lookup:
     columns, which also renames an attribute that would clash. ``then`` holds lookups that start from
     this table: they are joined to it first, so a large base is shuffled once per lookup of its own
     and not once per level of the snowflake. ``unique`` states that the key is unique in the data;
-    without it the newest row per key is taken, so a lookup never multiplies rows.
+    without it the newest row per key is taken, so a lookup never multiplies rows. ``small`` states
+    that the table is far below the broadcast size by its nature (countries, categories), so there is
+    nothing to spread; it does not force a broadcast.
     """
 
     table: DataFrame
@@ -27,7 +31,8 @@ class Lookup:
     take: Mapping[str, str]
     then: Sequence["Lookup"] = ()
     unique: bool = False
-    order_by: Sequence[str] = ("last_update",)
+    small: bool = False
+    order_by: Sequence[str] = (fixed.CHANGE_COLUMN,)
 
     def rows(self) -> DataFrame:
         """Key columns under the names of the base, and the taken columns."""
@@ -39,26 +44,31 @@ class Lookup:
         if not self.unique:
             table = latest_per_key(table, list(self.on.values()), order)
         # A row without a key cannot match anything.
-        table = table.dropna(subset=list(self.on.values()))
-        return flatten(table, self.then).select(
+        for key in self.on.values():
+            table = table.filter(F.col(key).isNotNull())
+        return flatten(table, self.then, list(self.on.values())).select(
             *[F.col(key).alias(base) for base, key in self.on.items()],
             *[F.col(src).alias(out) for out, src in self.take.items()],
         )
 
 
-def flatten(base: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+def flatten(base: DataFrame, lookups: Sequence[Lookup], spread_by: Sequence[str]) -> DataFrame:
     """``base`` with the taken columns of every lookup, one output row per base row.
 
     No join strategy is forced: Spark broadcasts a side whose size it knows to be small (from the
-    files, or from the finished shuffle at run time) and otherwise sorts and merges, splitting hot
-    partitions of the base.
+    files, or from the finished shuffle at run time) and otherwise sorts and merges. Then rows of the
+    base that lack the key are spread by ``spread_by``, best the key of the base, and hot keys are
+    split (``spread_join``).
     """
     for look in lookups:
-        keys = list(look.on)
+        keys, rows = list(look.on), look.rows()
         clash = set(base.columns) & set(look.take) - set(keys)
         if clash:
             raise ValueError(f"lookup columns already exist: {sorted(clash)}; rename them in take")
-        base = base.join(look.rows(), on=keys, how="left")
+        if look.small:
+            base = base.join(rows, on=keys, how="left")
+        else:
+            base = spread_join(base, rows, keys, "left", spread_by)
     return base
 
 

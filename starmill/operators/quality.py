@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import is_blank, lacks_at_sign
+from starmill.operators.spread import spread_join
 
-REPORT_SCHEMA = "table string, check string, column string, violations bigint, status string"
+_HASH = "__hash"
 
 
 @dataclass(frozen=True)
@@ -61,8 +62,17 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of their kind; NULLs are equal. Copies are counted before the shuffle."""
-    return duplicate_keys(df, df.columns)
+    """Rows beyond the first of their kind; NULLs are equal.
+
+    Wide rows (with texts or arrays) are counted by their hash first. Copies have equal hashes, so a
+    row whose hash occurs once is no copy and only the others are compared in full: as long as
+    copies are rare, a number per row goes through the shuffle and not the row.
+    """
+    if not any(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)) for f in df.schema.fields):
+        return duplicate_keys(df, df.columns)
+    hashed = df.withColumn(_HASH, F.xxhash64(*df.columns))
+    repeated = hashed.groupBy(_HASH).agg(F.count("*").alias("n")).filter("n > 1").select(_HASH)
+    return duplicate_keys(hashed.join(repeated, _HASH, "left_semi"), df.columns)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -132,17 +142,20 @@ def quality_report(tables: Mapping[str, TableChecks], *, only_failed: bool = Fal
 def orphan_rows(child: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None,
                 *, ignore_null: bool = False) -> DataFrame:
     """Rows of ``child`` whose key is not in ``parent``; a NULL key counts unless ignored."""
-    keys = parent.select(F.col(parent_column or column).alias(column)).dropna().distinct()
-    rows = child.dropna(subset=[column]) if ignore_null else child
-    return rows.join(keys, on=column, how="left_anti").select(*child.columns)
+    key = F.col(parent_column or column)
+    keys = parent.filter(key.isNotNull()).select(key.alias(column)).distinct()
+    rows = child.filter(F.col(column).isNotNull()) if ignore_null else child
+    return spread_join(rows, keys, [column], "left_anti", child.columns).select(*child.columns)
 
 
 def orphan_count(child: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None,
                  *, ignore_null: bool = False) -> DataFrame:
     """Number of orphan rows. The child is counted per key before the join, so a hot or NULL key
     enters it as one row per task and the join sees distinct keys only."""
-    per_key = child.groupBy(column).agg(F.count("*").alias("n"))
-    orphans = orphan_rows(per_key, parent, column, parent_column, ignore_null=ignore_null)
+    rows = child.filter(F.col(column).isNotNull()) if ignore_null else child
+    per_key = rows.groupBy(column).agg(F.count("*").alias("n"))
+    keys = parent.select(F.col(parent_column or column).alias(column)).distinct()
+    orphans = per_key.join(keys, column, "left_anti")
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
 
 

@@ -21,12 +21,15 @@ def dimension(base: DataFrame, key: str | Sequence[str], lookups: Sequence[Looku
               *, order_by: Sequence[str] = (fixed.CHANGE_COLUMN,), unique: bool = False) -> DataFrame:
     """Flattened table with one row per key.
 
-    Rows are reduced on the narrow base, before the lookups: these keep the number of rows, so the
-    result is the same and the wide rows need no shuffle of their own.
+    Rows are reduced on the base, narrowed to the columns in use and before the lookups: these keep
+    the number of rows, so the result is the same and the wide rows need no shuffle of their own.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rows = base if unique else latest_per_key(base, keys, order_by)
-    return flatten(rows, lookups).select(*columns)
+    links = [c for look in lookups for c in look.on]
+    used = {*keys, *links, *columns, *order_by}
+    rows = base.select(*[c for c in base.columns if c in used])
+    rows = rows if unique else latest_per_key(rows, keys, order_by)
+    return flatten(rows, lookups, keys).select(*columns)
 
 
 def date_attributes(day: Column) -> dict[str, Column]:
@@ -56,17 +59,21 @@ def date_dimension(df: DataFrame, column: str, *, ordered: bool = True) -> DataF
 
 def fact(base: DataFrame, key: str | Sequence[str], lookups: Sequence[Lookup], columns: Mapping[str, Column | str],
          *, order_by: Sequence[str] = (fixed.CHANGE_COLUMN,)) -> DataFrame:
-    """Fact rows: one per key, keys of the dimensions resolved by left lookups."""
+    """Fact rows: one per key, keys of the dimensions resolved by left lookups.
+
+    ``base`` should hold no more columns than the fact uses: all of them travel with the row and
+    settle ties.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    wide = flatten(latest_per_key(base, keys, order_by), lookups)
+    wide = flatten(latest_per_key(base, keys, order_by), lookups, keys)
     return wide.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
 
 
 # --- the rental star ----------------------------------------------------------------------------
 
 def _place(tables: Tables, city: str, country: str) -> Lookup:
-    return Lookup(tables["city"], {"city_id": "city_id"}, {city: "city", country: country}, then=(
-        Lookup(tables["country"], {"country_id": "country_id"}, {country: "country"}),))
+    return Lookup(tables["city"], {"city_id": "city_id"}, {city: "city", country: country}, small=True, then=(
+        Lookup(tables["country"], {"country_id": "country_id"}, {country: "country"}, small=True),))
 
 
 def dim_customer(tables: Tables) -> DataFrame:
@@ -78,11 +85,11 @@ def dim_customer(tables: Tables) -> DataFrame:
 
 
 def dim_film(tables: Tables) -> DataFrame:
-    language = Lookup(tables["language"], {"language_id": "language_id"}, {"language": "name"})
+    language = Lookup(tables["language"], {"language_id": "language_id"}, {"language": "name"}, small=True)
     category = Lookup(
         first_link(tables["film_category"], "film_id", "category_id"), {"film_id": "film_id"},
         {"category": "category"}, unique=True,
-        then=(Lookup(tables["category"], {"category_id": "category_id"}, {"category": "name"}),))
+        then=(Lookup(tables["category"], {"category_id": "category_id"}, {"category": "name"}, small=True),))
     return dimension(tables["film"], "film_id", [language, category], fixed.DIM_FILM)
 
 
@@ -106,10 +113,12 @@ def fact_payment(tables: Tables) -> DataFrame:
         then=(Lookup(tables["inventory"], {"inventory_id": "inventory_id"},
                      {"film_id": "film_id", "store_id": "store_id"}),))
     staff = Lookup(tables["staff"], {"staff_id": "staff_id"}, {"staff_store_id": "store_id"})
+    payment = tables["payment"].select(
+        "payment_id", "customer_id", "staff_id", "rental_id", "amount", "payment_date", fixed.CHANGE_COLUMN)
     columns = {c: c for c in fixed.FACT_PAYMENT}
     columns["store_id"] = F.coalesce("rented_store_id", "staff_store_id")
     columns["date_id"] = date_id(F.col("payment_date"))
-    return fact(tables["payment"], "payment_id", [rental, staff], columns)
+    return fact(payment, "payment_id", [rental, staff], columns)
 
 
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {

@@ -57,18 +57,24 @@ def load_day(spark: SparkSession, raw: str, run_date: str, sink: Sink, *,
     return clean_tables(tables, sink, "warehouse", specs, workers, **options)
 
 
-def file_warehouse(target: str) -> Sink:
-    """Warehouse on files: appends the keys that are new."""
-    return lambda df, spec: append_new(df, f"{target}/{spec.name}", spec.keys)
+def file_warehouse(target: str, run_date: str) -> Sink:
+    """Warehouse on files: each load is a partition beside the earlier ones, and loading a date again
+    replaces its partition, so no load has to read what is there already."""
+    def sink(df: DataFrame, spec: TableSpec) -> int:
+        dated = df.withColumn("run_date", F.lit(run_date))
+        return replace_partitions(dated, f"{target}/{spec.name}", ["run_date"], rebalance=False)
+
+    return sink
 
 
 def star_sink(target: str) -> Sink:
-    """Star on files: dimensions are replaced, facts get the keys that are new."""
+    """Star on files: dimensions are replaced, facts get the keys that are new. Facts lie by day, and
+    only the days of the new rows are compared."""
     def sink(df: DataFrame, spec: TableSpec) -> int:
         path = f"{target}/{spec.name}"
         if spec.mode == "overwrite":
             return replace_table(df, path)
-        return append_new(df, path, spec.keys, within="date_id")
+        return append_new(df, path, spec.keys, partition_by=["date_id"], within="date_id")
 
     return sink
 

@@ -9,14 +9,15 @@ from starmill.functions.columns import date_id, time_text
 from starmill.operators.lookup import Lookup, first_link
 from starmill.operators.star import BUILDERS, clean_registry, date_dimension, dimension, fact
 from starmill.queries.base import query, table
-from starmill.queries.cleaning import LATEST_LINE, LINE_KEY
+from starmill.queries.cleaning import LINE_KEY
 
 MONEY = "decimal(12,2)"
 
 
 def nation_lookup(spark: SparkSession, root: str, key: str, nation: str = "nation", region: str = "region") -> Lookup:
-    return Lookup(table(spark, root, "nation"), {key: "n_nationkey"}, {nation: "n_name", region: region}, then=(
-        Lookup(table(spark, root, "region"), {"n_regionkey": "r_regionkey"}, {region: "r_name"}),))
+    return Lookup(table(spark, root, "nation"), {key: "n_nationkey"}, {nation: "n_name", region: region},
+                  unique=True, small=True, then=(Lookup(table(spark, root, "region"), {"n_regionkey": "r_regionkey"},
+                                                        {region: "r_name"}, unique=True, small=True),))
 
 
 @query("dim_customer", """SELECT c_custkey, c_name, c_mktsegment, n_name AS nation, r_name AS region FROM customer
@@ -32,7 +33,7 @@ LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS s_suppkey FROM lineitem GROUP BY
 LEFT JOIN supplier s ON b.s_suppkey = s.s_suppkey""")
 def dim_part(spark, root):
     bridge = first_link(table(spark, root, "lineitem"), "l_partkey", "l_suppkey")
-    supplier = Lookup(table(spark, root, "supplier"), {"l_suppkey": "s_suppkey"}, {"first_supplier": "s_name"})
+    supplier = Lookup(table(spark, root, "supplier"), {"l_suppkey": "s_suppkey"}, {"first_supplier": "s_name"}, unique=True)
     by_part = Lookup(bridge, {"p_partkey": "l_partkey"},
                      {"first_suppkey": "l_suppkey", "first_supplier": "first_supplier"}, then=(supplier,), unique=True)
     return dimension(table(spark, root, "part"), "p_partkey", [by_part],
@@ -47,7 +48,7 @@ def dim_supplier(spark, root):
     """Two roles: a contact person under a key of another name, and the place with prefixed names."""
     supplier = table(spark, root, "supplier").withColumn("contact_id", F.col("s_suppkey") * 3)
     contact = Lookup(table(spark, root, "customer"), {"contact_id": "c_custkey"},
-                     {"contact_name": "c_name", "contact_segment": "c_mktsegment"})
+                     {"contact_name": "c_name", "contact_segment": "c_mktsegment"}, unique=True)
     place = nation_lookup(spark, root, "s_nationkey", "supplier_nation", "supplier_region")
     return dimension(supplier, "s_suppkey", [contact, place],
                      ["s_suppkey", "s_name", "contact_name", "contact_segment", "supplier_nation", "supplier_region"])
@@ -72,7 +73,9 @@ sales AS (
     coalesce(c.c_nationkey, s.s_nationkey) AS nation_id,
     CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS date_id, l.l_quantity AS quantity,
     CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS revenue
-  FROM (SELECT *, CASE WHEN l_orderkey % 23 <> 0 THEN l_orderkey END AS order_ref FROM ({LATEST_LINE})) l
+  FROM (SELECT *, CASE WHEN l_orderkey % 23 <> 0 THEN l_orderkey END AS order_ref FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
+      l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount) = 1) l
   LEFT JOIN orders o ON l.order_ref = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey)
@@ -81,13 +84,14 @@ sales AS (
 
 def fact_sales(spark: SparkSession, root: str) -> DataFrame:
     """Sales at line grain. Some order keys are lost on purpose; their nation falls back to the supplier's."""
-    lines = table(spark, root, "lineitem").withColumn(
-        "order_ref", F.when(F.col("l_orderkey") % 23 != 0, F.col("l_orderkey")))
-    customer = Lookup(table(spark, root, "customer"), {"o_custkey": "c_custkey"}, {"customer_nation": "c_nationkey"})
+    lines = table(spark, root, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_discount", F.when(F.col("l_orderkey") % 23 != 0, F.col("l_orderkey")).alias("order_ref"))
+    customer = Lookup(table(spark, root, "customer"), {"o_custkey": "c_custkey"}, {"customer_nation": "c_nationkey"}, unique=True)
     order = Lookup(table(spark, root, "orders"), {"order_ref": "o_orderkey"},
                    {"customer_id": "o_custkey", "o_orderdate": "o_orderdate", "customer_nation": "customer_nation"},
-                   then=(customer,))
-    supplier = Lookup(table(spark, root, "supplier"), {"l_suppkey": "s_suppkey"}, {"supplier_nation": "s_nationkey"})
+                   then=(customer,), unique=True)
+    supplier = Lookup(table(spark, root, "supplier"), {"l_suppkey": "s_suppkey"}, {"supplier_nation": "s_nationkey"}, unique=True)
     return fact(lines, LINE_KEY, [order, supplier], {
         "l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", "customer_id": "customer_id",
         "part_id": "l_partkey", "nation_id": F.coalesce("customer_nation", "supplier_nation"),
