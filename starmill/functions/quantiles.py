@@ -19,7 +19,8 @@ SKETCH_ACCURACY = 10_000
 class _Search:
     """An order statistic: the value with ``rank`` values before it, somewhere in [low, high].
 
-    ``size`` rows lie in the interval, ``start`` below it.
+    ``size`` rows lie in the interval, ``start`` below it. ``stuck`` says that the last step left
+    more than half of the rows inside.
     """
 
     column: str
@@ -28,6 +29,7 @@ class _Search:
     high: float
     size: int
     start: int = 0
+    stuck: bool = False
 
     @property
     def place(self) -> int:
@@ -116,9 +118,7 @@ def _propose(values: DataFrame, searches: list[_Search], buffer_rows: int, accur
             # Half a place above the wanted one, so that rounding cannot reach a neighbour.
             asks += [F.expr(f"percentile_disc({(s.place + 0.5) / s.size!r}D) WITHIN GROUP (ORDER BY v{i})") for s in g]
         else:
-            slack = 2.0 / accuracy
-            shares = [share for s in g for share in (max(0.0, s.place / s.size - slack),
-                                                     min(1.0, (s.place + 1) / s.size + slack))]
+            shares = [share for s in g for share in _around(s, 2.0 / accuracy)]
             asks.append(F.percentile_approx(f"v{i}", F.array(*map(F.lit, shares)), accuracy))
     row, proposals = list(scan.agg(*[a.alias(f"a{i}") for i, a in enumerate(asks)]).first()), []
     for g in groups:
@@ -131,6 +131,14 @@ def _propose(values: DataFrame, searches: list[_Search], buffer_rows: int, accur
     return proposals
 
 
+def _around(s: _Search, slack: float) -> tuple[float, float]:
+    """Shares of the interval that enclose the wanted place. Where heavy values at both ends keep the
+    rows inside, a single value is asked for instead: that value or one side of it goes away."""
+    if s.stuck:
+        return ((s.place + 0.5) / s.size,) * 2
+    return max(0.0, s.place / s.size - slack), min(1.0, (s.place + 1) / s.size + slack)
+
+
 def _verify(values: DataFrame, proposals: list) -> None:
     """Count what lies below and inside each proposed interval and keep the part that has the rank."""
     scan, counters = values.filter(_any([s.inside(F.col(s.column)) for s, _, _ in proposals])), []
@@ -142,12 +150,14 @@ def _verify(values: DataFrame, proposals: list) -> None:
     row = scan.agg(*[c.alias(f"c{i}") for i, c in enumerate(counters)]).first()
     for i, (s, low, high) in enumerate(proposals):
         below, upto, before, after = row[4 * i:4 * i + 4]
+        size, single = s.size, s.stuck
         if s.place < below:
             s.high, s.size = before, below
         elif s.place >= upto:
             s.low, s.start, s.size = after, s.start + upto, s.size - upto
         else:
             s.low, s.high, s.start, s.size = low, high, s.start + below, upto - below
+        s.stuck = not single and s.size > size / 2
 
 
 def _any(tests: list[Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill import fixed
@@ -20,14 +20,15 @@ CATALOG_SCHEMA = "table string, keys array<string>, has_change boolean"
 # --- what to extract and how --------------------------------------------------------------------
 
 def plan_extract(catalog: DataFrame) -> DataFrame:
-    """Strategy per table: by day if it has a change column, else by key, else in full.
+    """Strategy per table: by day if it has a change column, else by its key, else in full.
 
-    An incremental run skips the tables that have neither.
+    Only a key of one column gives a range to read along. An incremental run skips the tables that
+    have neither a key nor a change column.
     """
-    has_key = F.size("keys") > 0
+    keys = F.size("keys")
     return catalog.withColumn(
-        "strategy", F.when(F.col("has_change"), "date").when(has_key, "key").otherwise("full")
-    ).withColumn("in_increment", F.col("has_change") | has_key).orderBy("table")
+        "strategy", F.when(F.col("has_change"), "date").when(keys == 1, "key").otherwise("full")
+    ).withColumn("in_increment", F.col("has_change") | (keys > 0)).orderBy("table")
 
 
 def split_by_change(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -122,16 +123,3 @@ def load_manifest(df: DataFrame, table: str, column: str | None, chunk: int = fi
     days = with_run_date(df, column).groupBy("run_date").agg(F.count("*").alias("rows"))
     return days.select(F.lit(table).alias("table"), "run_date", "rows",
                        F.ceil(F.col("rows") / chunk).cast("bigint").alias("files"))
-
-
-def empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STATE_SCHEMA)
-
-
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
-def needs_bootstrap(state: DataFrame) -> Column:
-    """Aggregate that is true when no mark was ever seeded."""
-    return ~F.coalesce(F.max("bootstrapped"), F.lit(False))

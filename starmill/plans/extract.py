@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Mapping
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,10 +56,9 @@ class Journal:
 
     def save_progress(self, outcome: Outcome, max_pk: int | None) -> None:
         status = "error" if outcome.status == "failed" else "done"
-        row = (outcome.table, status, outcome.rows, max_pk, outcome.error, outcome.seconds,
-               datetime.now(timezone.utc).replace(tzinfo=None))
-        entry = self.spark.createDataFrame([row], inc.LEDGER_SCHEMA.replace("saved_at timestamp", "saved_at timestamp_ntz"))
-        write_files(entry.withColumn("saved_at", F.col("saved_at").cast("timestamp")).coalesce(1), f"{self.path}/ledger")
+        row = (outcome.table, status, outcome.rows, max_pk, outcome.error, outcome.seconds)
+        entry = self.spark.createDataFrame([row], inc.LEDGER_SCHEMA.removesuffix(", saved_at timestamp"))
+        write_files(entry.withColumn("saved_at", F.current_timestamp()).coalesce(1), f"{self.path}/ledger")
 
 
 def extract_history(source: Source, target: str, journal: Journal, *, fmt: str = "csv",
@@ -105,8 +104,10 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
     """Write what is new since the last run.
 
     The first run only seeds the marks, unless ``from_zero``. Tables with a change column give the
-    days since the last one that was loaded, through ``run_date``; the others the keys above their
-    mark, which moves after a good write. Tables with neither are skipped.
+    days since the last one that was loaded, through ``run_date``; those with one key column the keys
+    above their mark, which moves after a good write. A key of several columns has no mark that all
+    new rows lie above, so such tables come in full and are reduced by key when cleaned. Tables with
+    neither are skipped.
     """
     plan = inc.plan_extract(source.catalog()).collect()
     keyed = {r["table"]: r["keys"][0] for r in plan if r["strategy"] == "key"}
@@ -123,8 +124,10 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
     outcomes = []
     for row in plan:
         table, path = row["table"], f"{target.rstrip('/')}/{row['table']}"
-        if row["strategy"] == "full":
+        if not row["in_increment"]:
             outcomes.append(Outcome(table, "skipped", 0, "no key and no change column"))
+        elif row["strategy"] == "full":
+            outcomes.append(attempt(table, lambda: write_increment(source.read(table), path, run_date, run_id, fmt=fmt)))
         elif row["strategy"] == "date":
             first = _next_day(last_day.get(table), run_date)
             new = inc.day_window(source.read(table), fixed.CHANGE_COLUMN, first, run_date)

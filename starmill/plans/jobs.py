@@ -27,10 +27,11 @@ def clean_tables(tables: Mapping[str, DataFrame], sink: Sink, profile: str,
     return finish(run_tables({name: load(name, df) for name, df in tables.items()}, workers))
 
 
-def clean_day(spark: SparkSession, raw: str, target: str, run_date: str, *, fmt: str = "parquet",
-              specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
+def clean_day(spark: SparkSession, raw: str, target: str, run_date: str, *, layout: str = "zone",
+              fmt: str = "parquet", specs: Mapping[str, TableSpec] | None = None, workers: int = 4,
+              **options) -> list[Outcome]:
     """Clean the raw files of one run date; running it again replaces that date only."""
-    tables = read_registry(spark, f"{raw.rstrip('/')}/{run_date}", layout="day")
+    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs)
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
         dated = df.withColumn("run_date", F.lit(run_date))
@@ -39,10 +40,10 @@ def clean_day(spark: SparkSession, raw: str, target: str, run_date: str, *, fmt:
     return clean_tables(tables, sink, "incremental", specs, workers, **options)
 
 
-def clean_history(spark: SparkSession, raw: str, target: str, *, fmt: str = "parquet",
+def clean_history(spark: SparkSession, raw: str, target: str, *, layout: str = "zone", fmt: str = "parquet",
                   specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
     """Clean all chunks of all dates as one table each, one row per key."""
-    tables = read_registry(spark, raw, layout="zone")
+    tables = read_registry(spark, raw, layout=layout, specs=specs)
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
         return replace_table(df, f"{target}/{spec.name}", fmt=fmt)
@@ -50,10 +51,10 @@ def clean_history(spark: SparkSession, raw: str, target: str, *, fmt: str = "par
     return clean_tables(tables, sink, "historical", specs, workers, **options)
 
 
-def load_day(spark: SparkSession, raw: str, run_date: str, sink: Sink, *,
+def load_day(spark: SparkSession, raw: str, run_date: str, sink: Sink, *, layout: str = "zone",
              specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
     """Clean the raw files of one run date and append them to a warehouse through ``sink``."""
-    tables = read_registry(spark, f"{raw.rstrip('/')}/{run_date}", layout="day")
+    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs)
     return clean_tables(tables, sink, "warehouse", specs, workers, **options)
 
 
@@ -88,6 +89,7 @@ def load_star(tables: Mapping[str, DataFrame], sink: Sink, *, workers: int = 4,
     return finish([*run_tables(loads, workers), *skipped])
 
 
-def star_day(spark: SparkSession, raw: str, target: str, run_date: str, **options) -> list[Outcome]:
-    """Star of the raw files of one run date."""
-    return load_star(read_registry(spark, f"{raw.rstrip('/')}/{run_date}", layout="day"), star_sink(target), **options)
+def star_day(spark: SparkSession, raw: str, target: str, run_date: str | None, *, layout: str = "zone",
+             **options) -> list[Outcome]:
+    """Star of the raw files of one run date, or of all."""
+    return load_star(read_registry(spark, raw, run_date, layout=layout), star_sink(target), **options)

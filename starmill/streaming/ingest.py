@@ -17,9 +17,10 @@ from starmill.specs import TableSpec
 BATCH = "batch_id"
 
 
-def csv_stream(spark: SparkSession, root: str, table: str, schema: T.StructType | str, *, layout: str = "zone",
+def csv_stream(spark: SparkSession, root: str, table: str, schema: T.StructType | str, *,
                max_files: int | None = None, multi_line: bool = True) -> DataFrame:
-    """Stream over the raw files of a table, with run date and file from the path.
+    """Stream over the raw files ``root/<run date>/<table>/<file>.csv``, with run date and file from
+    the path.
 
     A folder that is no date gives a NULL run date, which the sinks keep in its own partition.
     """
@@ -27,7 +28,7 @@ def csv_stream(spark: SparkSession, root: str, table: str, schema: T.StructType
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     path = F.col("_metadata.file_path")
-    return reader.csv(table_glob(root, table, layout=layout)).select(
+    return reader.csv(table_glob(root, table)).select(
         "*", F.lit(table).alias("table"), valid_day(path_part(path, -3)).alias("run_date"), path.alias("file"))
 
 
