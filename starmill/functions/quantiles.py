@@ -79,8 +79,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 
 
 def number(col: Column) -> Column:
-    """The column as double, NaN as NULL."""
-    value = col.cast("double")
+    """The column as double; NaN, and a text that is no number, as NULL."""
+    value = col.try_cast("double")
     return F.when(~F.isnan(value), value)
 
 

@@ -37,16 +37,21 @@ def email(column: str) -> Check:
     return Check("email", column, lacks_at_sign(F.col(column)))
 
 
+def _sign(column: str) -> Column:
+    """The column as a number; raw tables hold it as text, and a text that is none has no sign."""
+    return F.col(column).try_cast("double")
+
+
 def negative(column: str) -> Check:
-    return Check("negative", column, F.col(column) < 0)
+    return Check("negative", column, _sign(column) < 0)
 
 
 def zero(column: str) -> Check:
-    return Check("zero", column, F.col(column) == 0)
+    return Check("zero", column, _sign(column) == 0)
 
 
 def not_positive(column: str) -> Check:
-    return Check("not_positive", column, F.col(column) <= 0)
+    return Check("not_positive", column, _sign(column) <= 0)
 
 
 def standard_checks(df: DataFrame) -> list[Check]:

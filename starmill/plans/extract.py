@@ -6,10 +6,12 @@ import time
 import uuid
 from collections.abc import Mapping
 from datetime import datetime, timedelta
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill import fixed
 from starmill.operators import increment as inc
@@ -92,13 +94,26 @@ def _scan(source: Source, table: str, keys: list[str], strategy: str) -> tuple[D
     if strategy == "date":
         days = inc.day_counts(source.read(table), fixed.CHANGE_COLUMN).collect()
         counts = {str(r["day"]) if r["day"] else None: r["rows"] for r in days}
-        return source.read_by_day(table, fixed.CHANGE_COLUMN, counts), None
+        return source.read_by_day(table, fixed.CHANGE_COLUMN, counts, _number_key(source.read(table), keys)), None
     if strategy == "key":
         rows, low, top = inc.key_range(source.read(table), keys[0]).first()
         return source.read_by_key(table, keys[0], rows, low, top).filter(F.col(keys[0]) <= F.lit(top)), top
     return source.read(table), None
 
 
+def _number_key(df: DataFrame, keys: list[str]) -> str | None:
+    """The key, if its numbers can cut a heavy day into parts."""
+    return next((k for k in keys[:1] if isinstance(df.schema[k].dataType, T.IntegralType)), None)
+
+
+def history_manifest(source: Source, chunk: int = fixed.CHUNK_ROWS) -> DataFrame:
+    """Dry run of ``extract_history``: rows and files per table and run date; nothing is written."""
+    plan = inc.plan_extract(source.catalog()).collect()
+    parts = [inc.load_manifest(source.read(r["table"]), r["table"],
+                               fixed.CHANGE_COLUMN if r["strategy"] == "date" else None, chunk) for r in plan]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def extract_increment(source: Source, target: str, journal: Journal, run_date: str, *, fmt: str = "csv",
                       from_zero: bool = False, run_id: str | None = None) -> list[Outcome]:
     """Write what is new since the last run.

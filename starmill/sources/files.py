@@ -108,5 +108,10 @@ def read_registry(spark: SparkSession, root: str, run_date: str | None = None, *
     return out
 
 
-def read_parquet_registry(spark: SparkSession, root: str, tables: Sequence[str]) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{root.rstrip('/')}/{t}") for t in tables}
+def read_parquet_registry(spark: SparkSession, root: str, tables: Sequence[str],
+                          run_date: str | None = None) -> dict[str, DataFrame]:
+    """Cleaned tables; with a run date only that partition of each is read."""
+    out = {t: spark.read.parquet(f"{root.rstrip('/')}/{t}") for t in tables}
+    if run_date is None:
+        return out
+    return {t: df.filter(F.col("run_date") == run_date).drop("run_date") for t, df in out.items()}

@@ -40,25 +40,31 @@ def parquet_stream(spark: SparkSession, path: str, schema: T.StructType | str, *
     return reader.parquet(path)
 
 
-def run_available(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None],
+def run_available(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], int],
                   output_mode: str = "append") -> int:
-    """Process everything that is there now, then stop; returns the input rows taken.
+    """Process everything that is there now, then stop; returns the sum of what ``on_batch`` returned,
+    usually the rows it wrote.
 
     A batch that is repeated after a failure has the same id and the same rows, so ``on_batch`` must
     replace what that id wrote before.
     """
-    query = (stream.writeStream.foreachBatch(on_batch).outputMode(output_mode)
+    done: dict[int, int] = {}
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        done[batch_id] = on_batch(df, batch_id)
+
+    query = (stream.writeStream.foreachBatch(batch).outputMode(output_mode)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return sum(done.values())
 
 
 def batch_writer(target: str, partition_by: Sequence[str] = (), change: Callable[[DataFrame], DataFrame] | None = None,
-                 ) -> Callable[[DataFrame, int], None]:
+                 ) -> Callable[[DataFrame, int], int]:
     """Write each batch into partitions of its own, so repeating it replaces exactly its rows."""
-    def write(df: DataFrame, batch_id: int) -> None:
+    def write(df: DataFrame, batch_id: int) -> int:
         out = (df.transform(change) if change else df).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        replace_partitions(out, target, [*partition_by, BATCH], rebalance=bool(partition_by))
+        return replace_partitions(out, target, [*partition_by, BATCH], rebalance=bool(partition_by))
 
     return write
 

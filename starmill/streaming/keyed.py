@@ -12,7 +12,9 @@ from starmill.streaming.ingest import BATCH, batch_writer, run_available
 
 def first_wins(stream: DataFrame, keys: Sequence[str], time: str, delay: str = "1 day") -> DataFrame:
     """The first row of a key; the state forgets a key ``delay`` after its time, so a copy that comes
-    later than that passes, and a row behind the watermark is taken as such a copy."""
+    later than that passes, and a row behind the watermark is taken as such a copy. All copies of a key
+    meet in one task of the state store; where one key may have a large share of the rows, use
+    ``collect_latest``, which reduces copies before they are shuffled."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starmill.operators import increment as inc
 from starmill.operators.trigger import read_events, trigger_counts
-from starmill.plans.extract import Journal, extract_history, extract_increment
+from starmill.plans.extract import Journal, extract_history, extract_increment, history_manifest
 from starmill.sinks.report import LoadFailed
 from starmill.sources.catalog import FrameSource, has_column, list_tables, spark_tables
 from starmill.sources.files import discover_files, read_csv, table_glob, table_names
@@ -67,6 +67,11 @@ def test_manifest(spark):
     assert rows(inc.load_manifest(film, "film", "absent", 2)) == [("film", "no-date", 5, 3)]
 
 
+def test_dry_run_writes_nothing(spark):
+    out = rows(history_manifest(source(spark), chunk=2).select("table", "run_date", "rows", "files"))
+    assert ("film", "2024-01-01", 1, 1) in out and ("rental", "no-date", 3, 2) in out and len(out) == 6
+
+
 def test_history_then_increments(spark, tmp_path):
     target, journal = str(tmp_path / "raw"), Journal(spark, str(tmp_path / "journal"))
     out = {o.table: (o.status, o.rows) for o in extract_history(source(spark), target, journal, chunk=2)}

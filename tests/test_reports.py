@@ -136,7 +136,7 @@ def test_value_counts_and_sums(spark):
 
 
 @pytest.mark.parametrize("values, bins", [
-    ([0.0, 1.0, 2.0, 3.0, 10.0, None], 5), ([5.0, 5.0], 4), ([0.1 * i for i in range(31)], 3), ([1, 2, 3, 7], 10)])
+    ([0.0, 1.0, 2.0, 3.0, 10.0, None], 5), ([5.0, 5.0], 4), ([0.1 * i for i in range(31)], 3), ([1.0, 2.0, 3.0, 7.0], 10)])
 def test_histogram_like_numpy(spark, values, bins):
     out = profile.histogram(spark.createDataFrame([(v,) for v in values], "x double"), "x", bins).orderBy("bin").collect()
     counts, edges = np.histogram([v for v in values if v is not None], bins)

@@ -9,7 +9,7 @@ from starmill.plans import jobs
 from starmill.session import work_folder
 from starmill.sinks import files, jdbc
 from starmill.sinks.report import LoadFailed, Outcome, attempt, finish, report, run_tables
-from starmill.sources.files import discover_files, read_csv, read_registry, table_names, union_chunks
+from starmill.sources.files import discover_files, read_csv, read_parquet_registry, read_registry, table_names, union_chunks
 from starmill.specs import STAR_SPECS
 
 
@@ -135,7 +135,7 @@ RAW = {
     "rental": "rental_id,inventory_id,customer_id\n1,1,1\n",
     "inventory": "inventory_id,film_id,store_id\n1,7,2\n",
     "staff": "staff_id,first_name,last_name,store_id\n1,Mike,H,1\n",
-    "extra": "code,value,seen_date\nx,1,2024-01-01\ny,,bad\n",
+    "extra": "code,value,note,seen_date\nx,1,a,2024-01-01\ny,,b,bad\nz,,,\n",
 }
 
 
@@ -153,6 +153,8 @@ def test_clean_day_is_repeatable(spark, zone):
     for _ in range(2):
         out = {o.table: (o.status, o.rows) for o in jobs.clean_day(spark, str(zone / "raw"), target, "2024-06-14")}
     assert out["customer"] == ("written", 2) and set(out) == set(RAW)
+    day = read_parquet_registry(spark, target, ["customer"], "2024-06-14")["customer"]
+    assert day.count() == 2 and "run_date" not in day.columns
     country = spark.read.parquet(f"{target}/country")
     assert rows(country.select("country_id", "country")) == [(1, "Chad"), (2, "Peru, Rep.")]
     extra = spark.read.parquet(f"{target}/extra").orderBy("code").collect()
@@ -201,3 +203,18 @@ def test_own_layout_can_be_read_back(spark, zone):
     day = read_registry(spark, str(zone / "own"), "2024-01-01", layout="hive", views=True)
     assert day["film"].columns == ["film_id", "title", "last_update"] and spark.table("film").count() == 1
     assert read_registry(spark, str(zone / "inc"), "2024-01-05", layout="hive")["film"].count() == 1
+
+
+def test_command_line(spark, zone, capsys):
+    from starmill.__main__ import parser, run
+
+    def call(*words):
+        return run(spark, parser().parse_args(list(words)))
+
+    raw, day = str(zone / "raw"), ["--run-date", "2024-06-14"]
+    assert {o.status for o in call("clean-day", "--raw", raw, "--target", str(zone / "c"), *day)} == {"written"}
+    assert {o.table for o in call("load-day", "--raw", raw, "--target", str(zone / "w"), *day)} == set(RAW)
+    assert any(o.table == "fact_payment" and o.rows == 2 for o in call("star-day", "--raw", raw, "--target", str(zone / "s"), *day))
+    found = {(r["table"], r["check"]): r["violations"] for r in call("quality", "--raw", raw, *day).collect()}
+    assert found["customer", "duplicate_rows"] == 1 and found["payment", "orphan"] == 0
+    assert call("profile", "--raw", raw, *day, "--table", "payment", "--column", "amount").first()["count"] == 2
