@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 
 from starmill.streaming.ingest import BATCH, batch_writer, run_available
 
+_MOVED = "__local_time"
+
 
 def daily_windows(stream: DataFrame, time: str, measures: Mapping[str, Column], by: Sequence[str] = (),
                   delay: str = "1 day") -> DataFrame:
-    """Tumbling one-day windows; a day comes out once, when the watermark has passed its end. Rows
-    that are later than ``delay`` miss their day; use the partial totals where they must not."""
-    day = F.window(time, "1 day")
-    return stream.withWatermark(time, delay).groupBy(day, *by).agg(*[c.alias(n) for n, c in measures.items()]).select(
-        F.to_date("window.start").alias("day"), *by, *measures)
+    """Tumbling windows of one day of the session's time zone; a day comes out once, when the
+    watermark has passed its end. Rows that are later than ``delay`` miss their day; use the partial
+    totals where they must not."""
+    # Windows are cut at UTC midnight, so the time is moved by the zone's offset first.
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    moved = stream.withColumn(_MOVED, F.from_utc_timestamp(time, zone)).withWatermark(_MOVED, delay)
+    days = moved.groupBy(F.window(_MOVED, "1 day"), *by).agg(*[c.alias(n) for n, c in measures.items()])
+    number = (F.unix_seconds("window.start") / 86400).cast("int")
+    return days.select(F.date_from_unix_date(number).alias("day"), *by, *measures)
 
 
 def collect_daily(stream: DataFrame, time: str, value: str, by: Sequence[str], target: str, checkpoint: str) -> int:
