@@ -33,16 +33,16 @@ def parser() -> argparse.ArgumentParser:
         for option in options:
             command.add_argument(f"--{option}", required=option not in defaults, default=defaults.get(option))
 
-    layout = {"layout": "zone"}
+    layout = {"layout": "zone", "multi-line": "yes"}
     add("extract-history", "jdbc", "schema", "target", "journal")
     add("extract-plan", "jdbc", "schema")
     add("extract-day", "jdbc", "schema", "target", "journal", "run-date")
-    add("clean-day", "raw", "target", "run-date", "layout", **layout)
-    add("clean-history", "raw", "target", "layout", **layout)
-    add("load-day", "raw", "run-date", "target", "jdbc", "schema", "layout", target="", jdbc="", schema="", **layout)
-    add("star-day", "raw", "target", "run-date", "layout", **layout)
-    add("quality", "raw", "run-date", "layout", **layout)
-    add("profile", "raw", "run-date", "table", "column", "layout", **layout)
+    add("clean-day", "raw", "target", "run-date", "layout", "multi-line", **layout)
+    add("clean-history", "raw", "target", "layout", "multi-line", **layout)
+    add("load-day", "raw", "run-date", "target", "jdbc", "schema", "layout", "multi-line", target="", jdbc="", schema="", **layout)
+    add("star-day", "raw", "target", "run-date", "layout", "multi-line", **layout)
+    add("quality", "raw", "run-date", "layout", "multi-line", **layout)
+    add("profile", "raw", "run-date", "table", "column", "layout", "multi-line", **layout)
     return top
 
 
@@ -68,6 +68,7 @@ def warehouse(path: str, schema: str) -> jobs.Sink:
 
 def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | list[Outcome]:
     day = getattr(a, "run_date", None)
+    raw = {"layout": getattr(a, "layout", "zone"), "multi_line": getattr(a, "multi_line", "yes") == "yes"}
     if a.command == "extract-history":
         return extract_history(source(spark, a.jdbc, a.schema), a.target, Journal(spark, a.journal))
     if a.command == "extract-plan":
@@ -75,15 +76,15 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | list[Outcome]
     if a.command == "extract-day":
         return extract_increment(source(spark, a.jdbc, a.schema), a.target, Journal(spark, a.journal), day)
     if a.command == "clean-day":
-        return jobs.clean_day(spark, a.raw, a.target, day, layout=a.layout)
+        return jobs.clean_day(spark, a.raw, a.target, day, **raw)
     if a.command == "clean-history":
-        return jobs.clean_history(spark, a.raw, a.target, layout=a.layout)
+        return jobs.clean_history(spark, a.raw, a.target, **raw)
     if a.command == "load-day":
         sink = warehouse(a.jdbc, a.schema) if a.jdbc else jobs.file_warehouse(a.target, day)
-        return jobs.load_day(spark, a.raw, day, sink, layout=a.layout)
+        return jobs.load_day(spark, a.raw, day, sink, **raw)
     if a.command == "star-day":
-        return jobs.star_day(spark, a.raw, a.target, day, layout=a.layout)
-    tables = read_registry(spark, a.raw, day, layout=a.layout)
+        return jobs.star_day(spark, a.raw, a.target, day, **raw)
+    tables = read_registry(spark, a.raw, day, **raw)
     if a.command == "quality":
         return rental_checks(tables)
     column_profile(tables[a.table], a.table).show(200, truncate=False)

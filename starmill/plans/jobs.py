@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starmill.operators.clean import clean
 from starmill.operators.star import build_star, buildable
@@ -27,23 +26,22 @@ def clean_tables(tables: Mapping[str, DataFrame], sink: Sink, profile: str,
     return finish(run_tables({name: load(name, df) for name, df in tables.items()}, workers))
 
 
-def clean_day(spark: SparkSession, raw: str, target: str, run_date: str, *, layout: str = "zone",
+def clean_day(spark: SparkSession, raw: str, target: str, run_date: str, *, layout: str = "zone", multi_line: bool = True,
               fmt: str = "parquet", specs: Mapping[str, TableSpec] | None = None, workers: int = 4,
               **options) -> list[Outcome]:
     """Clean the raw files of one run date; running it again replaces that date only."""
-    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs)
+    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs, multi_line=multi_line)
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
-        dated = df.withColumn("run_date", F.lit(run_date))
-        return replace_partitions(dated, f"{target}/{spec.name}", ["run_date"], fmt=fmt, rebalance=False)
+        return replace_partitions(df, f"{target}/{spec.name}", ["run_date"], constant={"run_date": run_date}, fmt=fmt)
 
     return clean_tables(tables, sink, "incremental", specs, workers, **options)
 
 
-def clean_history(spark: SparkSession, raw: str, target: str, *, layout: str = "zone", fmt: str = "parquet",
-                  specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
+def clean_history(spark: SparkSession, raw: str, target: str, *, layout: str = "zone", multi_line: bool = True,
+                  fmt: str = "parquet", specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
     """Clean all chunks of all dates as one table each, one row per key."""
-    tables = read_registry(spark, raw, layout=layout, specs=specs)
+    tables = read_registry(spark, raw, layout=layout, specs=specs, multi_line=multi_line)
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
         return replace_table(df, f"{target}/{spec.name}", fmt=fmt)
@@ -52,9 +50,9 @@ def clean_history(spark: SparkSession, raw: str, target: str, *, layout: str = "
 
 
 def load_day(spark: SparkSession, raw: str, run_date: str, sink: Sink, *, layout: str = "zone",
-             specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
+             multi_line: bool = True, specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
     """Clean the raw files of one run date and append them to a warehouse through ``sink``."""
-    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs)
+    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs, multi_line=multi_line)
     return clean_tables(tables, sink, "warehouse", specs, workers, **options)
 
 
@@ -62,8 +60,7 @@ def file_warehouse(target: str, run_date: str) -> Sink:
     """Warehouse on files: each load is a partition beside the earlier ones, and loading a date again
     replaces its partition, so no load has to read what is there already."""
     def sink(df: DataFrame, spec: TableSpec) -> int:
-        dated = df.withColumn("run_date", F.lit(run_date))
-        return replace_partitions(dated, f"{target}/{spec.name}", ["run_date"], rebalance=False)
+        return replace_partitions(df, f"{target}/{spec.name}", ["run_date"], constant={"run_date": run_date})
 
     return sink
 
@@ -90,6 +87,7 @@ def load_star(tables: Mapping[str, DataFrame], sink: Sink, *, workers: int = 4,
 
 
 def star_day(spark: SparkSession, raw: str, target: str, run_date: str | None, *, layout: str = "zone",
-             **options) -> list[Outcome]:
+             multi_line: bool = True, **options) -> list[Outcome]:
     """Star of the raw files of one run date, or of all."""
-    return load_star(read_registry(spark, raw, run_date, layout=layout), star_sink(target), **options)
+    tables = read_registry(spark, raw, run_date, layout=layout, multi_line=multi_line)
+    return load_star(tables, star_sink(target), **options)

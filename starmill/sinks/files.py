@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,18 +20,25 @@ CURRENT = "snapshot"
 
 
 def write_files(df: DataFrame, path: str, *, mode: str = "append", partition_by: Sequence[str] = (),
-                fmt: str = "parquet", max_records: int | None = None, rebalance: bool = False) -> int:
+                constant: Mapping[str, object] | None = None, fmt: str = "parquet",
+                max_records: int | None = None, rebalance: bool = False) -> int:
     """Write and return the number of rows written.
 
     The count is observed in the tasks that write, so it costs no second job. Overwriting with
     partitions replaces only those that occur in ``df``: repeating a load gives the same files, and
     an empty frame replaces nothing. ``rebalance`` gathers the rows of a partition before the write;
-    Spark merges small partitions and splits a hot one into files of ordinary size.
+    Spark merges small partitions and splits a hot one into files of ordinary size. ``constant``
+    gives partition columns one value for all rows: added last, they are known to be constant and the
+    rows are not sorted by them.
     """
-    rows = Observation()
-    if rebalance and partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
+    rows, constant = Observation(), constant or {}
+    varying = [c for c in partition_by if c not in constant]
+    if rebalance and varying:
+        df = df.hint("rebalance", *varying)
+    df = df.observe(rows, F.count(F.lit(1)).alias("rows"))
+    for name, value in constant.items():
+        df = df.withColumn(name, F.lit(value))
+    writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.options(**CSV_WRITE)
     if partition_by:
@@ -52,8 +59,7 @@ def replace_table(df: DataFrame, path: str, **options) -> int:
     The table is one constant partition, which makes that test part of the write itself instead of
     a second run of the plan.
     """
-    return write_files(df.withColumn(CURRENT, F.lit("current")), path, mode="overwrite",
-                       partition_by=[CURRENT], **options)
+    return write_files(df, path, mode="overwrite", partition_by=[CURRENT], constant={CURRENT: "current"}, **options)
 
 
 def write_chunks(df: DataFrame, path: str, column: str | None, *, fmt: str = "csv",
@@ -64,8 +70,8 @@ def write_chunks(df: DataFrame, path: str, column: str | None, *, fmt: str = "cs
 
 def write_increment(df: DataFrame, path: str, run_date: str, run_id: str, *, fmt: str = "csv") -> int:
     """Rows of one run, beside those of earlier runs on the same day; repeating a run replaces it."""
-    marked = df.withColumn("run_date", F.lit(run_date)).withColumn("run_id", F.lit(run_id))
-    return write_files(marked, path, mode="overwrite", partition_by=["run_date", "run_id"], fmt=fmt)
+    run = {"run_date": run_date, "run_id": run_id}
+    return write_files(df, path, mode="overwrite", partition_by=list(run), constant=run, fmt=fmt)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:

@@ -63,8 +63,8 @@ def batch_writer(target: str, partition_by: Sequence[str] = (), change: Callable
                  ) -> Callable[[DataFrame, int], int]:
     """Write each batch into partitions of its own, so repeating it replaces exactly its rows."""
     def write(df: DataFrame, batch_id: int) -> int:
-        out = (df.transform(change) if change else df).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        return replace_partitions(out, target, [*partition_by, BATCH], rebalance=bool(partition_by))
+        out = df.transform(change) if change else df
+        return replace_partitions(out, target, [*partition_by, BATCH], constant={BATCH: batch_id})
 
     return write
 
