@@ -17,7 +17,7 @@ from starmill.operators.quality import rental_checks
 from starmill.plans import jobs
 from starmill.plans.extract import Journal, extract_history, extract_increment, history_manifest
 from starmill.session import build_session
-from starmill.sinks.jdbc import write_spec_jdbc
+from starmill.sinks.jdbc import write_jdbc, write_spec_jdbc
 from starmill.sinks.report import LoadFailed, Outcome, report
 from starmill.sources.files import read_registry
 from starmill.sources.jdbc import JdbcSource
@@ -40,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
     add("clean-day", "raw", "target", "run-date", "layout", "multi-line", **layout)
     add("clean-history", "raw", "target", "layout", "multi-line", **layout)
     add("load-day", "raw", "run-date", "target", "jdbc", "schema", "layout", "multi-line", target="", jdbc="", schema="", **layout)
-    add("star-day", "raw", "target", "run-date", "layout", "multi-line", **layout)
+    add("star-day", "raw", "target", "run-date", "jdbc", "schema", "layout", "multi-line", target="", jdbc="", schema="", **layout)
     add("quality", "raw", "run-date", "layout", "multi-line", **layout)
     add("profile", "raw", "run-date", "table", "column", "layout", "multi-line", **layout)
     return top
@@ -55,13 +55,19 @@ def source(spark: SparkSession, path: str, schema: str) -> JdbcSource:
     return JdbcSource(spark, options.pop("url"), schema, options, quote=options.pop("quote", '"'))
 
 
-def warehouse(path: str, schema: str) -> jobs.Sink:
+def jdbc_sink(path: str, schema: str, *, star: bool) -> jobs.Sink:
+    """Cleaned tables are appended; star tables are replaced or get their new keys."""
     options = jdbc_file(path)
     url = options.pop("url")
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
-        # The number of rows is not reported by the database; 1 stands for "written".
-        return int(write_spec_jdbc(df, spec, url, schema, options) == "written")
+        if star:
+            within = "date_id" if spec.mode == "append" else None
+            status = write_spec_jdbc(df, spec, url, schema, options, within=within)
+        else:
+            status = write_jdbc(df, url, f"{schema}.{spec.name}", "append", options)
+        # The database does not report the number of rows; 1 stands for "written".
+        return int(status == "written")
 
     return sink
 
@@ -80,10 +86,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | list[Outcome]
     if a.command == "clean-history":
         return jobs.clean_history(spark, a.raw, a.target, **raw)
     if a.command == "load-day":
-        sink = warehouse(a.jdbc, a.schema) if a.jdbc else jobs.file_warehouse(a.target, day)
+        sink = jdbc_sink(a.jdbc, a.schema, star=False) if a.jdbc else jobs.file_warehouse(a.target, day)
         return jobs.load_day(spark, a.raw, day, sink, **raw)
     if a.command == "star-day":
-        return jobs.star_day(spark, a.raw, a.target, day, **raw)
+        sink = jdbc_sink(a.jdbc, a.schema, star=True) if a.jdbc else jobs.star_sink(a.target)
+        return jobs.star_day(spark, a.raw, sink, day, **raw)
     tables = read_registry(spark, a.raw, day, **raw)
     if a.command == "quality":
         return rental_checks(tables)

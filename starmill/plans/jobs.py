@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.operators.clean import clean
 from starmill.operators.star import build_star, buildable
 from starmill.sinks.files import append_new, replace_partitions, replace_table
-from starmill.sinks.report import Outcome, finish, run_tables
+from starmill.sinks.report import Outcome, finish, log, run_tables
 from starmill.sources.files import read_registry
 from starmill.specs import STAR_SPECS, TableSpec, spec_for
 
@@ -18,10 +19,19 @@ Sink = Callable[[DataFrame, TableSpec], int]
 
 def clean_tables(tables: Mapping[str, DataFrame], sink: Sink, profile: str,
                  specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
-    """Clean each table and hand it to the sink."""
+    """Clean each table and hand it to the sink. Rows in and out are counted in the same job; rows in
+    are for the log only, as a repeated map task counts again."""
     def load(name: str, df: DataFrame) -> Callable[[], int]:
         spec = spec_for(df, name, specs)
-        return lambda: sink(df.transform(clean(spec, profile, **options)), spec)
+
+        def run() -> int:
+            rows_in = Observation()
+            counted = df.observe(rows_in, F.count(F.lit(1)).alias("n"))
+            rows_out = sink(counted.transform(clean(spec, profile, **options)), spec)
+            log.info("table %s: %s rows in, %s out", name, rows_in.get["n"], rows_out)
+            return rows_out
+
+        return run
 
     return finish(run_tables({name: load(name, df) for name, df in tables.items()}, workers))
 
@@ -86,8 +96,8 @@ def load_star(tables: Mapping[str, DataFrame], sink: Sink, *, workers: int = 4,
     return finish([*run_tables(loads, workers), *skipped])
 
 
-def star_day(spark: SparkSession, raw: str, target: str, run_date: str | None, *, layout: str = "zone",
+def star_day(spark: SparkSession, raw: str, sink: Sink, run_date: str | None, *, layout: str = "zone",
              multi_line: bool = True, **options) -> list[Outcome]:
     """Star of the raw files of one run date, or of all."""
     tables = read_registry(spark, raw, run_date, layout=layout, multi_line=multi_line)
-    return load_star(tables, star_sink(target), **options)
+    return load_star(tables, sink, **options)

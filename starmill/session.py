@@ -39,7 +39,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     The root is ``spark.checkpoint.dir``. Only a local session may go without it, because there
     driver and executors share one machine.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

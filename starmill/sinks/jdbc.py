@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from starmill.sinks.files import new_rows
+from starmill.sources.jdbc import JdbcSource
 from starmill.specs import TableSpec
 
 BATCH_ROWS = 10_000
@@ -37,7 +38,21 @@ def append_new_jdbc(df: DataFrame, existing: DataFrame | None, keys: Sequence[st
     return write_jdbc(new_rows(df, existing, keys, within), url, table, "append", options)
 
 
+def held_rows(spark: SparkSession, url: str, schema: str, table: str,
+              options: Mapping[str, str] | None = None) -> DataFrame | None:
+    """The warehouse table, or None while it does not exist."""
+    source = JdbcSource(spark, url, schema, options or {})
+    known = source.query(f"{source.tables_sql()} AND table_name = {source.text(table)}")
+    if known.isEmpty():
+        return None
+    return spark.read.format("jdbc").options(**jdbc_options(url, f"{schema}.{table}", options)).load()
+
+
 def write_spec_jdbc(df: DataFrame, spec: TableSpec, url: str, schema: str,
-                    options: Mapping[str, str] | None = None) -> str:
-    """Write with the mode of the spec: facts append, dimensions are replaced."""
-    return write_jdbc(df, url, f"{schema}.{spec.name}", spec.mode, options)
+                    options: Mapping[str, str] | None = None, *, within: str | None = None) -> str:
+    """Write as the spec says: dimensions are replaced, facts get the keys that are new."""
+    table = f"{schema}.{spec.name}"
+    if spec.mode == "overwrite":
+        return write_jdbc(df, url, table, "overwrite", options)
+    held = held_rows(df.sparkSession, url, schema, spec.name, options)
+    return append_new_jdbc(df, held, spec.keys, url, table, options, within)

@@ -148,6 +148,13 @@ def zone(tmp_path):
     return tmp_path
 
 
+def test_rows_in_and_out_are_logged(spark, zone, caplog):
+    caplog.set_level("INFO", logger="starmill")
+    jobs.clean_day(spark, str(zone / "raw"), str(zone / "clean"), "2024-06-14")
+    assert "table customer: 3 rows in, 2 out" in caplog.messages
+    assert "table extra: 3 rows in, 2 out" in caplog.messages
+
+
 def test_clean_day_is_repeatable(spark, zone):
     target = str(zone / "clean")
     for _ in range(2):
@@ -178,7 +185,7 @@ def test_warehouse_load_is_repeatable(spark, zone):
 
 def test_star_day(spark, zone):
     for fresh in (2, 0):
-        out = {o.table: (o.status, o.rows) for o in jobs.star_day(spark, str(zone / "raw"), str(zone / "star"), "2024-06-14")}
+        out = {o.table: (o.status, o.rows) for o in jobs.star_day(spark, str(zone / "raw"), jobs.star_sink(str(zone / "star")), "2024-06-14")}
         assert out["fact_payment"] == (("written", fresh) if fresh else ("empty", 0))
     assert out["dim_customer"] == ("written", 2) and out["dim_film"][0] == "skipped" and out["dim_store"][0] == "skipped"
     fact = spark.read.parquet(str(zone / "star/fact_payment"))
