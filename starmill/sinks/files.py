@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from starmill import fixed
 from starmill.operators.increment import with_run_date
+from starmill.session import work_folder
 
 # What ``sources.files`` reads back unchanged: embedded quotes are doubled, texts are always quoted
 # so that leading spaces, line breaks and empty texts survive.
@@ -111,7 +112,16 @@ def new_rows(df: DataFrame, existing: DataFrame | None, keys: Sequence[str], wit
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Sequence[str] = (),
                within: str | None = None) -> int:
-    """Append the rows whose key is new, so that loading a batch twice adds nothing."""
-    held = read_table(df.sparkSession, path)
+    """Append the rows whose key is new, so that loading a batch twice adds nothing.
+
+    With ``within`` the batch is needed twice, for its range and for the rows. It is written to the
+    work folder first and read from there, so that what builds it runs once.
+    """
+    spark = df.sparkSession
+    held = read_table(spark, path)
+    if held is not None and within:
+        staged = work_folder(spark, "batch")
+        df.write.parquet(staged)
+        df = spark.read.schema(df.schema).parquet(staged)
     return write_files(new_rows(df, held, keys, within), path, partition_by=partition_by,
                        rebalance=bool(partition_by))
