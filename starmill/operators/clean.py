@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +33,16 @@ PROFILES = {
 }
 
 
+@cache
+def type_of(name: str) -> T.DataType:
+    return T.DataType.fromDDL(name)
+
+
 def column_classes(df: DataFrame, spec: TableSpec) -> dict[str, list[str]]:
     """Columns by class; the spec decides first, the type of the data second."""
     out: dict[str, list[str]] = {"text": [], "numeric": [], "time": [], "other": []}
     for f in df.schema.fields:
-        out[_class(T.DataType.fromDDL(spec.types[f.name]) if f.name in spec.types else f.dataType)].append(f.name)
+        out[_class(type_of(spec.types[f.name]) if f.name in spec.types else f.dataType)].append(f.name)
     return out
 
 
@@ -52,7 +58,7 @@ def _class(data_type: T.DataType) -> str:
 
 def typed(col: Column, source: T.DataType, target: str | None) -> Column:
     """Cast to the spec's type; what cannot be cast becomes NULL."""
-    if target is None or source == T.DataType.fromDDL(target):
+    if target is None or source == type_of(target):
         return col
     if target == "timestamp" and isinstance(source, T.StringType):
         return parsed_time(col)

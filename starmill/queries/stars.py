@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill import fixed
 from starmill.functions.columns import date_id, time_text
 from starmill.operators.lookup import Lookup, first_link
 from starmill.operators.star import BUILDERS, clean_registry, date_dimension, dimension, fact
@@ -129,73 +132,83 @@ def star_revenue(spark, root):
 
 # --- the rental star, with the given tables in the shape of the rental sources --------------------
 
-def rental_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def rental_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
     """Regions as countries, nations as cities, customers, parts as films, suppliers as stores with
     their managers, orders as rentals, lines as payments. Some links are lost or doubled on purpose."""
     def t(name: str) -> DataFrame:
         return table(spark, root, name)
 
     stamp = F.lit("2006-02-15 04:34:33")
-    customer, supplier, part, orders = t("customer"), t("supplier"), t("part"), t("orders")
-    home = customer.select(
-        F.col("c_custkey").alias("address_id"), F.concat(F.lit(" "), "c_custkey", F.lit(" Main Street ")).alias("address"),
-        F.col("c_mktsegment").alias("district"),
-        F.when(F.col("c_custkey") % 4 != 0, F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("postal_code"),
-        F.when(F.col("c_custkey") % 15 != 0, F.col("c_nationkey")).cast("bigint").alias("city_id"))
-    shop = supplier.select(
-        (-F.col("s_suppkey") - 1).alias("address_id"), F.concat("s_suppkey", F.lit(" Market Square")).alias("address"),
-        F.lit("").alias("district"), F.lit(None).cast("string").alias("postal_code"),
-        F.col("s_nationkey").cast("bigint").alias("city_id"))
-    lines = t("lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_id"),
-        (F.col("l_orderkey") + F.col("l_suppkey")).alias("customer_id"), F.col("l_suppkey").alias("staff_id"),
-        F.when(F.col("l_orderkey") % 9 != 0, F.col("l_orderkey")).alias("rental_id"),
-        F.col("l_extendedprice").cast("decimal(10,2)").alias("amount"),
-        F.when(F.col("l_partkey") % 50 == 0, F.lit("NaT")).otherwise(
-            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("payment_date"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("last_update"))
-    return {
-        "country": t("region").select(F.col("r_regionkey").cast("bigint").alias("country_id"),
-                                      F.col("r_name").alias("country"), stamp.alias("last_update")),
-        "city": t("nation").select(F.col("n_nationkey").cast("bigint").alias("city_id"), F.col("n_name").alias("city"),
-                                   F.col("n_regionkey").cast("bigint").alias("country_id"), stamp.alias("last_update")),
-        "address": home.unionByName(shop),
-        "customer": customer.select(
+
+    def address() -> DataFrame:
+        home = t("customer").select(
+            F.col("c_custkey").alias("address_id"), F.concat(F.lit(" "), "c_custkey", F.lit(" Main Street ")).alias("address"),
+            F.col("c_mktsegment").alias("district"),
+            F.when(F.col("c_custkey") % 4 != 0, F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("postal_code"),
+            F.when(F.col("c_custkey") % 15 != 0, F.col("c_nationkey")).cast("bigint").alias("city_id"))
+        shop = t("supplier").select(
+            (-F.col("s_suppkey") - 1).alias("address_id"), F.concat("s_suppkey", F.lit(" Market Square")).alias("address"),
+            F.lit("").alias("district"), F.lit(None).cast("string").alias("postal_code"),
+            F.col("s_nationkey").cast("bigint").alias("city_id"))
+        return home.unionByName(shop)
+
+    def payment() -> DataFrame:
+        shipped = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+        return t("lineitem").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_id"),
+            (F.col("l_orderkey") + F.col("l_suppkey")).alias("customer_id"), F.col("l_suppkey").alias("staff_id"),
+            F.when(F.col("l_orderkey") % 9 != 0, F.col("l_orderkey")).alias("rental_id"),
+            F.col("l_extendedprice").cast("decimal(10,2)").alias("amount"),
+            F.when(F.col("l_partkey") % 50 == 0, F.lit("NaT")).otherwise(shipped).alias("payment_date"),
+            shipped.alias("last_update"))
+
+    def customer() -> DataFrame:
+        return t("customer").select(
             F.col("c_custkey").alias("customer_id"), F.split("c_name", "#")[0].alias("first_name"),
             F.split("c_name", "#")[1].alias("last_name"), F.concat(F.lower("c_name"), F.lit("@example.org")).alias("email"),
             F.when(F.col("c_acctbal") > 0, 1).alias("active"),
             F.when(F.col("c_custkey") % 31 != 0, F.col("c_custkey")).alias("address_id"),
-            stamp.alias("create_date"), stamp.alias("last_update")),
-        "film": part.select(
+            stamp.alias("create_date"), stamp.alias("last_update"))
+
+    def film() -> DataFrame:
+        return t("part").select(
             F.col("p_partkey").alias("film_id"), F.concat(F.lit(" "), "p_name").alias("title"),
             F.lit(None).cast("string").alias("description"), F.lit(2006).alias("release_year"),
             F.col("p_size").alias("rental_duration"), F.col("p_retailprice").cast("decimal(10,2)").alias("rental_rate"),
             F.when(F.col("p_size") > 5, F.col("p_size") * 3).alias("length"), F.col("p_type").alias("rating"),
-            (F.col("p_partkey") % 7).alias("language_id"), F.lit("").alias("last_update")),
-        "language": t("region").select(F.col("r_regionkey").cast("bigint").alias("language_id"), F.col("r_name").alias("name")),
-        "category": t("nation").select(F.col("n_nationkey").cast("bigint").alias("category_id"), F.col("n_name").alias("name")),
-        "film_category": t("lineitem").select(F.col("l_partkey").alias("film_id"),
-                                              (F.col("l_suppkey") % 30).alias("category_id")),
-        "store": supplier.select(
+            (F.col("p_partkey") % 7).alias("language_id"), F.lit("").alias("last_update"))
+
+    tables = {
+        "address": address, "payment": payment, "customer": customer, "film": film,
+        "country": lambda: t("region").select(
+            F.col("r_regionkey").cast("bigint").alias("country_id"), F.col("r_name").alias("country"), stamp.alias("last_update")),
+        "city": lambda: t("nation").select(
+            F.col("n_nationkey").cast("bigint").alias("city_id"), F.col("n_name").alias("city"),
+            F.col("n_regionkey").cast("bigint").alias("country_id"), stamp.alias("last_update")),
+        "language": lambda: t("region").select(
+            F.col("r_regionkey").cast("bigint").alias("language_id"), F.col("r_name").alias("name")),
+        "category": lambda: t("nation").select(
+            F.col("n_nationkey").cast("bigint").alias("category_id"), F.col("n_name").alias("name")),
+        "film_category": lambda: t("lineitem").select(
+            F.col("l_partkey").alias("film_id"), (F.col("l_suppkey") % 30).alias("category_id")),
+        "store": lambda: t("supplier").select(
             F.col("s_suppkey").alias("store_id"), (F.col("s_suppkey") + 1).alias("manager_staff_id"),
             (-F.col("s_suppkey") - 1).alias("address_id"), stamp.alias("last_update")),
-        "staff": supplier.select(F.col("s_suppkey").alias("staff_id"), F.col("s_name").alias("first_name"),
-                                 F.col("s_nationkey").cast("string").alias("last_name"), F.col("s_suppkey").alias("store_id")),
-        "inventory": part.select(F.col("p_partkey").alias("inventory_id"), F.col("p_partkey").alias("film_id"),
-                                 F.col("p_size").cast("bigint").alias("store_id")),
-        "rental": orders.select(F.col("o_orderkey").alias("rental_id"),
-                                F.when(F.col("o_orderkey") % 8 != 0, F.col("o_custkey")).alias("inventory_id"),
-                                F.col("o_custkey").alias("customer_id")),
-        "payment": lines,
+        "staff": lambda: t("supplier").select(
+            F.col("s_suppkey").alias("staff_id"), F.col("s_name").alias("first_name"),
+            F.col("s_nationkey").cast("string").alias("last_name"), F.col("s_suppkey").alias("store_id")),
+        "inventory": lambda: t("part").select(
+            F.col("p_partkey").alias("inventory_id"), F.col("p_partkey").alias("film_id"),
+            F.col("p_size").cast("bigint").alias("store_id")),
+        "rental": lambda: t("orders").select(
+            F.col("o_orderkey").alias("rental_id"), F.when(F.col("o_orderkey") % 8 != 0, F.col("o_custkey")).alias("inventory_id"),
+            F.col("o_custkey").alias("customer_id")),
     }
+    return {name: tables[name]() for name in names}
 
 
 def rental_star(spark: SparkSession, root: str, name: str) -> DataFrame:
-    from starmill import fixed
-
-    raw = rental_tables(spark, root)
-    sources = clean_registry({t: raw[t] for t in fixed.STAR_SOURCES[name]})
-    return BUILDERS[name](sources)
+    return BUILDERS[name](clean_registry(rental_tables(spark, root, fixed.STAR_SOURCES[name])))
 
 
 STAMP = "'2006-02-15 04:34:33'"
