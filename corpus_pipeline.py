@@ -9,29 +9,43 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmill.llm import packing, secret_scan
-from starmill.llm.queries import RANKS, SPECIAL
-from starmill.llm.texts import documents, keep
+from starmill.llm import packing, parity_join, secret_scan, toxicity
+from starmill.llm.queries import RANKS, SPECIAL, toxicity_model
+from starmill.llm.texts import documents, keep, send_package, table
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier does not reject; it learns from the labelled documents of its input."""
+    return toxicity.keep_below(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of the smallest id, one row of it."""
+    send_package(spark)
+    return parity_join.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with their secrets replaced by the kind's name."""
-    return secret_scan.redact(docs)
+    send_package(spark)
+    return secret_scan.redact(docs).withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of each document, with its sequence and the place in it."""
+    send_package(spark)
     pieces = packing.tokenise(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, SPECIAL)
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-STAGES = [("secrets", secrets), ("pack", pack)]
+STAGES = [("toxicity", toxic), ("near copies", near_copies), ("secrets", secrets), ("packing", pack)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = keep(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

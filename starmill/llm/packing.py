@@ -20,7 +20,6 @@ from bisect import bisect_left, insort
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -178,7 +177,7 @@ def pack_lengths(lengths: list[int], most: int = SEQUENCE) -> list[list[int]]:
 def pack_groups(pieces: DataFrame, groups: int, turn: int, most: int) -> DataFrame:
     """Packs each group by itself: the columns of ``pieces``, group, bin, offset, fill."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(_, rows):
         rows = rows.sort_values(["doc_id", "piece", "start", "ids_crc32"], ignore_index=True)
         out = pack_lengths(rows["length"].tolist(), most)
         order = [i for b in out for i in b]

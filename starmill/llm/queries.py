@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import bpe, packing, secret_scan, token_counts
-from starmill.llm.texts import documents
+from starmill.llm import bpe, packing, parity_join, secret_scan, token_counts, toxicity
+from starmill.llm.texts import documents, table
 from starmill.queries.base import Registry
 
 REGISTRY = Registry()
@@ -38,12 +38,34 @@ def secrets(spark: SparkSession, root: str) -> DataFrame:
         secret_scan.listed(spans, secret_scan.KINDS).alias("spans"))
 
 
+@query("op7_parity_join")
+def near_copies(spark: SparkSession, root: str) -> DataFrame:
+    return parity_join.join(documents(spark, root)).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op8_swap_packing")
 def swap_packing(spark: SparkSession, root: str) -> DataFrame:
     pieces = packing.tokenise(documents(spark, root), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, SPECIAL)
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def fold(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id's text modulo 5; 0 is held out."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model | None:
+    return toxicity.fit(toxicity.sample(docs, labels.filter(fold() != 0)))
+
+
+@query("op9_toxicity")
+def toxic(spark: SparkSession, root: str) -> DataFrame:
+    docs = documents(spark, root)
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, root, "labels")))
+    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op10_token_counts")
 def count_tokens(spark: SparkSession, root: str) -> DataFrame:
     counts = token_counts.count_tokens(documents(spark, root), public_tokenizers.path(TOKENIZER))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,8 +17,30 @@ from starmill.session import work_folder
 BATCH_BYTES = 4 << 20
 
 
+PACKAGE = Path(__file__).resolve().parents[1]
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Let Spark hand this package's source to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    archive = f"{tempfile.mkdtemp(prefix='starmill-source-')}/starmill.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            out.write(file, file.relative_to(PACKAGE.parent))
+    context.addPyFile(archive)
+    _sent.add(context.applicationId)
+
+
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    send_package(spark)
+    return spark.read.parquet(f"{root}/{name}.parquet")
+
+
 def documents(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/documents.parquet")
+    return table(spark, root, "documents")
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
