@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import bpe, packing, parity_join, secret_scan, token_counts, toxicity
+from starmill.llm import (
+    bpe, edit_embedding, license_scan, packing, parity_join, secret_scan, token_counts, tool_calls, toxicity)
 from starmill.llm.texts import documents, table
 from starmill.queries.base import Registry
 
@@ -28,6 +29,60 @@ def byte_bpe(spark: SparkSession, root: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+@query("op2_edit_fingerprints")
+def edit_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    return edit_embedding.with_edits(documents(spark, root)).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        "near_edited_bands", "near_next_bands")
+
+
+REPLY = {"reply": {"text": ("STRING", True), "turn": ("BIGINT", True)}}
+
+
+def as_tool_messages(conversations: DataFrame) -> DataFrame:
+    """Each user turn as a call of ``reply`` that comes after the one before it, each assistant turn as the result of the turn before."""
+    name = lambda back: F.concat_ws(":", "conv_id", (F.col("turn") - back).cast("string"))
+    call = F.struct(F.array(F.struct(
+        name(0).alias("id"), F.lit("reply").alias("name"), F.struct("text", "turn").alias("arguments"),
+        F.array(name(2)).alias("after"))).alias("tool_calls"))
+    result = F.struct(name(1).alias("tool_call_id"), F.col("text").alias("content"))
+    return conversations.select(
+        "conv_id", "turn", F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool")
+        .otherwise(F.col("role")).alias("role"),
+        F.when(F.col("role") == "user", F.to_json(call)).when(F.col("role") == "assistant", F.to_json(result))
+        .otherwise(F.col("text")).alias("text"))
+
+
+@query("op3_tool_calls", """
+    WITH RECURSIVE calls AS (
+      SELECT conv_id, turn, text, conv_id || ':' || turn AS call_id FROM conversations
+      WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+    results AS (
+      SELECT conv_id, turn, text, conv_id || ':' || (turn - 1) AS call_id FROM conversations
+      WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+    levels AS (
+      SELECT conv_id, turn, 0 AS level FROM calls c
+      WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+      UNION ALL
+      SELECT c.conv_id, c.turn, l.level + 1 FROM levels l JOIN calls c ON c.conv_id = l.conv_id AND c.turn = l.turn + 2)
+    SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS turn,
+           CASE WHEN c.call_id IS NOT NULL THEN 0 END::INT AS place, coalesce(c.call_id, r.call_id) AS call_id,
+           CASE WHEN c.call_id IS NOT NULL THEN 'reply' END AS name, l.level::INT AS level,
+           CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'open' ELSE 'linked' END AS status,
+           CASE WHEN c.call_id IS NOT NULL THEN CASE WHEN c.text IS NULL THEN 'missing:text' ELSE '' END END AS errors,
+           r.turn AS result_turn,
+           '{' || concat_ws(',',
+             CASE WHEN c.call_id IS NOT NULL THEN '"arguments":{' || coalesce('"text":' || to_json(c.text) || ',', '')
+               || '"turn":' || c.turn || '}' END,
+             '"id":' || to_json(coalesce(c.call_id, r.call_id)),
+             CASE WHEN c.call_id IS NOT NULL THEN '"name":"reply"' END,
+             '"result":' || to_json(r.text)) || '}' AS call_json
+    FROM calls c LEFT JOIN levels l USING (conv_id, turn) FULL JOIN results r ON r.call_id = c.call_id
+""")
+def linked_calls(spark: SparkSession, root: str) -> DataFrame:
+    return tool_calls.link(as_tool_messages(table(spark, root, "conversations")), REPLY)
+
+
 @query("op4_secret_scan")
 def secrets(spark: SparkSession, root: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, root))
@@ -38,6 +93,11 @@ def secrets(spark: SparkSession, root: str) -> DataFrame:
         secret_scan.listed(spans, secret_scan.KINDS).alias("spans"))
 
 
+@query("op5_license_scan", license_scan.report_sql())
+def licenses(spark: SparkSession, root: str) -> DataFrame:
+    return license_scan.report(license_scan.scan(documents(spark, root)))
+
+
 @query("op7_parity_join")
 def near_copies(spark: SparkSession, root: str) -> DataFrame:
     return parity_join.join(documents(spark, root)).select("doc_id", "n_shingles", "component_id")
