@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm import (
-    bpe, edit_embedding, license_scan, packing, parity_join, secret_scan, token_counts, tool_calls, toxicity)
+    bpe, edit_embedding, hnsw, license_scan, packing, parity_join, secret_scan, token_counts, tool_calls, toxicity)
 from starmill.llm.texts import documents, table
 from starmill.queries.base import Registry
 
@@ -98,6 +98,32 @@ def licenses(spark: SparkSession, root: str) -> DataFrame:
     return license_scan.report(license_scan.scan(documents(spark, root)))
 
 
+@query("op6_hnsw", """
+    WITH v AS (
+      SELECT vec_id, label, embedding, row_number() OVER () AS n FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    w AS (SELECT *, embedding::DOUBLE[64] AS e FROM v),
+    link AS (SELECT a.n AS a, b.n AS b FROM w a JOIN w b ON a.label = b.label AND a.n <> b.n
+             WHERE array_cosine_similarity(a.e, b.e) >= 0.93),
+    reach AS (
+      WITH RECURSIVE r (n, m) AS (
+        SELECT n, n FROM v UNION SELECT r.n, link.b FROM r JOIN link ON link.a = r.m)
+      SELECT r.n, min(w.vec_id) AS component_id FROM r JOIN w ON w.n = r.m GROUP BY r.n),
+    counts AS (SELECT a AS n, count(*) AS n_links FROM link GROUP BY a)
+    SELECT v.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+    FROM v JOIN reach USING (n) LEFT JOIN counts USING (n)
+    UNION ALL
+    SELECT vec_id, 0::BIGINT, vec_id, true FROM embeddings
+    WHERE vec_id IS NULL OR label IS NULL OR embedding IS NULL
+      OR len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0
+      OR len(list_filter(embedding, lambda x: x <> 0)) = 0
+""")
+def embedding_duplicates(spark: SparkSession, root: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, root, "embeddings"))
+
+
 @query("op7_parity_join")
 def near_copies(spark: SparkSession, root: str) -> DataFrame:
     return parity_join.join(documents(spark, root)).select("doc_id", "n_shingles", "component_id")
