@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name)
         for option in options:
             command.add_argument(f"--{option}", required=option not in defaults, default=defaults.get(option))
+        command.add_argument("--report", default="", help="folder for the report as JSON lines; else it is printed")
 
     layout = {"layout": "zone", "multi-line": "yes"}
     add("extract-history", "jdbc", "schema", "target", "journal")
@@ -62,8 +63,7 @@ def jdbc_sink(path: str, schema: str, *, star: bool) -> jobs.Sink:
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
         if star:
-            within = "date_id" if spec.mode == "append" else None
-            status = write_spec_jdbc(df, spec, url, schema, options, within=within)
+            status = write_spec_jdbc(df, spec, url, schema, options)
         else:
             status = write_jdbc(df, url, f"{schema}.{spec.name}", "append", options)
         # The database does not report the number of rows; 1 stands for "written".
@@ -94,19 +94,29 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | list[Outcome]
     tables = read_registry(spark, a.raw, day, **raw)
     if a.command == "quality":
         return rental_checks(tables)
-    column_profile(tables[a.table], a.table).show(200, truncate=False)
+    show(column_profile(tables[a.table], a.table))
     return describe(tables[a.table], [a.column])
 
 
+def show(lines: DataFrame) -> None:
+    """All lines of a report, one JSON object each, as they come."""
+    for line in lines.toJSON().toLocalIterator():
+        print(line)
+
+
 def main(argv: list[str] | None = None) -> int:
     arguments = parser().parse_args(argv)
     spark = build_session(f"starmill {arguments.command}")
     try:
         out = run(spark, arguments)
     except LoadFailed as failure:
-        report(spark, failure.outcomes).show(200, truncate=False)
+        show(report(spark, failure.outcomes))
         return 1
-    (out if isinstance(out, DataFrame) else report(spark, out)).show(200, truncate=False)
+    lines = out if isinstance(out, DataFrame) else report(spark, out)
+    if arguments.report:
+        lines.write.mode("overwrite").json(arguments.report)
+    else:
+        show(lines)
     return 0
 
 

@@ -4,84 +4,60 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows the built-in exact percentile holds its values in one buffer.
-BUFFER_ROWS = 1_000_000
-# The sketch's rank error is at most one part in this many.
-SKETCH_ACCURACY = 10_000
+from starmill.session import work_folder
 
 
-@dataclass
-class _Search:
-    """An order statistic: the value with ``rank`` values before it, somewhere in [low, high].
-
-    ``size`` rows lie in the interval, ``start`` below it. ``stuck`` says that the last step left
-    more than half of the rows inside.
-    """
-
-    column: str
-    rank: int
-    low: float
-    high: float
-    size: int
-    start: int = 0
-    stuck: bool = False
-
-    @property
-    def place(self) -> int:
-        """Rank inside the interval."""
-        return self.rank - self.start
-
-    @property
-    def found(self) -> bool:
-        return self.low == self.high
-
-    def inside(self, col: Column) -> Column:
-        return col.between(F.lit(self.low), F.lit(self.high))
+def number(col: Column) -> Column:
+    """The column as double; NaN, and a text that is no number, as NULL."""
+    value = col.try_cast("double")
+    return F.when(~F.isnan(value), value)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], *,
-                    buffer_rows: int = BUFFER_ROWS, accuracy: int = SKETCH_ACCURACY,
-                    ranges: dict[str, tuple] | None = None) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of numeric columns, NULL and NaN left out.
 
-    The built-in exact ``percentile`` keeps every distinct value in one task, so it is used only up
-    to ``buffer_rows`` rows. Beyond that each wanted value is enclosed: a mergeable sketch gives two
-    values of the data around it, the next pass counts exactly what lies below and inside them, and
-    the sketch runs again on the inside, until what is left fits the buffer. Every pass is one scan
-    with partial aggregation, nothing is shuffled but the partial results, and only single numbers
-    come back here. ``ranges`` gives (count, min, max) per column where the caller has them already.
+    Rows per value are counted, for all columns at once, dealt out by range of values and kept. The rows of each
+    part, a number for each part and column, say in which parts the wanted ranks lie; only these are read again, to
+    add their counts up in order.
     """
-    values = df.select(*[number(F.col(c)).alias(c) for c in columns])
-    if ranges is None:
-        row = values.agg(*[e for c in columns for e in (F.count(c), F.min(c), F.max(c))]).first()
-        ranges = {c: tuple(row[3 * i:3 * i + 3]) for i, c in enumerate(columns)}
-    counts = {c: ranges[c][0] for c in columns}
-    out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns if not counts[c]}
-
-    small = [c for c in columns if 0 < counts[c] <= buffer_rows]
-    if small:
-        row = values.agg(*[F.percentile(c, F.array(*map(F.lit, probabilities))).alias(c) for c in small]).first()
-        out.update({c: list(row[c]) for c in small})
-
-    large = [c for c in columns if counts[c] > buffer_rows]
-    if large:
-        searches = {c: {r: _Search(c, r, *ranges[c][1:], counts[c])
-                        for p in probabilities for r in _ranks(p, counts[c])} for c in large}
-        _narrow(values, [s for by_rank in searches.values() for s in by_rank.values()], buffer_rows, accuracy)
-        for c in large:
-            out[c] = [_interpolate(p, counts[c], searches[c]) for p in probabilities]
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("place"), number(F.col(c)).alias("value")) for i, c in enumerate(columns)])))
+    counts = values.filter("value IS NOT NULL").groupBy("place", "value").agg(F.count("*").alias("n"))
+    path = work_folder(df.sparkSession, "quantiles")
+    counts.repartitionByRange("place", "value").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    kept = df.sparkSession.read.schema("place int, value double, n bigint, part int").parquet(path)
+
+    sizes = kept.groupBy("place", "part").agg(F.sum("n").alias("n")).orderBy("place", "part").collect()
+    totals = {i: sum(r["n"] for r in sizes if r["place"] == i) for i in range(len(columns))}
+    ranks = {i: sorted({r for p in probabilities for r in _ranks(p, totals[i])}) for i in totals if totals[i]}
+    found = {(r["place"], r["rank"]): r["value"] for r in _pick(kept, _asked(sizes, ranks))}
+    return {c: [_interpolate(p, totals[i], i, found) if totals[i] else None for p in probabilities]
+            for i, c in enumerate(columns)}
+
+
+def _asked(sizes: list, ranks: dict[int, list[int]]) -> list[tuple[int, int, int, int]]:
+    """(column, part, rows of the column before the part, rank) for each wanted rank."""
+    out, place, before = [], None, 0
+    for place_now, part, n in sizes:
+        if place_now != place:
+            place, before = place_now, 0
+        out += [(place, part, before, r) for r in ranks[place] if before <= r < before + n]
+        before += n
     return out
 
 
-def number(col: Column) -> Column:
-    """The column as double; NaN, and a text that is no number, as NULL."""
-    value = col.try_cast("double")
-    return F.when(~F.isnan(value), value)
+def _pick(kept: DataFrame, asked: list[tuple[int, int, int, int]]) -> list:
+    """The value at each asked rank."""
+    wanted = kept.sparkSession.createDataFrame(asked, "place int, part int, before bigint, rank bigint")
+    parts = kept.filter(F.col("part").isin(sorted({part for _, part, _, _ in asked})))
+    upto = F.sum("n").over(Window.partitionBy("place", "part").orderBy("value"))
+    return parts.withColumn("upto", upto).join(F.broadcast(wanted), ["place", "part"]).filter(
+        (F.col("before") + F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("upto"))
+    ).select("place", "rank", "value").collect()
 
 
 def _ranks(p: float, n: int) -> tuple[int, int]:
@@ -89,79 +65,6 @@ def _ranks(p: float, n: int) -> tuple[int, int]:
     return math.floor(position), math.ceil(position)
 
 
-def _interpolate(p: float, n: int, found: dict[int, _Search]) -> float:
-    below, above = (found[r].low for r in _ranks(p, n))
+def _interpolate(p: float, n: int, place: int, found: dict[tuple[int, int], float]) -> float:
+    below, above = (found[place, r] for r in _ranks(p, n))
     return below + (above - below) * (p * (n - 1) - math.floor(p * (n - 1)))
-
-
-def _narrow(values: DataFrame, searches: list[_Search], buffer_rows: int, accuracy: int) -> None:
-    """Shrink every search to a single value, all of them in the same passes."""
-    while searches := [s for s in searches if not s.found]:
-        proposals = _propose(values, searches, buffer_rows, accuracy)
-        if proposals:
-            _verify(values, proposals)
-
-
-def _propose(values: DataFrame, searches: list[_Search], buffer_rows: int, accuracy: int) -> list:
-    """Settle the searches whose interval fits the buffer; name a smaller interval for the others."""
-    # Searches in the same interval share one column and one sketch.
-    shared: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        shared.setdefault((s.column, s.low, s.high), []).append(s)
-    groups = list(shared.values())
-    hits = [g[0].inside(F.col(g[0].column)) for g in groups]
-    scan = values.filter(_any(hits)).select(*[
-        F.when(hit, F.col(g[0].column)).alias(f"v{i}") for i, (g, hit) in enumerate(zip(groups, hits))])
-    asks = []
-    for i, g in enumerate(groups):
-        if g[0].size <= buffer_rows:
-            # Half a place above the wanted one, so that rounding cannot reach a neighbour.
-            asks += [F.expr(f"percentile_disc({(s.place + 0.5) / s.size!r}D) WITHIN GROUP (ORDER BY v{i})") for s in g]
-        else:
-            shares = [share for s in g for share in _around(s, 2.0 / accuracy)]
-            asks.append(F.percentile_approx(f"v{i}", F.array(*map(F.lit, shares)), accuracy))
-    row, proposals = list(scan.agg(*[a.alias(f"a{i}") for i, a in enumerate(asks)]).first()), []
-    for g in groups:
-        if g[0].size <= buffer_rows:
-            for s in g:
-                s.low = s.high = row.pop(0)
-        else:
-            bounds = row.pop(0)
-            proposals += [(s, bounds[2 * j], bounds[2 * j + 1]) for j, s in enumerate(g)]
-    return proposals
-
-
-def _around(s: _Search, slack: float) -> tuple[float, float]:
-    """Shares of the interval that enclose the wanted place. Where heavy values at both ends keep the
-    rows inside, a single value is asked for instead: that value or one side of it goes away."""
-    if s.stuck:
-        return ((s.place + 0.5) / s.size,) * 2
-    return max(0.0, s.place / s.size - slack), min(1.0, (s.place + 1) / s.size + slack)
-
-
-def _verify(values: DataFrame, proposals: list) -> None:
-    """Count what lies below and inside each proposed interval and keep the part that has the rank."""
-    scan, counters = values.filter(_any([s.inside(F.col(s.column)) for s, _, _ in proposals])), []
-    for s, low, high in proposals:
-        value = F.col(s.column)
-        inside = s.inside(value)
-        counters += [F.count_if(inside & (value < low)), F.count_if(inside & (value <= high)),
-                     F.max(F.when(inside & (value < low), value)), F.min(F.when(inside & (value > high), value))]
-    row = scan.agg(*[c.alias(f"c{i}") for i, c in enumerate(counters)]).first()
-    for i, (s, low, high) in enumerate(proposals):
-        below, upto, before, after = row[4 * i:4 * i + 4]
-        size, single = s.size, s.stuck
-        if s.place < below:
-            s.high, s.size = before, below
-        elif s.place >= upto:
-            s.low, s.start, s.size = after, s.start + upto, s.size - upto
-        else:
-            s.low, s.high, s.start, s.size = low, high, s.start + below, upto - below
-        s.stuck = not single and s.size > size / 2
-
-
-def _any(tests: list[Column]) -> Column:
-    out = tests[0]
-    for test in tests[1:]:
-        out = out | test
-    return out

@@ -33,7 +33,7 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
         for i, f in enumerate(df.schema.fields)])))
 
 
-def describe(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column.
 
     One pass gives the moments of all columns, further passes the quartiles, which are exact at any
@@ -42,8 +42,7 @@ def describe(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
     moments = [e for c in columns for e in _moments(number(F.col(c)))]
     row = df.agg(*moments).first()
     stats = {c: row[5 * i:5 * i + 5] for i, c in enumerate(columns)}
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75), ranges={
-        c: (n, low, high) for c, (n, low, high, _, _) in stats.items()}, **options)
+    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
     lines = [(c, n, mean, std, low, *quartiles[c], high) for c, (n, low, high, mean, std) in stats.items()]
     return df.sparkSession.createDataFrame(lines, DESCRIBE_SCHEMA)
 
@@ -52,10 +51,9 @@ def _moments(value: Column) -> list[Column]:
     return [F.count(value), F.min(value), F.max(value), F.avg(value), F.stddev_samp(value)]
 
 
-def total_and_mean(df: DataFrame, column: str) -> DataFrame:
-    """Sum (0 for no values) and mean."""
-    col = F.col(column)
-    return df.agg(F.coalesce(F.sum(col), F.lit(0)).alias("total"), F.avg(col).alias("mean"))
+def total_and_mean(df: DataFrame, column: str, mean_of: str | None = None) -> DataFrame:
+    """Sum (0 for no values) and mean, which may be taken of another form of the column, in one scan."""
+    return df.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total"), F.avg(mean_of or column).alias("mean"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Mapping
-from datetime import datetime, timedelta
 from functools import reduce
 from typing import Protocol
 
@@ -52,6 +51,10 @@ class Journal:
     def save_state(self, marks: DataFrame) -> None:
         write_files(marks.coalesce(1), f"{self.path}/state")
 
+    def save_bootstrap(self) -> None:
+        """Marks exist, also where no table has a key to mark."""
+        self.save_state(self.spark.createDataFrame([("*", 0, True)], inc.STATE_SCHEMA))
+
     def save_day(self, table: str, day: str) -> None:
         write_files(self.spark.createDataFrame([(table, day)], "table string, day string").coalesce(1),
                     f"{self.path}/days")
@@ -69,36 +72,43 @@ def extract_history(source: Source, target: str, journal: Journal, *, fmt: str =
 
     A keyed table is read up to the largest key it had at the start. That key is its mark, saved
     right after the write, from which the increments go on: rows that arrive meanwhile come next time.
+    The mark of a table with a change column is the last day that it had; increments read that day again.
     """
-    todo = inc.work_list(inc.plan_extract(source.catalog()), journal.ledger()).orderBy("table").collect()
+    plan = inc.plan_extract(source.catalog())
+    if not any(r["strategy"] == "key" for r in plan.collect()):
+        journal.save_bootstrap()
+    todo = inc.work_list(plan, journal.ledger()).orderBy("table").collect()
     outcomes = []
     for row in todo:
-        table, strategy, mark = row["table"], row["strategy"], None
+        table, strategy, mark, day = row["table"], row["strategy"], None, None
         try:
-            rows, mark = _scan(source, table, row["keys"], strategy)
+            rows, mark, day = _scan(source, table, row["keys"], strategy)
         except Exception as error:  # noqa: BLE001  (reported per table, raised at the end)
-            outcome = Outcome(table, "failed", 0, str(error)[:2000])
+            outcome = Outcome(table, "failed", 0, str(error))
         else:
             column = fixed.CHANGE_COLUMN if strategy == "date" else None
             outcome = attempt(table, lambda: write_chunks(
                 rows, f"{target.rstrip('/')}/{table}", column, fmt=fmt, chunk=chunk))
         if mark is not None and outcome.status != "failed":
             journal.save_state(source.spark.createDataFrame([(table, mark, True)], inc.STATE_SCHEMA))
+        if day is not None and outcome.status != "failed":
+            journal.save_day(table, day)
         journal.save_progress(outcome, mark)
         outcomes.append(outcome)
     return finish(outcomes)
 
 
-def _scan(source: Source, table: str, keys: list[str], strategy: str) -> tuple[DataFrame, int | None]:
-    """The rows to extract, and the mark they reach if the table goes by key."""
+def _scan(source: Source, table: str, keys: list[str], strategy: str) -> tuple[DataFrame, int | None, str | None]:
+    """The rows to extract, and the mark they reach: a key or a day."""
     if strategy == "date":
         days = inc.day_counts(source.read(table), fixed.CHANGE_COLUMN).collect()
         counts = {str(r["day"]) if r["day"] else None: r["rows"] for r in days}
-        return source.read_by_day(table, fixed.CHANGE_COLUMN, counts, _number_key(source.read(table), keys)), None
+        last = max((day for day in counts if day), default=None)
+        return source.read_by_day(table, fixed.CHANGE_COLUMN, counts, _number_key(source.read(table), keys)), None, last
     if strategy == "key":
         rows, low, top = inc.key_range(source.read(table), keys[0]).first()
-        return source.read_by_key(table, keys[0], rows, low, top).filter(F.col(keys[0]) <= F.lit(top)), top
-    return source.read(table), None
+        return source.read_by_key(table, keys[0], rows, low, top).filter(F.col(keys[0]) <= F.lit(top)), top, None
+    return source.read(table), None, None
 
 
 def _number_key(df: DataFrame, keys: list[str]) -> str | None:
@@ -118,8 +128,10 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
                       from_zero: bool = False, run_id: str | None = None) -> list[Outcome]:
     """Write what is new since the last run.
 
-    The first run only seeds the marks, unless ``from_zero``. Tables with a change column give the
-    days since the last one that was loaded, through ``run_date``; those with one key column the keys
+    The first run only seeds the marks, unless ``from_zero``. Tables with a change column give the days
+    from the last one that was loaded, which is read again for its late rows, through ``run_date``, and
+    all days if none was loaded; repeats go when the table is cleaned by key. Rows without a change time
+    come with the history only. Tables with one key column give the keys
     above their mark, which moves after a good write. A key of several columns has no mark that all
     new rows lie above, so such tables come in full and are reduced by key when cleaned. Tables with
     neither are skipped.
@@ -131,7 +143,10 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
         if keyed:
             journal.save_state(inc.bootstrap_state({t: (source.read(t), k) for t, k in keyed.items()}))
         else:
-            journal.save_state(source.spark.createDataFrame([("*", 0, True)], inc.STATE_SCHEMA))
+            journal.save_bootstrap()
+        for r in plan:
+            if r["strategy"] == "date":
+                journal.save_day(r["table"], run_date)
         return [Outcome(r["table"], "skipped", 0, "marks seeded") for r in plan]
 
     last_day = {r[0]: r[1] for r in journal.days().groupBy("table").agg(F.max("day")).collect()}
@@ -144,8 +159,7 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
         elif row["strategy"] == "full":
             outcomes.append(attempt(table, lambda: write_increment(source.read(table), path, run_date, run_id, fmt=fmt)))
         elif row["strategy"] == "date":
-            first = _next_day(last_day.get(table), run_date)
-            new = inc.day_window(source.read(table), fixed.CHANGE_COLUMN, first, run_date)
+            new = _changed(source.read(table), last_day.get(table), run_date)
             outcome = attempt(table, lambda: write_increment(new, path, run_date, run_id, fmt=fmt))
             if outcome.status != "failed":
                 journal.save_day(table, run_date)
@@ -167,9 +181,8 @@ def _load_keys(source: Source, table: str, key: str, last_id: int, path: str, ru
     return outcome
 
 
-def _next_day(last: str | None, run_date: str) -> str:
-    """The day after the last loaded one; the run date itself when that was loaded already, so a
-    second run of a day picks up its late rows."""
-    if last is None or last >= run_date:
-        return run_date
-    return (datetime.strptime(last, "%Y-%m-%d") + timedelta(days=1)).strftime("%Y-%m-%d")
+def _changed(df: DataFrame, last: str | None, run_date: str) -> DataFrame:
+    """Rows of the last loaded day through the run date, or of all days through it."""
+    if last is None:
+        return df.filter(F.col(fixed.CHANGE_COLUMN) < F.lit(run_date).cast("date") + F.expr("INTERVAL 1 DAY"))
+    return inc.day_window(df, fixed.CHANGE_COLUMN, min(last, run_date), run_date)

@@ -76,13 +76,13 @@ def file_warehouse(target: str, run_date: str) -> Sink:
 
 
 def star_sink(target: str) -> Sink:
-    """Star on files: dimensions are replaced, facts get the keys that are new. Facts lie by day, and
-    only the days of the new rows are compared."""
+    """Star on files: dimensions are replaced, facts get the keys that are new. Facts lie by day; a key
+    that returns with another day, or without one, is known all the same."""
     def sink(df: DataFrame, spec: TableSpec) -> int:
         path = f"{target}/{spec.name}"
         if spec.mode == "overwrite":
             return replace_table(df, path)
-        return append_new(df, path, spec.keys, partition_by=["date_id"], within="date_id")
+        return append_new(df, path, spec.keys, partition_by=["date_id"])
 
     return sink
 

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions.columns import chunk_label, time_text
 from starmill.operators import increment as inc
+from starmill.operators.clean import clean
 from starmill.operators.dedup import latest_per_key
 from starmill.operators.trigger import read_events, trigger_counts
+from starmill.plans.extract import Journal, extract_history, extract_increment
 from starmill.queries.base import query, table
+from starmill.session import work_folder
 from starmill.sources.catalog import FrameSource
 from starmill.sources.files import file_tables, table_files, union_chunks
+from starmill.specs import TableSpec
 
 KEYS = {"customer": "c_custkey", "orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey"}
 EVENT_OUT = "event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value"
 
 
-def events_out(df: DataFrame) -> DataFrame:
-    return df.select("event_id", time_text(F.col("ts")).alias("ts"), "user_id", "event_type", "value")
+def events_out(df: DataFrame, *more: str) -> DataFrame:
+    return df.select("event_id", time_text(F.col("ts")).alias("ts"), "user_id", "event_type", "value", *more)
 
 
 @query("day_window", f"SELECT {EVENT_OUT} FROM events WHERE ts >= DATE '2024-01-10' AND ts < DATE '2024-01-11'")
@@ -36,6 +42,28 @@ def day_counts(spark, root):
     return inc.day_counts(table(spark, root, "events"), "ts").withColumn("day", time_text(F.col("day"), "yyyy-MM-dd"))
 
 
+@query("increment_complete", f"SELECT {EVENT_OUT} FROM events")
+def increment_complete(spark, root):
+    """A history and two increments: one after a day without run, both with rows that came late on the last loaded
+    day. Read back and cleaned by key they are the whole table."""
+    events = table(spark, root, "events").withColumnRenamed("ts", "last_update")
+    path = work_folder(spark, "increments")
+    journal = Journal(spark, f"{path}/journal")
+    days = [str(d) for d in events.select(F.to_date(F.min("last_update")), F.to_date(F.max("last_update"))).first()]
+    first, second, last = days[0], str(date.fromisoformat(days[0]) + timedelta(days=2)), days[1]
+    day, late = F.to_date("last_update"), F.col("event_id") % 10 == 0
+    for run, until in enumerate((first, second, last)):
+        there = events if until == last else events.filter((day < until) | ((day == until) & ~late))
+        source = FrameSource(spark, {"events": there})
+        if run == 0:
+            extract_history(source, f"{path}/raw", journal, fmt="parquet")
+        else:
+            extract_increment(source, f"{path}/raw", journal, until, fmt="parquet")
+    loaded = spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{path}/raw/events")
+    spec = TableSpec("events", ("event_id",))
+    return events_out(loaded.transform(clean(spec, "historical", fill=False)).withColumnRenamed("last_update", "ts"))
+
+
 @query("key_increment", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)")
 def key_increment(spark, root):
     orders = table(spark, root, "orders")

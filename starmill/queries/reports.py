@@ -168,9 +168,8 @@ def describe_orders(spark, root):
 
 @query("describe_lineitem", _describe_sql("lineitem", "l_quantity l_extendedprice l_discount"))
 def describe_lineitem(spark, root):
-    """The same report with the exact search that replaces the built-in percentile on large tables."""
-    return _rounded(profile.describe(table(spark, root, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"],
-                                     buffer_rows=4096))
+    """The same report of several columns at once."""
+    return _rounded(profile.describe(table(spark, root, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"]))
 
 
 @query("total_and_mean", """SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total,
@@ -178,10 +177,9 @@ def describe_lineitem(spark, root):
 FROM orders""")
 def total_and_mean(spark, root):
     orders = table(spark, root, "orders").select(F.col("o_totalprice").cast(MONEY).alias("amount"), "o_totalprice")
-    out = profile.total_and_mean(orders, "amount").select("total")
-    mean = profile.total_and_mean(orders, "o_totalprice").select(F.round("mean", 4).alias("mean"))
-    return out.select(F.col("total").cast("double").alias("total"), mean.scalar().alias("mean"),
-                      money_text(F.col("total")).alias("total_text"))
+    return profile.total_and_mean(orders, "amount", "o_totalprice").select(
+        F.col("total").cast("double").alias("total"), F.round("mean", 4).alias("mean"),
+        money_text(F.col("total")).alias("total_text"))
 
 
 @query("value_counts", "SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY event_type")

@@ -65,12 +65,14 @@ def replace_table_query(spark, root):
 
 @query("idempotent_append", """SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""")
 def idempotent_append(spark, root):
-    """Two overlapping batches, the second one twice: every key is there once."""
+    """Two overlapping batches, the second one twice, and keys that return with another year, without one
+    and twice in a batch: every key is there once, as it came first."""
     orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
     path = work_folder(spark, "fact")
     early, late = orders.filter("year <= 1998"), orders.filter("year >= 1997")
-    for batch in (early, late, late):
-        append_new(batch, path, ["o_orderkey"], partition_by=["year"], within="year")
+    moved = orders.withColumn("year", F.when(F.col("o_orderkey") % 3 == 0, F.col("year") + 1))
+    for batch in (early, late, late, moved.union(moved), late.union(late)):
+        append_new(batch, path, ["o_orderkey"], partition_by=["year"])
     return spark.read.schema(orders.schema).parquet(path)
 
 

@@ -59,7 +59,7 @@ def stream_dedup(spark, root):
     path = work_folder(spark, "latest")
     keyed.collect_latest(doubled(event_stream(spark, root)), ["event_id"], ["seen_at"], f"{path}/table", f"{path}/checkpoint")
     rows = keyed.latest(spark, f"{path}/table", ["event_id"], ["seen_at"])
-    return events_out(rows).join(rows.select("event_id", "copy"), "event_id")
+    return events_out(rows, "copy")
 
 
 @query("stream_first_wins", "SELECT event_id, user_id, event_type FROM events")

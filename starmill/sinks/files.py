@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill import fixed
+from starmill.operators.dedup import latest_per_key
 from starmill.operators.increment import with_run_date
-from starmill.session import work_folder
 
 # What ``sources.files`` reads back unchanged: embedded quotes are doubled, texts are always quoted
 # so that leading spaces, line breaks and empty texts survive.
@@ -87,21 +87,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return df.drop(CURRENT)
 
 
-def new_rows(df: DataFrame, existing: DataFrame | None, keys: Sequence[str], within: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose key the table does not hold yet.
+def new_rows(df: DataFrame, existing: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """One row of ``df`` for each key that the table does not hold yet.
 
-    ``within`` names a column that is fixed for a key, best a partition column such as the day of a
-    fact: only that part of the table is compared which lies in the range of the new rows, so a load
-    of one day does not read all history.
+    Of repeats in ``df`` the same one stays each time. Of the table only the key columns are read, all of
+    them: a key may return with another day.
     """
+    df = latest_per_key(df, keys)
     if existing is None:
         return df
-    if within:
-        low, high = df.agg(F.min(within), F.max(within)).first()
-        if low is not None:
-            in_range = F.col(within).between(F.lit(low), F.lit(high))
-            # A NULL has no range; such rows are compared with each other.
-            existing = existing.filter(in_range | F.col(within).isNull())
     held = existing.select(*keys)
     marks = [df[k].eqNullSafe(held[k]) for k in keys]
     test = marks[0]
@@ -110,18 +104,7 @@ def new_rows(df: DataFrame, existing: DataFrame | None, keys: Sequence[str], wit
     return df.join(held, test, "left_anti")
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Sequence[str] = (),
-               within: str | None = None) -> int:
-    """Append the rows whose key is new, so that loading a batch twice adds nothing.
-
-    With ``within`` the batch is needed twice, for its range and for the rows. It is written to the
-    work folder first and read from there, so that what builds it runs once.
-    """
-    spark = df.sparkSession
-    held = read_table(spark, path)
-    if held is not None and within:
-        staged = work_folder(spark, "batch")
-        df.write.parquet(staged)
-        df = spark.read.schema(df.schema).parquet(staged)
-    return write_files(new_rows(df, held, keys, within), path, partition_by=partition_by,
+def append_new(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Sequence[str] = ()) -> int:
+    """Append the rows whose key is new, so that loading a batch twice adds nothing."""
+    return write_files(new_rows(df, read_table(df.sparkSession, path), keys), path, partition_by=partition_by,
                        rebalance=bool(partition_by))

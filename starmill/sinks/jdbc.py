@@ -33,9 +33,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
 
 
 def append_new_jdbc(df: DataFrame, existing: DataFrame | None, keys: Sequence[str], url: str, table: str,
-                    options: Mapping[str, str] | None = None, within: str | None = None) -> str:
+                    options: Mapping[str, str] | None = None) -> str:
     """Append only rows whose key the target lacks, so a repeated load or a retry adds nothing."""
-    return write_jdbc(new_rows(df, existing, keys, within), url, table, "append", options)
+    return write_jdbc(new_rows(df, existing, keys), url, table, "append", options)
 
 
 def held_rows(spark: SparkSession, url: str, schema: str, table: str,
@@ -49,10 +49,10 @@ def held_rows(spark: SparkSession, url: str, schema: str, table: str,
 
 
 def write_spec_jdbc(df: DataFrame, spec: TableSpec, url: str, schema: str,
-                    options: Mapping[str, str] | None = None, *, within: str | None = None) -> str:
+                    options: Mapping[str, str] | None = None) -> str:
     """Write as the spec says: dimensions are replaced, facts get the keys that are new."""
     table = f"{schema}.{spec.name}"
     if spec.mode == "overwrite":
         return write_jdbc(df, url, table, "overwrite", options)
     held = held_rows(df.sparkSession, url, schema, spec.name, options)
-    return append_new_jdbc(df, held, spec.keys, url, table, options, within)
+    return append_new_jdbc(df, held, spec.keys, url, table, options)

@@ -31,7 +31,7 @@ def attempt(table: str, load: Callable[[], int]) -> Outcome:
         rows = load()
     except Exception as error:  # noqa: BLE001  (one bad table must not stop the others)
         log.exception("table %s failed", table)
-        return Outcome(table, "failed", 0, str(error)[:2000], time.monotonic() - start)
+        return Outcome(table, "failed", 0, str(error), time.monotonic() - start)
     return Outcome(table, "written" if rows else "empty", rows, None, time.monotonic() - start)
 
 

@@ -6,6 +6,7 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_module
+from starmill.queries import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(ROOT).exists(), reason="needs the test tables")
@@ -16,7 +17,7 @@ def con():
     return duck(ROOT)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     df = entry_module.queries()[name](spark, ROOT)
     sql = entry_module.oracle_sql().get(name)

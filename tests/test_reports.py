@@ -111,10 +111,9 @@ HARD = {
 
 @pytest.mark.parametrize("name", HARD)
 def test_large_quantiles_are_exact(spark, name):
-    """Small buffers and a coarse sketch force several rounds of the search."""
     values = HARD[name](np.random.default_rng(7))
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(5)
-    got = exact_quantiles(df, ["x"], (0.0, 0.25, 0.5, 0.75, 1.0), buffer_rows=50, accuracy=20)["x"]
+    got = exact_quantiles(df, ["x"], (0.0, 0.25, 0.5, 0.75, 1.0))["x"]
     assert got == pytest.approx(list(np.quantile(values, (0, .25, .5, .75, 1))), rel=1e-12)
 
 
@@ -123,7 +122,7 @@ def test_large_quantiles_are_exact(spark, name):
 def test_large_quantiles_of_few_values(spark, values):
     kept = [v for v in values if v is not None]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_quantiles(df, ["x"], (0.25, 0.5, 0.75), buffer_rows=3, accuracy=4)["x"]
+    got = exact_quantiles(df, ["x"], (0.25, 0.5, 0.75))["x"]
     assert got == (pytest.approx(list(np.quantile(kept, (.25, .5, .75)))) if kept else [None] * 3)
 
 

@@ -56,11 +56,11 @@ def test_append_twice_adds_nothing(spark, tmp_path):
     path = str(tmp_path)
     batch = spark.createDataFrame([(1, 20240101), (2, 20240102), (None, None)], "id int, day int")
     for expected in (3, 0):
-        assert files.append_new(batch, path, ["id"], partition_by=["day"], within="day") == expected
-    more = batch.union(spark.createDataFrame([(3, 20240102)], "id int, day int"))
-    assert files.append_new(more, path, ["id"], partition_by=["day"], within="day") == 1
+        assert files.append_new(batch, path, ["id"], partition_by=["day"]) == expected
+    more = batch.union(spark.createDataFrame([(3, 20240102), (3, 20240103), (1, None), (2, 20240401)], "id int, day int"))
+    assert files.append_new(more, path, ["id"], partition_by=["day"]) == 1
     assert spark.read.parquet(path).count() == 4
-    new = files.new_rows(more, files.read_table(spark, path), ["id"], "day")
+    new = files.new_rows(more, files.read_table(spark, path), ["id"])
     assert new.count() == 0
     assert files.append_new(batch, str(tmp_path / "x"), ["id"]) == 3
 
