@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions.columns import time_text
 from starmill.functions.names import normalise_columns
-from starmill.operators.clean import clean, drop_empty_rows, fill_defaults, tidy
+from starmill.operators.clean import clean, drop_empty_rows, fill_defaults, rejects, tidy
 from starmill.operators.dedup import dedup_counts, distinct_rows, latest_per_key
 from starmill.operators.rules import keep_positive, lowered, rounded
 from starmill.queries.base import query, table
@@ -184,3 +184,42 @@ def dedup_unordered(spark, root):
     """No change column: the remaining columns decide, so the survivor is still the same each time."""
     rows = table(spark, root, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
     return latest_per_key(rows, ["o_custkey", "o_orderpriority"])
+
+
+TEXT_ORDERS = TableSpec("orders", ("order_id",), refs=("customer_id",), types={
+    "order_id": "bigint", "customer_id": "bigint", "total_price": "decimal(10,2)"})
+
+
+def text_orders(spark: SparkSession, root: str) -> DataFrame:
+    """Orders as texts, some of which are no numbers, too large or too fine for their type."""
+    key = F.col("o_orderkey")
+    return table(spark, root, "orders").select(
+        F.when(key % 23 == 0, F.concat(F.lit("no "), key.cast("string"))).otherwise(key.cast("string")).alias("Order ID"),
+        F.when(key % 29 == 0, F.lit("?")).otherwise(F.col("o_custkey").cast("string")).alias("Customer ID"),
+        F.when(key % 7 == 0, F.lit("n/a")).when(key % 11 == 0, F.lit("123456789.99")).when(key % 13 == 0, F.lit("2.999"))
+        .when(key % 17 == 0, F.lit(" ")).otherwise(F.lit("10.50")).alias("Total Price"))
+
+
+@query("clean_rejects", """
+WITH lost AS (
+  SELECT 'order_id' AS "column", 'unread' AS kind, 'no ' || o_orderkey AS value FROM orders WHERE o_orderkey % 23 = 0
+  UNION ALL SELECT 'customer_id', 'unread', '?' FROM orders WHERE o_orderkey % 29 = 0
+  UNION ALL SELECT 'total_price', CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'unread' ELSE 'rounded' END,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' WHEN o_orderkey % 11 = 0 THEN '123456789.99' ELSE '2.999' END
+  FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0)
+SELECT "column", kind, value, count(*) AS rows FROM lost GROUP BY ALL""")
+def clean_rejects(spark, root):
+    """Each value that the types cannot hold."""
+    return rejects(text_orders(spark, root), TEXT_ORDERS)
+
+
+@query("clean_unread", """
+SELECT CASE WHEN o_orderkey % 23 <> 0 THEN o_orderkey END AS order_id,
+  CASE WHEN o_orderkey % 29 <> 0 THEN o_custkey END AS customer_id,
+  CAST(CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 3
+    WHEN o_orderkey % 17 = 0 THEN 0 ELSE 10.5 END AS DOUBLE) AS total_price
+FROM orders""")
+def clean_unread(spark, root):
+    """Rows with values that cannot be read stay, each of them, and get no default."""
+    return text_orders(spark, root).transform(clean(TEXT_ORDERS, "historical")).withColumn(
+        "total_price", F.col("total_price").cast("double"))

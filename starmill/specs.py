@@ -28,6 +28,7 @@ class TableSpec:
     refs: tuple[str, ...] = ()
     types: Mapping[str, str] = field(default_factory=dict)
     rules: tuple[Rule, ...] = ()
+    names: tuple[str, ...] = ()  # columns that name a row without being its key: no default, no content of their own
 
     @property
     def mode(self) -> str:
@@ -36,7 +37,7 @@ class TableSpec:
 
     @property
     def unfilled(self) -> frozenset[str]:
-        return frozenset(self.keys) | frozenset(self.refs)
+        return frozenset(self.keys) | frozenset(self.refs) | frozenset(self.names)
 
 
 def is_time_name(column: str) -> bool:
@@ -45,10 +46,11 @@ def is_time_name(column: str) -> bool:
 
 
 def guess_spec(df: DataFrame, name: str, keys: tuple[str, ...] | None = None) -> TableSpec:
-    """Spec for a table nobody described: first column is the key, text time columns are parsed."""
+    """Spec for a table nobody described: text time columns are parsed, the first column names a row. Without
+    a declared key no rows are merged by key, so that a bridge table keeps all of them."""
     types = {f.name: "timestamp" for f in df.schema.fields
              if isinstance(f.dataType, T.StringType) and is_time_name(f.name)}
-    return TableSpec(name, keys=keys if keys is not None else (df.columns[0],), types=types)
+    return TableSpec(name, keys=keys or (), types=types, names=() if keys else tuple(df.columns[:1]))
 
 
 _STAMP = {fixed.CHANGE_COLUMN: "timestamp"}
