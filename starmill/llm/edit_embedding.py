@@ -16,18 +16,22 @@ documents and a row each in results; a row without id comes first in the order;
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.components import connected
-from starmill.llm.texts import by_bytes, keep, strings
+from starmill.llm.texts import by_bytes, id_and_text, keep, strings
 
 SAMPLES = 512
 MOST_SAMPLES = 1024
 PERIOD = 8192  # steps after which the random bits repeat
 BATCH_BYTES = 24 << 20
+PART_CHARS = 128 << 20
 BANDS, BAND_BITS, BAND_RANGE = 24, 14, 120
 MASK = (1 << 64) - 1
 NO_ID = -(1 << 63)
@@ -128,76 +132,99 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .withColumn("k", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("h", F.xxhash64("text"))
 
 
-def followers(docs: DataFrame) -> DataFrame:
-    """k, h, n, next_k, next_h: each document with the next one; only ids, hashes and lengths are sorted."""
-    keys = docs.select("k", "h", F.char_length("text").alias("n")).distinct()
-    keys = keep(keys.orderBy("k", "h").withColumn("part", F.spark_partition_id()), "edit-order")
-    key = F.struct("k", "h")
-    inner = keys.withColumn("next", F.lead(key).over(Window.partitionBy("part").orderBy("k", "h")))
-    firsts = keys.groupBy("part").agg(F.min(key).alias("first"))  # a row for each partition
-    over = firsts.select("part", F.lead("first").over(Window.orderBy("part")).alias("after"))
-    start = firsts.agg(F.min("first").alias("start"))
-    found = inner.join(F.broadcast(over), "part", "left").join(F.broadcast(start))
-    following = F.coalesce("next", "after", "start")
-    return found.select("k", "h", "n", following["k"].alias("next_k"), following["h"].alias("next_h"))
+def first_of_parts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """k and h of the first document of each part of the order; the parts' number is that of the shuffle, or more for very
+    many characters. Only ids, hashes and lengths are dealt out, a row for each part comes to the driver."""
+    spark = docs.sparkSession
+    keys = keep(docs.select("k", "h", F.char_length("text").alias("n")), "edit-keys")
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_CHARS))
+    found = keys.repartitionByRange(parts, "k").groupBy(F.spark_partition_id()).agg(F.min(F.struct("k", "h")).alias("low"))
+    firsts = sorted((r.low.k, r.low.h) for r in found.collect())
+    return tuple(np.array(x, np.int64) for x in (zip(*firsts) if firsts else ((), ())))
 
 
-def fingerprint(docs: DataFrame, columns: dict[str, str], keys: list[str]) -> DataFrame:
-    """``keys`` of ``docs`` and the fingerprints of its text columns; ``columns`` names each text column's result."""
-    types = dict(docs.dtypes)
+def with_next(docs: DataFrame) -> DataFrame:
+    """``docs`` dealt to the parts in order, part by part sorted; the first document of a part also stands behind the part before."""
+    first_k, first_h = first_of_parts(docs)
+    parts = max(1, len(first_k))
 
-    def run(batches):
-        for batch in by_bytes(batches, next(iter(columns)), BATCH_BYTES):
-            whole = [t for c in columns for t in strings(batch.column(c))]
-            prints = fingerprints(whole)
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keys] + [pa.array(prints[k * n:(k + 1) * n], pa.string())
-                                                   for k in range(len(columns))],
-                names=[*keys, *columns.values()])
+    @F.pandas_udf("array<int>")
+    def places(k: pd.Series, h: pd.Series) -> pd.Series:
+        part = np.searchsorted(first_k, k.to_numpy(), "right") - 1
+        first = (first_k[part] == k.to_numpy()) & (first_h[part] == h.to_numpy())
+        return pd.Series([[p, parts + (p - 1) % parts] if f else [p] for p, f in zip(part.tolist(), first.tolist())])
 
-    schema = ", ".join([f"{c} {types[c]}" for c in keys] + [f"{c} string" for c in columns.values()])
-    return docs.mapInArrow(run, schema)
+    dealt = docs.withColumn("place", F.explode(places("k", "h")))
+    dealt = dealt.withColumn("part", F.col("place") % parts).withColumn("behind", F.col("place") >= parts)
+    return dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "behind", "k", "h").select(
+        "doc_id", "text", "k", "h", "part", "behind")
 
 
-def compare(pairs: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """``pairs`` with the likeness of two fingerprint columns and the number of bands they share."""
-    schema = ", ".join([*(f"{c} {t}" for c, t in pairs.dtypes), f"{name} double", f"{name}_bands long"])
+def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    and the numbers of shared bands, near_edited_bands and near_next_bands.
 
-    def run(batches):
-        for batch in batches:
-            both = list(zip(batch.column(a).to_pylist(), batch.column(b).to_pylist()))
-            yield batch.append_column(name, pa.array([likeness(x, y) for x, y in both], pa.float64())).append_column(
-                f"{name}_bands", pa.array([len(set(bands(x)) & set(bands(y))) for x, y in both], pa.int64()))
+    The edited text ends with the beginning of the next document in place of its last quarter. Texts are shuffled once, and
+    then read in order.
+    """
 
-    return pairs.mapInArrow(run, schema)
+    def lines(held: list[tuple[str, list]]):
+        """A line for each row of all documents of ``held`` but the last, which only follows."""
+        texts = [t for t, _ in held]
+        edits = []
+        for text, after in zip(texts, texts[1:]):
+            cut = len(text) // 4
+            edits.append(text[:len(text) - cut] + after[:cut])
+        prints = fingerprints(texts + edits)
+        keys = [set(bands(p)) for p in prints]
+        for i, (text, ids) in enumerate(held[:-1]):
+            e = len(texts) + i
+            line = (len(text), hashlib.sha256(edits[i].encode()).hexdigest(), prints[i], prints[e],
+                    likeness(prints[i], prints[e]), likeness(prints[i], prints[i + 1]),
+                    len(keys[i] & keys[e]), len(keys[i] & keys[i + 1]))
+            for doc_id in ids:
+                yield doc_id, *line
 
+    def run(batches):
+        held: list[tuple[str, list]] = []  # documents of a part, with the ids of their rows
+        last = None
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
+            out = []
+            k, h, part, behind, ids = (batch.column(c).to_pylist() for c in ("k", "h", "part", "behind", "doc_id"))
+            for doc_id, text, *key in zip(ids, strings(batch.column("text")), part, behind, k, h):
+                if key == last:
+                    if not key[1]:
+                        held[-1][1].append(doc_id)
+                    continue
+                if last and key[0] != last[0]:  # another part begins
+                    out += lines(held)
+                    held = []
+                if not (last and key[:2] == [*last[:1], True] and last[1]):  # of those behind the first is the next one
+                    held.append((text, [] if key[1] else [doc_id]))
+                last = key
+            out += lines(held)
+            held = held[-1:]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), fields)], schema=fields)
+
+    fields = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
+                        ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+                        ("near_edited_bands", pa.int64()), ("near_next_bands", pa.int64())])
+    return with_next(in_order(docs, id_col, text_col)).mapInArrow(
+        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+             "near_next double, near_edited_bands long, near_next_bands long")
+
+
+def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint: a row for each row of ``docs``."""
 
-def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    def run(batches):
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
+            prints = fingerprints(strings(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.string())], names=["doc_id", "fingerprint"])
 
-    The edited text ends with the beginning of the next document in place of its last quarter. Texts are shuffled once, and the
-    beginnings that replace their ends once more.
-    """
-    docs = in_order(docs, id_col, text_col)
-    order = keep(followers(docs), "edit-followers")
-    ends = order.select(F.col("k").alias("to_k"), F.col("h").alias("to_h"), F.expr("n div 4").cast("int").alias("cut"),
-                        F.col("next_k").alias("k"), F.col("next_h").alias("h"))
-    begun = docs.join(ends, ["k", "h"]).select(
-        F.col("to_k").alias("k"), F.col("to_h").alias("h"), "cut", F.substring("text", F.lit(1), F.col("cut")).alias("begun"))
-    both = docs.join(begun.dropDuplicates(["k", "h"]), ["k", "h"])
-    rest = F.char_length("text") - F.col("cut")
-    both = both.select("doc_id", "k", "h", F.char_length("text").cast("long").alias("n_chars"), "text",
-                       F.concat(F.substring("text", F.lit(1), rest), "begun").alias("edited"))
-    both = both.withColumn("edited_sha256", F.sha2(F.col("edited"), 256))
-    prints = fingerprint(both, {"text": "fingerprint", "edited": "edited_fingerprint"},
-                         ["doc_id", "k", "h", "n_chars", "edited_sha256"])
-    prints = keep(compare(prints, "fingerprint", "edited_fingerprint", "near_edited"), "edit-prints")
-    following = prints.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"),
-                              F.col("fingerprint").alias("next_fingerprint")).distinct()
-    found = prints.join(order.drop("n"), ["k", "h"]).join(following, ["next_k", "next_h"])
-    return compare(found.drop("k", "h", "next_k", "next_h"), "fingerprint", "next_fingerprint", "near_next").drop(
-        "next_fingerprint")
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint string")
 
 
 def near_classes(prints: DataFrame, least: float = 0.75) -> DataFrame:
