@@ -9,10 +9,10 @@ d + 1: at most d of them can miss from the partner's, so the first common one is
 (pigeonhole). A set with fewer non-empty words publishes all of them and its empty ones too. So no pair is lost.
 
 Words that hold more shingles come first in the order, because a passage that many documents share fills them less often.
-Sets that publish an equal word meet in a bucket. Each first meets the smallest set of its buckets; the links found give
-components, and only members of different components of a bucket are then compared, block by block, by a second sketch
-of 1,024 parity bits whose Hamming distance also bounds the symmetric difference from below. Every pair that passes is verified on
-whole sets. Equal sets are one node throughout.
+Sets that publish an equal word meet in a bucket, where each meets the bucket's first; of these it is compared with the one
+that it shares most buckets with. The links found give components, and only members of different components of a bucket are
+then compared, block by block, by a second sketch of parity bits, about twice as many as members, whose Hamming distance also
+bounds the symmetric difference from below. Every pair that passes is verified on whole sets. Equal sets are one node throughout.
 
 Edge cases: without text or words a set is empty and linked with nothing; with fewer words than a shingle the whole
 sequence is the only member; repeated rows and equal texts are in one class; an empty table gives no rows. Set
@@ -36,10 +36,10 @@ from starmill.llm.texts import by_bytes, id_and_text, keep, strings
 from starmill.operators.spread import spread_join
 
 WIDTH = 5
-BITS = 1024
+LEAST_BITS = 128
 CACHED_WORDS = 500_000
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; beyond that the ids are shuffled
-BLOCK = 512
+BLOCK_WORDS = 1_000_000  # of the sketches compared at a time
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -84,8 +84,14 @@ def set_id(members: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
 
 
-def parity_bits(members: np.ndarray, bits: int = BITS) -> bytes:
+def width_of(n: int) -> int:
+    """Parity bits of a set of ``n`` members: a power of two, at least three for two members."""
+    return max(LEAST_BITS, 1 << (3 * n // 2 - 1).bit_length())
+
+
+def parity_bits(members: np.ndarray) -> bytes:
     """Each member flips one bit."""
+    bits = width_of(len(members))
     flips = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
@@ -205,14 +211,18 @@ def meet(published_words: DataFrame) -> DataFrame:
 
 
 def may_link(n: np.ndarray, bits: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Pairwise: sizes within the ratio and sketches no further apart than linked sets can be."""
+    """Pairwise: sizes within the ratio and sketches of one width no further apart than linked sets can be."""
     apart = np.bitwise_count(bits ^ other).sum(axis=-1, dtype=np.int64)
     return (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (7 * apart <= n + m)
 
 
-def words_of(bits: np.ndarray) -> np.ndarray:
-    """Sketches as rows of 64-bit words."""
-    return np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1)
+def words_of(bits: np.ndarray, width: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, those of twice the ``width`` folded to it: the halves' parities add up."""
+    rows = np.empty((len(bits), width // 64), np.uint64)
+    for i, own in enumerate(bits):
+        own = np.frombuffer(own, np.uint64)
+        rows[i] = own if len(own) == rows.shape[1] else own[:rows.shape[1]] ^ own[rows.shape[1]:]
+    return rows
 
 
 def across(members: DataFrame) -> DataFrame:
@@ -221,20 +231,27 @@ def across(members: DataFrame) -> DataFrame:
     def pairs(sid, component, n, bits):
         order = np.argsort(n, kind="stable")
         sid, component, n, bits = sid[order], component[order], n[order], bits[order]
-        for start in range(0, len(n), BLOCK):
-            rows = slice(start, start + BLOCK)
-            until = int(np.searchsorted(n, 4 * n[rows][-1] // 3, "right"))
-            for at in range(start, until, BLOCK):
-                cols = slice(at, min(at + BLOCK, until))
-                ok = (component[rows][:, None] != component[None, cols]) & may_link(
-                    n[rows][:, None], bits[rows][:, None, :], n[None, cols], bits[None, cols, :])
-                left, right = np.nonzero(ok)
-                if len(left):
-                    yield sid[rows][left], sid[cols][right]
+        widths = np.array([8 * len(x) for x in bits])  # sorted, as the sizes are
+        for width in np.unique(widths):
+            first, last = np.searchsorted(widths, [width, 2 * width])
+            until = int(np.searchsorted(widths, 2 * width, "right"))
+            words = words_of(bits[first:until], width)
+            block = max(8, int((BLOCK_WORDS / words.shape[1]) ** 0.5))
+            for start in range(int(first), int(last), block):
+                rows = slice(start, min(start + block, int(last)))
+                near = min(until, int(np.searchsorted(n, 4 * n[rows][-1] // 3, "right")))
+                for at in range(start, near, block):
+                    cols = slice(at, min(at + block, near))
+                    ok = component[rows][:, None] != component[None, cols]
+                    if ok.any():
+                        ok &= may_link(n[rows][:, None], words[rows.start - first:rows.stop - first][:, None, :],
+                                       n[None, cols], words[None, cols.start - first:cols.stop - first, :])
+                        left, right = np.nonzero(ok)
+                        if len(left):
+                            yield sid[rows][left], sid[cols][right]
 
     def run(batches):
         for key, sid, component, n, bits in runs(batches, ["key", "sid", "component", "n_shingles", "bits"]):
-            bits = words_of(bits)
             edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
             found = [p for x, y in zip(edges, edges[1:]) for p in pairs(*(c[x:y] for c in (sid, component, n, bits)))]
             if found:
@@ -249,10 +266,16 @@ def by_sketch(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                col = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
-                ok = may_link(col["n"], words_of(col["x"]), col["m"], words_of(col["y"]))
-                yield pa.RecordBatch.from_arrays([pa.array(col["a"][ok]), pa.array(col["b"][ok])], names=["a", "b"])
+            col = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+            width = np.array([8 * min(len(x), len(y)) for x, y in zip(col["x"], col["y"])])
+            size_ok = 4 * np.minimum(col["n"], col["m"]) >= 3 * np.maximum(col["n"], col["m"])
+            ok = np.zeros(len(width), bool)
+            for own in np.unique(width):
+                at = np.flatnonzero((width == own) & size_ok)  # widths differ by two at most
+                for part in np.array_split(at, 1 + len(at) * own // 64 // BLOCK_WORDS):
+                    ok[part] = may_link(col["n"][part], words_of(col["x"][part], own),
+                                        col["m"][part], words_of(col["y"][part], own))
+            yield pa.RecordBatch.from_arrays([pa.array(col["a"][ok]), pa.array(col["b"][ok])], names=["a", "b"])
 
     left = nodes.select(F.col("sid").alias("a"), F.col("n_shingles").alias("n"), F.col("bits").alias("x"))
     right = nodes.select(F.col("sid").alias("b"), F.col("n_shingles").alias("m"), F.col("bits").alias("y"))
@@ -305,12 +328,13 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     nodes = keep(nodes, "parity-nodes")
     members = keep(meet(publish(docs, width)), "parity-buckets")
 
-    first = members.filter("anchor <> sid").groupBy(F.col("sid").alias("b")).agg(F.min("anchor").alias("a"))
+    shared = members.filter("anchor <> sid").groupBy("sid", "anchor").count()
+    first = shared.groupBy(F.col("sid").alias("b")).agg(F.max_by("anchor", F.struct("count", "anchor")).alias("a"))
     links = keep(verify(by_sketch(first.select("a", "b"), nodes), docs, nodes, width, percent), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
     rows = spread_join(members.select("key", "sid"), parts.withColumnRenamed("node", "sid"), ["sid"], "left", ["sid"])
-    rows = rows.select("key", "sid", F.coalesce("component", "sid").alias("component"))
+    rows = keep(rows.select("key", "sid", F.coalesce("component", "sid").alias("component")), "parity-rows")
     mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rows = rows.join(mixed.filter("low <> high").select("key"), "key").join(nodes.drop("doc_id"), "sid")
     rest = across(rows.select("key", "sid", "component", "n_shingles", "bits"))

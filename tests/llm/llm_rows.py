@@ -1,3 +1,5 @@
+"""Fixtures of the operators' tests, imported by name (a second conftest would hide the first)."""
+
 import pytest
 
 from starmill.llm.texts import send_package

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 from compare import difference, duck
+from llm_rows import package  # noqa: F401
 
 import __spark_entry__ as entry_module
 from starmill.llm import bpe, parity_join, secret_scan

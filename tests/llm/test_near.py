@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_rows import awkward, nothing, package  # noqa: F401
 
 from starmill.llm import edit_embedding, hnsw, parity_join
 from starmill.llm.components import connected
@@ -97,8 +98,9 @@ def test_linked_sets_publish_an_equal_word(n, apart, seed):
     common = len(np.intersect1d(a, b))
     if 100 * common >= 75 * (len(a) + len(b) - common):
         assert set(parity_join.published(a)) & set(parity_join.published(b))
-        bits = [np.frombuffer(parity_join.parity_bits(x), np.uint64) for x in (a, b)]
-        assert parity_join.may_link(np.array(len(a)), bits[0], np.array(len(b)), bits[1])
+        bits = [parity_join.parity_bits(x) for x in (a, b)]
+        words = parity_join.words_of(bits, 8 * min(map(len, bits)))
+        assert parity_join.may_link(np.array(len(a)), words[0], np.array(len(b)), words[1])
 
 
 def test_parity_join_of_awkward_rows(awkward, nothing):

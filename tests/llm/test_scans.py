@@ -6,6 +6,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_rows import awkward, nothing, package  # noqa: F401
 
 from starmill.llm import license_scan, secret_scan, tool_calls
 

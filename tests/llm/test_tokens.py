@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_rows import awkward, nothing, package  # noqa: F401
 from tokenizers import Tokenizer
 
 from starmill.llm import bpe, packing, token_counts

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import pytest
+from llm_rows import awkward, nothing, package  # noqa: F401
 from test_near import jaccard_by_force, smallest
 from test_tokens import check_sequences
 
