@@ -197,9 +197,10 @@ def pack(pieces: DataFrame, most: int = SEQUENCE, group: int = GROUP_PIECES) ->
 
     ``group`` bounds the pieces that a task packs at a time; the number of groups grows with the input.
     """
+    pieces = keep(pieces, "packing-pieces")  # texts are tokenised once
     full = pieces.filter(F.col("length") == most).withColumn("offset", F.lit(0).cast("long"))
     rest = pieces.filter(F.col("length") < most).withColumn("salt", F.monotonically_increasing_id())
-    rest = keep(rest, "packing-pieces")
+    rest = keep(rest, "packing-rest")
     left, done, turn = rest.count(), [], 0
     while left:
         groups = max(1, -(-left // group))
