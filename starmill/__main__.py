@@ -17,7 +17,7 @@ from starmill.operators.quality import rental_checks
 from starmill.plans import jobs
 from starmill.plans.extract import Journal, extract_history, extract_increment, history_manifest
 from starmill.session import build_session
-from starmill.sinks.jdbc import write_jdbc, write_spec_jdbc
+from starmill.sinks.jdbc import load_spec_jdbc
 from starmill.sinks.report import LoadFailed, Outcome, report
 from starmill.sources.files import read_registry
 from starmill.sources.jdbc import JdbcSource
@@ -57,17 +57,12 @@ def source(spark: SparkSession, path: str, schema: str) -> JdbcSource:
 
 
 def jdbc_sink(path: str, schema: str, *, star: bool) -> jobs.Sink:
-    """Cleaned tables are appended; star tables are replaced or get their new keys."""
+    """Cleaned tables and facts get their new keys, dimensions are replaced."""
     options = jdbc_file(path)
     url = options.pop("url")
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
-        if star:
-            status = write_spec_jdbc(df, spec, url, schema, options)
-        else:
-            status = write_jdbc(df, url, f"{schema}.{spec.name}", "append", options)
-        # The database does not report the number of rows; 1 stands for "written".
-        return int(status == "written")
+        return load_spec_jdbc(df, spec, url, schema, options, replace=star and spec.mode == "overwrite")
 
     return sink
 

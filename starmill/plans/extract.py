@@ -23,6 +23,8 @@ class Source(Protocol):
 
     def catalog(self) -> DataFrame: ...
     def read(self, table: str) -> DataFrame: ...
+    def key_range(self, table: str, key: str) -> DataFrame: ...
+    def day_counts(self, table: str, column: str) -> DataFrame: ...
     def read_by_key(self, table: str, key: str, rows: int, min_id: int | None, max_id: int) -> DataFrame: ...
     def read_by_day(self, table: str, column: str, days: Mapping[str | None, int],
                     key: str | None = None) -> DataFrame: ...
@@ -101,12 +103,12 @@ def extract_history(source: Source, target: str, journal: Journal, *, fmt: str =
 def _scan(source: Source, table: str, keys: list[str], strategy: str) -> tuple[DataFrame, int | None, str | None]:
     """The rows to extract, and the mark they reach: a key or a day."""
     if strategy == "date":
-        days = inc.day_counts(source.read(table), fixed.CHANGE_COLUMN).collect()
+        days = source.day_counts(table, fixed.CHANGE_COLUMN).collect()
         counts = {str(r["day"]) if r["day"] else None: r["rows"] for r in days}
         last = max((day for day in counts if day), default=None)
         return source.read_by_day(table, fixed.CHANGE_COLUMN, counts, _number_key(source.read(table), keys)), None, last
     if strategy == "key":
-        rows, low, top = inc.key_range(source.read(table), keys[0]).first()
+        rows, low, top = source.key_range(table, keys[0]).first()
         return source.read_by_key(table, keys[0], rows, low, top).filter(F.col(keys[0]) <= F.lit(top)), top, None
     return source.read(table), None, None
 
@@ -173,8 +175,8 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
 def _load_keys(source: Source, table: str, key: str, last_id: int, path: str, run_date: str, run_id: str,
                fmt: str, journal: Journal) -> Outcome:
     # The upper bound is fixed before the write, so the mark never passes a row that was not written.
-    top = inc.key_range(source.read(table), key).first()["max_id"]
-    new = inc.key_increment(source.read(table), key, last_id).filter(F.col(key) <= F.lit(top))
+    rows, low, top = source.key_range(table, key).first()
+    new = inc.key_increment(source.read_by_key(table, key, rows, max(last_id, low or 0), top), key, last_id).filter(F.col(key) <= F.lit(top))
     outcome = attempt(table, lambda: write_increment(new, path, run_date, run_id, fmt=fmt))
     if outcome.status == "written":
         journal.save_state(source.spark.createDataFrame([(table, top, True)], inc.STATE_SCHEMA))

@@ -14,7 +14,7 @@ from starmill.operators.dedup import latest_per_key
 from starmill.operators.increment import with_run_date
 
 # What ``sources.files`` reads back unchanged: embedded quotes are doubled, texts are always quoted
-# so that leading spaces, line breaks and empty texts survive.
+# so that leading spaces and line breaks survive. CSV has no empty text: it comes back as NULL.
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "quoteAll": "true",
              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 CURRENT = "snapshot"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.sinks.files import new_rows
 from starmill.sources.jdbc import JdbcSource
@@ -22,14 +23,26 @@ def jdbc_options(url: str, table: str, options: Mapping[str, str] | None = None)
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                options: Mapping[str, str] | None = None) -> str:
-    """Write with the given mode; returns ``written`` or ``empty``.
+    """Write with the given mode; returns ``written`` or ``empty``."""
+    return _status(load_jdbc(df, url, table, mode, options))
+
+
+def load_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
+              options: Mapping[str, str] | None = None) -> int:
+    """Write with the given mode and return the rows, counted in the tasks that write.
 
     An empty frame must not truncate its target, so a replacing write asks for one row first.
     """
     if mode == "overwrite" and df.isEmpty():
-        return "empty"
-    df.write.format("jdbc").options(**jdbc_options(url, table, options)).mode(mode).save()
-    return "written"
+        return 0
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.format("jdbc").options(
+        **jdbc_options(url, table, options)).mode(mode).save()
+    return rows.get["rows"]
+
+
+def _status(rows: int) -> str:
+    return "written" if rows else "empty"
 
 
 def append_new_jdbc(df: DataFrame, existing: DataFrame | None, keys: Sequence[str], url: str, table: str,
@@ -50,9 +63,16 @@ def held_rows(spark: SparkSession, url: str, schema: str, table: str,
 
 def write_spec_jdbc(df: DataFrame, spec: TableSpec, url: str, schema: str,
                     options: Mapping[str, str] | None = None) -> str:
-    """Write as the spec says: dimensions are replaced, facts get the keys that are new."""
+    """Write as the spec says; returns ``written`` or ``empty``."""
+    return _status(load_spec_jdbc(df, spec, url, schema, options, replace=spec.mode == "overwrite"))
+
+
+def load_spec_jdbc(df: DataFrame, spec: TableSpec, url: str, schema: str, options: Mapping[str, str] | None = None, *,
+                   replace: bool) -> int:
+    """Replace the table, or append the keys that are new, and return the rows. Without a key all rows are new."""
     table = f"{schema}.{spec.name}"
-    if spec.mode == "overwrite":
-        return write_jdbc(df, url, table, "overwrite", options)
-    held = held_rows(df.sparkSession, url, schema, spec.name, options)
-    return append_new_jdbc(df, held, spec.keys, url, table, options)
+    if replace:
+        return load_jdbc(df, url, table, "overwrite", options)
+    if spec.keys and set(spec.keys) <= set(df.columns):
+        df = new_rows(df, held_rows(df.sparkSession, url, schema, spec.name, options), spec.keys)
+    return load_jdbc(df, url, table, "append", options)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill import fixed
-from starmill.operators.increment import CATALOG_SCHEMA
+from starmill.operators.increment import CATALOG_SCHEMA, day_counts, key_range
 
 
 def has_column(df: DataFrame, column: str) -> bool:
@@ -35,6 +35,12 @@ class FrameSource:
     def read(self, table: str) -> DataFrame:
         return self.frames[table]
 
+    def key_range(self, table: str, key: str) -> DataFrame:
+        return key_range(self.frames[table], key)
+
+    def day_counts(self, table: str, column: str) -> DataFrame:
+        return day_counts(self.frames[table], column)
+
     def read_by_key(self, table: str, key: str, rows: int, min_id: int | None, max_id: int) -> DataFrame:
         return self.frames[table]
 

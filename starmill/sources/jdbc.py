@@ -73,6 +73,17 @@ class JdbcSource:
             out += [test] if parts == 1 else [f"{test} AND ABS(MOD({self.name(key)}, {parts})) = {i}" for i in range(parts)]
         return out
 
+    def key_range_sql(self, table: str, key: str) -> str:
+        """Rows, smallest and largest key, added up by the database."""
+        col = self.name(key)
+        return (f"SELECT COUNT(*) AS row_count, MIN({col}) AS min_id, COALESCE(MAX({col}), 0) AS max_id "
+                f"FROM {self.table(table)}")
+
+    def day_counts_sql(self, table: str, column: str) -> str:
+        """Rows per day, cut in the database's own time zone, as the predicates of the days are."""
+        day = f"CAST({self.name(column)} AS DATE)"
+        return f"SELECT {day} AS day_of_row, COUNT(*) AS row_count FROM {self.table(table)} GROUP BY {day}"
+
     # --- catalog ---
 
     def _read(self, **options: str) -> DataFrame:
@@ -93,6 +104,13 @@ class JdbcSource:
         """Whole table; filters and columns are pushed into the query by Spark."""
         return self._read(dbtable=self.table(table))
 
+    def key_range(self, table: str, key: str) -> DataFrame:
+        found = self.query(self.key_range_sql(table, key)).toDF("rows", "min_id", "max_id")
+        return found.select(*(F.col(c).cast("bigint").alias(c) for c in found.columns))
+
+    def day_counts(self, table: str, column: str) -> DataFrame:
+        return self.query(self.day_counts_sql(table, column)).toDF("day", "rows").orderBy("day")
+
     def read_by_key(self, table: str, key: str, rows: int, min_id: int | None, max_id: int,
                     chunk: int = PARTITION_ROWS) -> DataFrame:
         return self._read(dbtable=self.table(table), **key_options(key, rows, min_id, max_id, chunk))

@@ -200,6 +200,10 @@ def test_jdbc_text(spark):
         "`at` IS NULL", "`at` >= DATE '2024-01-01' AND `at` < DATE '2024-01-01' + INTERVAL '1' DAY"]
     heavy = db.day_predicates("at", {"2024-01-01": 25, None: 11}, key="id", chunk=10)
     assert len(heavy) == 5 and all("MOD(`id`, " in p for p in heavy)
+    assert db.key_range_sql("t", "id") == (
+        "SELECT COUNT(*) AS row_count, MIN(`id`) AS min_id, COALESCE(MAX(`id`), 0) AS max_id FROM `shop`.`t`")
+    assert db.day_counts_sql("t", "at") == (
+        "SELECT CAST(`at` AS DATE) AS day_of_row, COUNT(*) AS row_count FROM `shop`.`t` GROUP BY CAST(`at` AS DATE)")
     assert "PRIMARY KEY" in db.keys_sql() and "'shop'" in db.tables_sql() and "'shop'" in db.columns_sql()
 
 

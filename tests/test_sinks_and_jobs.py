@@ -76,6 +76,8 @@ def test_csv_keeps_every_text(spark, tmp_path):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     files.write_files(df, str(tmp_path / "t"), fmt="csv")
     assert rows(read_csv(spark, str(tmp_path / "t"), df.schema)) == rows(df)
+    files.write_files(spark.createDataFrame([(1, "")], df.schema), str(tmp_path / "e"), fmt="csv")
+    assert rows(read_csv(spark, str(tmp_path / "e"), df.schema)) == [(1, None)]
 
 
 def test_increments_of_one_day_stay_apart(spark, tmp_path):
