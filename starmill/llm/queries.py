@@ -141,7 +141,8 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model | None:
-    return toxicity.fit(toxicity.sample(docs, labels.filter(fold() != 0)))
+    labels = labels.filter(fold() != 0)
+    return toxicity.fit(toxicity.sample(docs, labels), toxicity.shares(labels))
 
 
 @query("op9_toxicity")

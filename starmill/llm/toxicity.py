@@ -117,8 +117,12 @@ def trained(samples: list[bytes], size: int) -> bytes | None:
         return None
 
 
-def fit(rows: list[tuple[str, int]]) -> Model | None:
-    """A model of (text, label) rows; None where a class is missing or the texts are too few."""
+def fit(rows: list[tuple[str, int]], shares: dict[int, int] | None = None) -> Model | None:
+    """A model of (text, label) rows; None where a class is missing or the texts are too few.
+
+    ``shares`` has the labelled rows of each class, where the sample holds the classes in other shares: the intercept
+    is moved by the difference of the log odds.
+    """
     halves = [rows[0::2], rows[1::2]]
     if any({y for _, y in half} != {0, 1} for half in halves):
         return None
@@ -134,8 +138,11 @@ def fit(rows: list[tuple[str, int]]) -> Model | None:
     missing = [w for w in sorted(telling) if w not in own]
     own += b" " + b" ".join(missing) + b" " if missing else b""
     model = Model(ordinary + bytes(len(own)), ordinary + own, ())
-    x = np.array([evidence(t, model) for t, _ in halves[1]])
-    return Model(model.ordinary, model.toxic, logistic(x, np.array([y for _, y in halves[1]], float)))
+    x, y = np.array([evidence(t, model) for t, _ in halves[1]]), np.array([y for _, y in halves[1]], float)
+    weights = list(logistic(x, y))
+    if shares:
+        weights[0] += math.log(shares[1] / shares[0]) - math.log(y.sum() / (len(y) - y.sum()))
+    return Model(model.ordinary, model.toxic, tuple(weights))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, turns: int = 50) -> tuple[float, ...]:
@@ -155,8 +162,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, turns: int = 50)
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text",
            label_col: str = "toxic") -> list[tuple[str, int]]:
     """(text, label) of at most ``rows`` labelled documents of each class, those of the smallest hash of the id."""
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    known = known.filter("doc_id is not null and label in (0, 1)").distinct()
+    known = labelled(labels, id_col, label_col)
     one = [known.filter(f"label = {y}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for y in (0, 1)]
     chosen = F.broadcast(one[0].unionByName(one[1]))  # no more than 2 * rows ids
     found = id_and_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label").collect()
@@ -164,6 +170,17 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col:
     return [(text, label) for _, text, label in found]
 
 
+def shares(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> dict[int, int]:
+    """Labelled ids of each class, all of them."""
+    return {r["label"]: r["n"] for r in labelled(labels, id_col, label_col).groupBy("label").agg(
+        F.count("*").alias("n")).collect()}
+
+
+def labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    return known.filter("doc_id is not null and label in (0, 1)").distinct()
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score: a row for each row of ``docs``."""
 
