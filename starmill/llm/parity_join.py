@@ -12,7 +12,8 @@ Words that hold more shingles come first in the order, because a passage that ma
 Sets that publish an equal word meet in a bucket, where each meets the bucket's first; of these it is compared with the one
 that it shares most buckets with. The links found give components, and only members of different components of a bucket are
 then compared, block by block, by a second sketch of parity bits, about twice as many as members, whose Hamming distance also
-bounds the symmetric difference from below. Every pair that passes is verified on whole sets. Equal sets are one node throughout.
+bounds the symmetric difference from below. Of the pairs that pass, first a spanning part of each bucket is verified on whole
+sets, which joins what belongs together; then every pair that passes and is still in two components. Equal sets are one node throughout.
 
 Edge cases: without text or words a set is empty and linked with nothing; with fewer words than a shingle the whole
 sequence is the only member; repeated rows and equal texts are in one class; an empty table gives no rows. Set
@@ -225,8 +226,11 @@ def words_of(bits: np.ndarray, width: int) -> np.ndarray:
     return rows
 
 
-def across(members: DataFrame) -> DataFrame:
-    """a, b: pairs of a bucket whose components differ and that may be linked; of key, sid, component, n, bits."""
+def across(members: DataFrame, spanning: bool) -> DataFrame:
+    """key, a, b: pairs of a bucket whose components differ and that may be linked; of key, sid, component, n, bits.
+
+    ``spanning`` leaves out the pairs that are connected by others of their bucket: no more than members are left.
+    """
 
     def pairs(sid, component, n, bits):
         order = np.argsort(n, kind="stable")
@@ -246,6 +250,8 @@ def across(members: DataFrame) -> DataFrame:
                     if ok.any():
                         ok &= may_link(n[rows][:, None], words[rows.start - first:rows.stop - first][:, None, :],
                                        n[None, cols], words[None, cols.start - first:cols.stop - first, :])
+                        if spanning:
+                            ok = spanned(ok, component, rows, cols)
                         left, right = np.nonzero(ok)
                         if len(left):
                             yield sid[rows][left], sid[cols][right]
@@ -253,12 +259,28 @@ def across(members: DataFrame) -> DataFrame:
     def run(batches):
         for key, sid, component, n, bits in runs(batches, ["key", "sid", "component", "n_shingles", "bits"]):
             edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            found = [p for x, y in zip(edges, edges[1:]) for p in pairs(*(c[x:y] for c in (sid, component, n, bits)))]
+            found = [(np.full(len(p[0]), key[x]), *p) for x, y in zip(edges, edges[1:])
+                     for p in pairs(*(c[x:y] for c in (sid, component, n, bits)))]
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                keys, a, b = (np.concatenate(x) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))],
+                                                 names=["key", "a", "b"])
+
+    # in the same order everywhere, buckets with the same members span them by the same pairs
+    return members.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(run, "key long, a long, b long")
 
-    return members.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+
+def spanned(ok: np.ndarray, component: np.ndarray, rows: slice, cols: slice) -> np.ndarray:
+    """Of the pairs in ``ok`` those that connect; ``component`` is changed to what they connect."""
+    kept = np.zeros_like(ok)
+    for i in np.flatnonzero(ok.any(axis=1)):
+        own = rows.start + i
+        at = np.flatnonzero(ok[i] & (component[cols] != component[own]))
+        if len(at):
+            others, first = np.unique(component[cols][at], return_index=True)
+            kept[i, at[first]] = True
+            component[np.isin(component, others)] = component[own]
+    return kept
 
 
 def by_sketch(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -333,11 +355,14 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     links = keep(verify(by_sketch(first.select("a", "b"), nodes), docs, nodes, width, percent), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
-    rows = spread_join(members.select("key", "sid"), parts.withColumnRenamed("node", "sid"), ["sid"], "left", ["sid"])
-    rows = keep(rows.select("key", "sid", F.coalesce("component", "sid").alias("component")), "parity-rows")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(mixed.filter("low <> high").select("key"), "key").join(nodes.drop("doc_id"), "sid")
-    rest = across(rows.select("key", "sid", "component", "n_shingles", "bits"))
+    rows = keep(_mixed(members.select("key", "sid"), parts), "parity-rows")
+    described = nodes.select("sid", "n_shingles", "bits")
+    some = keep(across(rows.join(described, "sid"), True), "parity-spans")
+    links = keep(links.unionByName(verify(some.select("a", "b").distinct(), docs, nodes, width, percent)), "parity-links")
+    parts = keep(connected(links, "a", "b"), "parity-parts")
+
+    rows = _mixed(rows.select("key", "sid").join(some.select("key").distinct(), "key", "left_semi"), parts)
+    rest = across(rows.join(described, "sid"), False).select("a", "b").distinct().join(some, ["a", "b"], "left_anti")
     links = links.unionByName(verify(rest, docs, nodes, width, percent))
     parts = connected(links, "a", "b").withColumnRenamed("node", "sid")
 
@@ -348,6 +373,14 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     return out.select("doc_id", "n_shingles", "sid", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """key, sid, component: the members of buckets with more than one component."""
+    rows = spread_join(members, parts.withColumnRenamed("node", "sid"), ["sid"], "left", ["sid"])
+    rows = keep(rows.select("key", "sid", F.coalesce("component", "sid").alias("component")), "parity-rows")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(mixed.filter("low <> high").select("key"), "key")
+
+
 def keep_one(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, as they were, with one row of each class: a row of the document of the smallest id.
 
