@@ -9,7 +9,7 @@ d + 1: at most d of them can miss from the partner's, so the first common one is
 (pigeonhole). A set with fewer non-empty words publishes all of them and its empty ones too. So no pair is lost.
 
 Words that hold more shingles come first in the order, because a passage that many documents share fills them less often.
-Sets that publish an equal word meet in a bucket, where each meets the bucket's first; of these it is compared with the one
+Sets that publish an equal word meet in a bucket, where each meets the bucket's first; of these it is compared with the few
 that it shares most buckets with. The links found give components, and only members of different components of a bucket are
 then compared, block by block, by a second sketch of parity bits, about twice as many as members, whose Hamming distance also
 bounds the symmetric difference from below. Of the pairs that pass, first a spanning part of each bucket is verified on whole
@@ -28,7 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -40,6 +40,7 @@ WIDTH = 5
 LEAST_BITS = 128
 CACHED_WORDS = 500_000
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; beyond that the ids are shuffled
+ANCHORS = 4  # first sets of its buckets that a set is compared with before all others
 BLOCK_WORDS = 1_000_000  # of the sketches compared at a time
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -227,9 +228,10 @@ def words_of(bits: np.ndarray, width: int) -> np.ndarray:
 
 
 def across(members: DataFrame, spanning: bool) -> DataFrame:
-    """key, a, b: pairs of a bucket whose components differ and that may be linked; of key, sid, component, n, bits.
+    """a, b: pairs of a bucket whose components differ and that may be linked; of key, sid, component, n, bits.
 
-    ``spanning`` leaves out the pairs that are connected by others of their bucket: no more than members are left.
+    Rows of their own (a is null) hold the keys of the buckets with such pairs. ``spanning`` leaves out the pairs that are
+    connected by others of their bucket. Buckets that a task has at a time share their pairs' rows.
     """
 
     def pairs(sid, component, n, bits):
@@ -259,12 +261,16 @@ def across(members: DataFrame, spanning: bool) -> DataFrame:
     def run(batches):
         for key, sid, component, n, bits in runs(batches, ["key", "sid", "component", "n_shingles", "bits"]):
             edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            found = [(np.full(len(p[0]), key[x]), *p) for x, y in zip(edges, edges[1:])
+            found = [(key[x], p) for x, y in zip(edges, edges[1:])
                      for p in pairs(*(c[x:y] for c in (sid, component, n, bits)))]
             if found:
-                keys, a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))],
-                                                 names=["key", "a", "b"])
+                keys = np.unique(np.array([k for k, _ in found]))
+                a, b = (np.concatenate(x) for x in zip(*(p for _, p in found)))
+                a, b = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.array(keys), pa.nulls(len(a), pa.int64())]),
+                     *(pa.concat_arrays([pa.nulls(len(keys), pa.int64()), pa.array(x)]) for x in (a, b))],
+                    names=["key", "a", "b"])
 
     # in the same order everywhere, buckets with the same members span them by the same pairs
     return members.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(run, "key long, a long, b long")
@@ -351,18 +357,21 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     members = keep(meet(publish(docs, width)), "parity-buckets")
 
     shared = members.filter("anchor <> sid").groupBy("sid", "anchor").count()
-    first = shared.groupBy(F.col("sid").alias("b")).agg(F.max_by("anchor", F.struct("count", "anchor")).alias("a"))
-    links = keep(verify(by_sketch(first.select("a", "b"), nodes), docs, nodes, width, percent), "parity-links")
+    most = Window.partitionBy("sid").orderBy(F.desc("count"), "anchor")
+    first = shared.withColumn("place", F.row_number().over(most)).filter(F.col("place") <= ANCHORS)
+    links = keep(verify(by_sketch(first.select(F.col("anchor").alias("a"), F.col("sid").alias("b")), nodes), docs, nodes, width, percent), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
     rows = keep(_mixed(members.select("key", "sid"), parts), "parity-rows")
     described = nodes.select("sid", "n_shingles", "bits")
     some = keep(across(rows.join(described, "sid"), True), "parity-spans")
-    links = keep(links.unionByName(verify(some.select("a", "b").distinct(), docs, nodes, width, percent)), "parity-links")
+    pairs = some.select("a", "b").filter("a is not null").distinct()
+    links = keep(links.unionByName(verify(pairs, docs, nodes, width, percent)), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
-    rows = _mixed(rows.select("key", "sid").join(some.select("key").distinct(), "key", "left_semi"), parts)
-    rest = across(rows.join(described, "sid"), False).select("a", "b").distinct().join(some, ["a", "b"], "left_anti")
+    rows = _mixed(rows.select("key", "sid").join(some.select("key").filter("key is not null").distinct(), "key", "left_semi"), parts)
+    rest = across(rows.join(described, "sid"), False).select("a", "b").filter("a is not null").distinct()
+    rest = rest.join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(verify(rest, docs, nodes, width, percent))
     parts = connected(links, "a", "b").withColumnRenamed("node", "sid")
 
