@@ -78,10 +78,9 @@ def weights(docs: DataFrame, templates: tuple[Template, ...], text_col: str = "t
     known = sorted({w for t in templates for w in t.words})
     found = F.array_intersect(words_of(F.col(text_col)), F.array(*map(F.lit, known)))
     counts = docs.select(F.explode(found).alias("word")).groupBy("word").count()
-    everything = docs.select(F.count("*").alias("everything"))
-    rows = counts.crossJoin(F.broadcast(everything)).select(  # one row on the right
-        "word", F.length(F.bin(F.expr("(everything + 1) div (count + 1)"))).alias("weight")).collect()
-    highest = everything.select(F.length(F.bin(F.expr("everything + 1")))).first()[0]
+    everything = docs.count()
+    rows = counts.select("word", F.length(F.bin(F.expr(f"{everything + 1}L div (count + 1)"))).alias("weight")).collect()
+    highest = (everything + 1).bit_length()
     return {w: highest for w in known} | {r.word: r.weight for r in rows}
 
 

@@ -149,7 +149,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model | None:
 def toxic(spark: SparkSession, root: str) -> DataFrame:
     docs = documents(spark, root)
     scored = toxicity.score(docs, toxicity_model(docs, table(spark, root, "labels")))
-    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
