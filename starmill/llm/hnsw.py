@@ -180,11 +180,18 @@ def search(graph: Graph, queries: np.ndarray, width: int):
 
 
 def linked(graph: Graph, queries: np.ndarray, least: float, width: int):
-    """(query, node) of cosine about ``least`` or more; beams full of links are widened."""
+    """(query, node) of cosine about ``least`` or more; beams full of links are widened.
+
+    A beam whose nodes have as many neighbours as there are nodes is no longer a short cut: such queries are compared with all.
+    """
     pairs = []
     for first in range(0, len(queries), BATCH):
         rows, wide = np.arange(first, min(first + BATCH, len(queries))), width
         while len(rows):
+            if wide * 2 * DEGREE >= len(graph.unit) and wide > width:
+                at, node = every_pair(graph, queries[rows], least)
+                pairs.append((rows[at], node))
+                break
             ids, near = search(graph, queries[rows], wide)
             good = (near >= least) & (ids >= 0)
             full = good.all(axis=1) & (ids.shape[1] < len(graph.unit))
@@ -256,6 +263,9 @@ def near_duplicates(vectors: DataFrame, least: float = LINK, shard: int = SHARD,
     shards = nodes.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("shards"))
     dealt = spread_join(nodes, shards, group, "left", ["node"]).withColumn(
         "shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
+    # small tables, long work: as many tasks as groups, which small partitions must not be merged into
+    groups, searches = shards.agg(F.coalesce(F.sum("shards"), F.lit(0)), F.coalesce(F.sum(F.col("shards") ** 2), F.lit(0))).first()
+    builders, finders = 2 * int(groups) + 1, 2 * int(searches) + 1
     label_type = nodes.schema["label"].dataType.simpleString()
     keys = [*group, "shard"]
 
@@ -267,7 +277,7 @@ def near_duplicates(vectors: DataFrame, least: float = LINK, shard: int = SHARD,
                     **{f"links{k}": x.astype(np.int32) for k, x in enumerate(graph.links)})
         return pd.DataFrame({**{c: rows[c].head(1) for c in [*keys, "shards"]}, "graph": [blob]})
 
-    graphs = keep(dealt.groupBy(*keys).applyInPandas(
+    graphs = keep(dealt.repartition(builders, *keys).groupBy(*keys).applyInPandas(
         make, f"label {label_type}, size int, shard int, shards int, graph binary"), "hnsw-graphs")
 
     def find(queries, graphs):
@@ -298,8 +308,10 @@ def near_duplicates(vectors: DataFrame, least: float = LINK, shard: int = SHARD,
     every_shard = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("shards")).cast("int")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     every_block = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    found = every_shard.select(*keys, "block", "node", "vector").groupBy(*keys, "block").cogroup(
-        every_block.select(*keys, "block", "graph").groupBy(*keys, "block")).applyInPandas(find, "node long, links long, root long")
+    places = [*keys, "block"]
+    queries = every_shard.select(*places, "node", "vector").repartition(finders, *places)
+    indexes = every_block.select(*places, "graph").repartition(finders, *places)
+    found = queries.groupBy(*places).cogroup(indexes.groupBy(*places)).applyInPandas(find, "node long, links long, root long")
     found = keep(found, "hnsw-links")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
