@@ -15,6 +15,10 @@ then compared, block by block, by a second sketch of parity bits, about twice as
 bounds the symmetric difference from below. Of the pairs that pass, first a spanning part of each bucket is verified on whole
 sets, which joins what belongs together; then every pair that passes and is still in two components. Equal sets are one node throughout.
 
+No task holds a crowded bucket. Crowded buckets are told by the keys of a sample of the sets and dealt out in parts, all with one
+anchor. To be compared, a bucket of more than ``BLOCK`` rows is cut into blocks, those of a large component apart from the rest, and each
+two blocks that are not of one component meet in a group of their own.
+
 Edge cases: without text or words a set is empty and linked with nothing; with fewer words than a shingle the whole
 sequence is the only member; repeated rows and equal texts are in one class; an empty table gives no rows. Set
 ids and shingles are 64-bit hashes.
@@ -40,6 +44,8 @@ WIDTH = 5
 LEAST_BITS = 128
 CACHED_WORDS = 500_000
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; beyond that the ids are shuffled
+BLOCK = 4096  # rows of a bucket that are held at once; a block of a larger bucket has about half as many
+SEEN = 64  # sampled sets of a bucket of BLOCK
 ANCHORS = 4  # first sets of its buckets that a set is compared with before all others
 BLOCK_WORDS = 1_000_000  # of the sketches compared at a time
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -139,19 +145,34 @@ def _keys(members: np.ndarray, band: int, words: int, differ: int) -> np.ndarray
     return keys[np.lexsort((keys, -held))[:differ + 1]]
 
 
-def describe(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, sid (null for an empty set), bits: a row for each row."""
+def describe(docs: DataFrame, width: int, every: int) -> DataFrame:
+    """doc_id, n_shingles, sid (null for an empty set), bits: a row for each row; keys: what a sample of the sets, one in
+    ``every``, publishes, once for each task that meets it."""
 
     def run(batches):
+        met: set[int] = set()
         for batch in by_bytes(batches):
             sets = [shingles(t, width) for t in strings(batch.column("text"))]
+            ids = [set_id(s) if len(s) else None for s in sets]
+            keys = []
+            for sid, members in zip(ids, sets):
+                seen = sid is not None and sid % every == 0 and sid not in met
+                keys.append(published(members) if seen else None)
+                if seen:
+                    met.add(sid)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary())],
-                names=["doc_id", "n_shingles", "sid", "bits"])
+                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
+                pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "sid", "bits", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, bits binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, bits binary, keys array<long>")
+
+
+def crowded(nodes: DataFrame, every: int, block: int) -> DataFrame:
+    """key, parts, anchor: the buckets of more than about half a block, as the sample tells, and a set of each."""
+    seen = nodes.select("sid", F.explode("keys").alias("key")).groupBy("key").agg(
+        F.count("*").alias("n"), F.min("sid").alias("anchor")).filter(F.col("n") * every > block // 2)
+    return seen.select("key", F.ceil(F.col("n") * every * 2 / block).alias("parts"), "anchor")
 
 
 def publish(docs: DataFrame, width: int) -> DataFrame:
@@ -194,22 +215,34 @@ def runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list
         yield [np.concatenate(c) for c in zip(*held)]
 
 
-def meet(published_words: DataFrame) -> DataFrame:
-    """key, sid, anchor: the members of buckets with more than one set; the anchor is the smallest of a bucket."""
+def meet(published_words: DataFrame, hot: DataFrame) -> DataFrame:
+    """key, sid, anchor: the members of buckets with more than one set; the anchor is the smallest of a bucket, or the one
+    given in ``hot`` (key, parts, anchor), whose buckets are dealt out in parts."""
 
     def run(batches):
-        for key, sid in runs(batches, ["key", "sid"]):
-            new = np.concatenate(([True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))
-            key, sid = key[new], sid[new]
-            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        for part, key, sid, top, split in runs(batches, ["part", "key", "sid", "top", "split"]):
+            new = np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))
+            part, key, sid, top, split = (x[new] for x in (part, key, sid, top, split))
+            first = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]))))
             size = np.diff(np.append(first, len(key)))
-            member = np.repeat(size > 1, size)
+            anchor = np.where(split, top, np.repeat(sid[first], size))
+            member = np.repeat(size > 1, size) | split
             if member.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[member]) for x in (key, sid, np.repeat(sid[first], size))], names=["key", "sid", "anchor"])
-
-    return published_words.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(
-        run, "key long, sid long, anchor long")
+                yield pa.RecordBatch.from_arrays([pa.array(x[member]) for x in (key, sid, anchor)], names=["key", "sid", "anchor"])
+
+    n_hot = hot.count()
+    if n_hot:
+        join = published_words.join(F.broadcast(hot), "key", "left") if n_hot <= BROADCAST_IDS else \
+            spread_join(published_words, hot, ["key"], "left", ["sid"])
+        part = F.xxhash64("key", F.pmod(F.xxhash64("sid", "key"), "parts"))
+        dealt = join.select(
+            F.when(F.col("parts").isNull(), F.col("key")).otherwise(part).alias("part"), "key", "sid",
+            F.coalesce("anchor", F.lit(0)).alias("top"), F.col("parts").isNotNull().alias("split"))
+        dealt = dealt.repartition("part").sortWithinPartitions("part", "key", "sid")
+    else:
+        dealt = published_words.repartition("key").sortWithinPartitions("key", "sid").select(
+            F.col("key").alias("part"), "key", "sid", F.lit(0).cast("long").alias("top"), F.lit(False).alias("split"))
+    return dealt.mapInArrow(run, "key long, sid long, anchor long")
 
 
 def may_link(n: np.ndarray, bits: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -228,15 +261,15 @@ def words_of(bits: np.ndarray, width: int) -> np.ndarray:
 
 
 def across(members: DataFrame, spanning: bool) -> DataFrame:
-    """a, b: pairs of a bucket whose components differ and that may be linked; of key, sid, component, n, bits.
+    """a, b: pairs of a bucket whose components differ and that may be linked; of ``blocks`` with n_shingles, bits.
 
     Rows of their own (a is null) hold the keys of the buckets with such pairs. ``spanning`` leaves out the pairs that are
     connected by others of their bucket. Buckets that a task has at a time share their pairs' rows.
     """
 
-    def pairs(sid, component, n, bits):
+    def pairs(side, sid, component, n, bits):
         order = np.argsort(n, kind="stable")
-        sid, component, n, bits = sid[order], component[order], n[order], bits[order]
+        side, sid, component, n, bits = side[order], sid[order], component[order], n[order], bits[order]
         widths = np.array([8 * len(x) for x in bits])  # sorted, as the sizes are
         for width in np.unique(widths):
             first, last = np.searchsorted(widths, [width, 2 * width])
@@ -249,6 +282,8 @@ def across(members: DataFrame, spanning: bool) -> DataFrame:
                 for at in range(start, near, block):
                     cols = slice(at, min(at + block, near))
                     ok = component[rows][:, None] != component[None, cols]
+                    if side[0]:  # each of the two blocks meets itself elsewhere
+                        ok &= side[rows][:, None] != side[None, cols]
                     if ok.any():
                         ok &= may_link(n[rows][:, None], words[rows.start - first:rows.stop - first][:, None, :],
                                        n[None, cols], words[None, cols.start - first:cols.stop - first, :])
@@ -259,10 +294,9 @@ def across(members: DataFrame, spanning: bool) -> DataFrame:
                             yield sid[rows][left], sid[cols][right]
 
     def run(batches):
-        for key, sid, component, n, bits in runs(batches, ["key", "sid", "component", "n_shingles", "bits"]):
-            edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            found = [(key[x], p) for x, y in zip(edges, edges[1:])
-                     for p in pairs(*(c[x:y] for c in (sid, component, n, bits)))]
+        for part, key, *rest in runs(batches, ["part", "key", "side", "sid", "component", "n_shingles", "bits"]):
+            edges = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]), [True])))
+            found = [(key[x], p) for x, y in zip(edges, edges[1:]) for p in pairs(*(c[x:y] for c in rest))]
             if found:
                 keys = np.unique(np.array([k for k, _ in found]))
                 a, b = (np.concatenate(x) for x in zip(*(p for _, p in found)))
@@ -273,7 +307,7 @@ def across(members: DataFrame, spanning: bool) -> DataFrame:
                     names=["key", "a", "b"])
 
     # in the same order everywhere, buckets with the same members span them by the same pairs
-    return members.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(run, "key long, a long, b long")
+    return members.repartition("part").sortWithinPartitions("part", "key", "sid").mapInArrow(run, "key long, a long, b long")
 
 
 def spanned(ok: np.ndarray, component: np.ndarray, rows: slice, cols: slice) -> np.ndarray:
@@ -346,15 +380,18 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, sid, component_id (the smallest doc_id reachable by links of 0.75 or more) for each row."""
     percent = 75  # the bounds of the bands and of d hold for this similarity
     docs = id_and_text(docs, id_col, text_col)
-    about = keep(describe(docs, width), "parity-sets")
+    every = max(1, block // SEEN)
+    about = keep(describe(docs, width, every), "parity-sets")
     nodes = about.filter("sid is not null").groupBy("sid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"),
+        F.first("keys", ignorenulls=True).alias("keys"))
     nodes = keep(nodes, "parity-nodes")
-    members = keep(meet(publish(docs, width)), "parity-buckets")
+    hot = keep(crowded(nodes, every, block), "parity-crowded")
+    members = keep(meet(publish(docs, width), hot), "parity-buckets")
 
     shared = members.filter("anchor <> sid").groupBy("sid", "anchor").count()
     most = Window.partitionBy("sid").orderBy(F.desc("count"), "anchor")
@@ -364,13 +401,13 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
 
     rows = keep(_mixed(members.select("key", "sid"), parts), "parity-rows")
     described = nodes.select("sid", "n_shingles", "bits")
-    some = keep(across(rows.join(described, "sid"), True), "parity-spans")
+    some = keep(across(blocks(rows, block).join(described, "sid"), True), "parity-spans")
     pairs = some.select("a", "b").filter("a is not null").distinct()
     links = keep(links.unionByName(verify(pairs, docs, nodes, width, percent)), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
-    rows = _mixed(rows.select("key", "sid").join(some.select("key").filter("key is not null").distinct(), "key", "left_semi"), parts)
-    rest = across(rows.join(described, "sid"), False).select("a", "b").filter("a is not null").distinct()
+    rows = keep(_mixed(_among(rows, some.select("key").filter("key is not null").distinct()).select("key", "sid"), parts), "parity-rows")
+    rest = across(blocks(rows, block).join(described, "sid"), False).select("a", "b").filter("a is not null").distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(verify(rest, docs, nodes, width, percent))
     parts = connected(links, "a", "b").withColumnRenamed("node", "sid")
@@ -378,16 +415,51 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     roots = nodes.select("sid", "doc_id").join(parts, "sid", "left").withColumn("root", F.coalesce("component", "sid"))
     lowest = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     roots = roots.select("sid", "root").join(lowest, "root").select("sid", "component_id")
-    out = spread_join(about.drop("bits"), roots, ["sid"], "left", ["doc_id"])
+    out = spread_join(about.drop("bits", "keys"), roots, ["sid"], "left", ["doc_id"])
     return out.select("doc_id", "n_shingles", "sid", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """key, sid, component: the members of buckets with more than one component."""
+    """key, sid, component, n: the members of buckets with more than one component, n of each bucket."""
     rows = spread_join(members, parts.withColumnRenamed("node", "sid"), ["sid"], "left", ["sid"])
     rows = keep(rows.select("key", "sid", F.coalesce("component", "sid").alias("component")), "parity-rows")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return rows.join(mixed.filter("low <> high").select("key"), "key")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    return _among(rows, mixed.filter("low <> high").select("key", "n"))
+
+
+def _among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` whose key is in ``keys``, hot keys split, with the other columns of ``keys``."""
+    return spread_join(rows, keys.withColumn("__in", F.lit(True)), ["key"], "left", ["sid"]).filter("__in").drop("__in")
+
+
+def blocks(rows: DataFrame, block: int) -> DataFrame:
+    """part, key, side, sid, component of ``rows`` (key, sid, component, n): any two members of a bucket whose components
+    differ are in one part, on other sides (1 and 2) or in one without sides (0). A bucket of up to ``block`` members is one part; of a
+    larger one a part is two blocks. Components of more than half a block have blocks of their own, which do not meet each other.
+    """
+    whole = rows.filter(F.col("n") <= block).select(
+        F.col("key").alias("part"), "key", F.lit(0).alias("side"), "sid", "component")
+    large = rows.filter(F.col("n") > block)
+    if not large.head(1):
+        return whole
+    sizes = keep(large.groupBy("key", "component").agg(F.count("*").alias("c")), "parity-sizes")
+    cuts = F.ceil(F.col("c") * 2 / block)
+    big = F.col("c") > block // 2
+    totals = sizes.groupBy("key").agg(
+        F.ceil(F.sum(F.when(big, 0).otherwise(F.col("c"))) * 2 / block).alias("pool"), F.sum(F.when(big, cuts).otherwise(0)).alias("owned"))
+    before = Window.partitionBy("key").orderBy("component").rowsBetween(Window.unboundedPreceding, -1)
+    own = sizes.filter(big).withColumn("cuts", cuts).withColumn("before", F.coalesce(F.sum("cuts").over(before), F.lit(0)))
+    large = spread_join(large.drop("n"), own.drop("c"), ["key", "component"], "left", ["sid"])
+    large = _among(large, totals).withColumn("low", F.col("pool") + F.col("before"))
+    place = F.xxhash64("sid", "key")
+    x = F.when(F.col("cuts").isNull(), F.pmod(place, F.greatest("pool", F.lit(1)))).otherwise(
+        F.col("low") + F.pmod(place, F.col("cuts")))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("pool") + F.col("owned") - 1), lambda y: F.col("cuts").isNull()
+                      | (y < F.col("low")) | (y >= F.col("low") + F.col("cuts")))
+    large = large.withColumn("x", x).withColumn("y", F.explode(others))
+    return whole.unionByName(large.select(
+        F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y")).alias("part"), "key",
+        F.when(F.col("x") == F.col("y"), 0).when(F.col("x") < F.col("y"), 1).otherwise(2).alias("side"), "sid", "component"))
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -88,6 +88,31 @@ def test_parity_join_is_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, c in want.items() if i == c)
 
 
+def test_crowded_buckets_are_cut(spark):
+    """Blocks of 8 on the same corpus; and no part holds more than two blocks, while all pairs of two components meet."""
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sets, links = jaccard_by_force(rows)
+    assert {r.doc_id: r.component_id for r in parity_join.join(docs, block=8).collect()} == smallest(sets, links)
+
+    r = random.Random(3)
+    bucket = [(1, i, 7 if i < 600 else 8 if i < 700 else r.randrange(100, 140)) for i in range(1000)]
+    small = [(2, i, i % 3) for i in range(20)]
+    frame = spark.createDataFrame([(*x, 1000) for x in bucket] + [(*x, 20) for x in small], "key long, sid long, component long, n long")
+    parts = {}
+    for x in parity_join.blocks(frame, 100).collect():
+        parts.setdefault((x.part, x.key), []).append((x.side, x.sid, x.component))
+    assert max(map(len, parts.values())) < 200
+    met = {(k, min(a[1], b[1]), max(a[1], b[1])) for (_, k), own in parts.items() for a in own for b in own
+           if a[2] != b[2] and (a[0] != b[0] or not a[0])}
+    assert met == {(a[0], a[1], b[1]) for own in (bucket, small) for a in own for b in own if a[1] < b[1] and a[2] != b[2]}
+
+    hot = spark.createDataFrame([(1, 20, 5)], "key long, parts long, anchor long")
+    published = spark.createDataFrame([(1, i) for i in range(1000)] * 2 + [(2, 1), (2, 9), (3, 1)], "key long, sid long")
+    got = sorted(tuple(x) for x in parity_join.meet(published, hot).collect())
+    assert got == [(1, i, 5) for i in range(1000)] + [(2, 1, 1), (2, 9, 1)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 140), st.integers(0, 10**6))
 def test_linked_sets_publish_an_equal_word(n, apart, seed):
