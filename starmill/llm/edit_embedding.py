@@ -17,6 +17,7 @@ documents and a row each in results; a row without id comes first in the order;
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -24,23 +25,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmill.llm import parity_join
 from starmill.llm.components import connected
 from starmill.llm.texts import by_bytes, id_and_text, keep, strings
+from starmill.operators.spread import spread_join
 
 SAMPLES = 512
 MOST_SAMPLES = 1024
 PERIOD = 8192  # steps after which the random bits repeat
 BATCH_BYTES = 24 << 20
 PART_CHARS = 128 << 20
-BANDS, BAND_BITS, BAND_RANGE = 24, 14, 120
-MASK = (1 << 64) - 1
+BANDS, BAND_BITS = 24, 14
+BLOCK = 2048  # rows of a bucket that are held at once
+ACROSS = 352  # bits from which a near text may be a level up: those begin at about 512 of this one
 NO_ID = -(1 << 63)
 
 _bits = np.random.Generator(np.random.PCG64(20))
 MOVES = _bits.integers(0, 2, (PERIOD, 256), dtype=np.uint8)
 OUTPUT = _bits.integers(0, 2, (PERIOD, 256), dtype=np.uint8)
 MOVES[:, 0], OUTPUT[:, 0] = 0, 2  # behind the end the walk stands still
-SAMPLED = np.stack([_bits.choice(BAND_RANGE, BAND_BITS, replace=False) for _ in range(BANDS)])
+RANGES = [16]  # numbers of bits that bands are drawn from: each band of a range sees the whole text
+while RANGES[-1] < MOST_SAMPLES * 8 // 7 + 1:
+    RANGES.append(-(-RANGES[-1] * 4 // 3))
+SAMPLED = np.stack([[_bits.choice(r, BAND_BITS, replace=False) for _ in range(BANDS)] for r in RANGES])
+DIGITS = 3 ** np.arange(BAND_BITS, dtype=np.int64)
 
 
 def classes_of(text: str) -> np.ndarray:
@@ -114,15 +122,20 @@ def likeness(a: str, b: str) -> float:
 
 
 def bands(fingerprint: str) -> list[int]:
-    """Bucket keys: sampled bits at the fingerprint's level and at the next coarser one."""
+    """Bucket keys: bits sampled over the whole fingerprint at its level and, if near ones can be there, at the next coarser one.
+
+    The range drawn from is the first that holds all bits, and the next too if a text of likeness 0.75 (up to 8/7 as many bits) can
+    need it; places behind the end read 2. So near texts share a range, and the places of a level nest in those of the finer.
+    """
     level, bits = parse(fingerprint)
     out = []
-    for up in (0, 1):
+    for up in (0, 1) if len(bits) >= ACROSS else (0,):
         seen = bits[::1 << up]
-        seen = np.concatenate((seen, np.full(max(0, BAND_RANGE - len(seen)), 2, np.uint8)))
-        for band, places in enumerate(SAMPLED):
-            value = int.from_bytes(seen[places].tobytes(), "little") % ((1 << 61) - 1)
-            out.append(((value * 0x9E3779B97F4A7C15 + (level + up) * BANDS + band) & MASK) - (1 << 63))
+        first, last = (bisect_left(RANGES, n) for n in (len(seen), len(seen) * 8 // 7))
+        for at in range(first, last + 1):
+            padded = np.concatenate((seen, np.full(RANGES[at] - len(seen), 2, np.uint8)))
+            place = ((level + up) * len(RANGES) + at) * BANDS + np.arange(BANDS)
+            out += (padded[SAMPLED[at]] @ DIGITS + place * 3 ** BAND_BITS).tolist()
     return out
 
 
@@ -227,34 +240,65 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def near_classes(prints: DataFrame, least: float = 0.75) -> DataFrame:
+def alike(level: int, bits: np.ndarray, others: int, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``likeness`` of a fingerprint and each of ``rows``, whose level is ``others``; what is behind the end of a row is 2."""
+    up, down = max(0, others - level), max(0, level - others)
+    bits, rows, sizes = bits[::1 << up], rows[:, ::1 << down], (sizes + (1 << down) - 1) >> down
+    both = min(len(bits), rows.shape[1])
+    same = (rows[:, :both] == bits[:both]).sum(axis=1, dtype=np.int64)
+    return np.where((sizes > 0) & (len(bits) > 0), np.maximum(0.0, 2.0 * same / np.maximum(1, np.maximum(sizes, len(bits))) - 1.0), 0.0)
+
+
+def near_classes(prints: DataFrame, least: float = 0.75, block: int = BLOCK) -> DataFrame:
     """fingerprint, class_id: distinct fingerprints that share a band and are ``least`` alike are in one class.
 
-    Equal fingerprints are one node. In a bucket only members not yet tied to each other are compared, and a link from each
-    member to the first of its kind is all that leaves the task.
+    Equal fingerprints are one node. Each is compared with the first of its buckets; then the members of different components of
+    a bucket are compared, two blocks of a large one at a time, and only links that connect leave the task.
     """
     def publish(batches):
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text, sid in zip(batch.column("fingerprint").to_pylist(), batch.column("sid").to_pylist()):
                 keys = list(set(bands(text)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([text] * len(keys))],
-                                                 names=["key", "fingerprint"])
-
-    def tie(_, rows):
-        prints = sorted(set(rows["fingerprint"]))
-        root = list(range(len(prints)))
-        for i in range(len(prints)):
-            for j in range(i):
-                if root[j] != root[i] and likeness(prints[i], prints[j]) >= least:
-                    old, new = max(root[i], root[j]), min(root[i], root[j])
-                    root = [new if r == old else r for r in root]
-        found = [(prints[r], prints[i]) for i, r in enumerate(root) if r != i]
-        return type(rows)(found, columns=["a", "b"])
-
-    nodes = prints.select("fingerprint").distinct()
-    shared = keep(nodes.mapInArrow(publish, "key long, fingerprint string"), "edit-bands")
-    ties = shared.groupBy("key").applyInPandas(tie, "a string, b string").distinct()
-    links = keep(ties.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")), "edit-links")
-    parts = connected(links, "a", "b")
-    named = nodes.withColumn("node", F.xxhash64("fingerprint")).join(parts, "node", "left")
-    return named.select("fingerprint", F.coalesce("component", "node").alias("class_id"))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([sid] * len(keys), pa.int64())], names=["key", "sid"])
+
+    def verified(batches):
+        for batch in batches:
+            ok = [likeness(x, y) >= least for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    def tie(side, sid, component, texts):
+        parsed = [parse(x) for x in texts]
+        levels, sizes = np.array([x for x, _ in parsed]), np.array([len(x) for _, x in parsed])
+        rows = np.full((len(parsed), int(sizes.max(initial=1))), 2, np.uint8)
+        for i, (_, bits) in enumerate(parsed):
+            rows[i, :len(bits)] = bits
+        for i, (level, bits) in enumerate(parsed):
+            for other in np.unique(levels[i + 1:]):
+                at = i + 1 + np.flatnonzero((levels[i + 1:] == other) & (component[i + 1:] != component[i])
+                                            & ((side[i + 1:] != side[i]) | (side[i] == 0)))
+                at = at[alike(level, bits, int(other), rows[at], sizes[at]) >= least]
+                others, first = np.unique(component[at], return_index=True)
+                yield from ((sid[i], sid[j]) for j in at[first])
+                component[np.isin(component, others)] = component[i]
+
+    def ties(batches):
+        for part, key, *rest in parity_join.runs(batches, ["part", "key", "side", "sid", "component", "fingerprint"]):
+            edges = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]), [True])))
+            found = {p for x, y in zip(edges, edges[1:]) for p in tie(*(c[x:y] for c in rest))}
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+
+    nodes = keep(prints.select("fingerprint").distinct().withColumn("sid", F.xxhash64("fingerprint")), "edit-nodes")
+    shared = keep(nodes.mapInArrow(publish, "key long, sid long"), "edit-bands")
+    firsts = shared.groupBy("key").agg(F.min("sid").alias("anchor"), F.count("*").alias("n")).filter("n > 1")
+    members = keep(parity_join.among(shared, firsts.drop("n")), "edit-buckets")
+    pairs = members.filter("anchor <> sid").select(F.col("anchor").alias("a"), F.col("sid").alias("b")).distinct()
+    pairs = spread_join(pairs, nodes.select(F.col("sid").alias("a"), F.col("fingerprint").alias("x")), ["a"], "left", ["b"]) \
+        .join(nodes.select(F.col("sid").alias("b"), F.col("fingerprint").alias("y")), "b").select("a", "b", "x", "y")
+    links = keep(pairs.mapInArrow(verified, "a long, b long"), "edit-links")
+    parts = keep(connected(links, "a", "b"), "edit-parts")
+    rows = keep(parity_join.mixed(members.select("key", "sid"), parts), "edit-rows")
+    rows = parity_join.blocks(rows, block).join(nodes, "sid").repartition("part").sortWithinPartitions("part", "key", "sid")
+    links = keep(links.unionByName(rows.mapInArrow(ties, "a long, b long")), "edit-links")
+    named = nodes.join(connected(links, "a", "b").withColumnRenamed("node", "sid"), "sid", "left")
+    return named.select("fingerprint", F.coalesce("component", "sid").alias("class_id"))

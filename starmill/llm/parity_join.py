@@ -399,14 +399,14 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     links = keep(verify(by_sketch(first.select(F.col("anchor").alias("a"), F.col("sid").alias("b")), nodes), docs, nodes, width, percent), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
-    rows = keep(_mixed(members.select("key", "sid"), parts), "parity-rows")
+    rows = keep(mixed(members.select("key", "sid"), parts), "parity-rows")
     described = nodes.select("sid", "n_shingles", "bits")
     some = keep(across(blocks(rows, block).join(described, "sid"), True), "parity-spans")
     pairs = some.select("a", "b").filter("a is not null").distinct()
     links = keep(links.unionByName(verify(pairs, docs, nodes, width, percent)), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
-    rows = keep(_mixed(_among(rows, some.select("key").filter("key is not null").distinct()).select("key", "sid"), parts), "parity-rows")
+    rows = keep(mixed(among(rows, some.select("key").filter("key is not null").distinct()).select("key", "sid"), parts), "parity-rows")
     rest = across(blocks(rows, block).join(described, "sid"), False).select("a", "b").filter("a is not null").distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(verify(rest, docs, nodes, width, percent))
@@ -419,15 +419,15 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     return out.select("doc_id", "n_shingles", "sid", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+def mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
     """key, sid, component, n: the members of buckets with more than one component, n of each bucket."""
     rows = spread_join(members, parts.withColumnRenamed("node", "sid"), ["sid"], "left", ["sid"])
     rows = keep(rows.select("key", "sid", F.coalesce("component", "sid").alias("component")), "parity-rows")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    return _among(rows, mixed.filter("low <> high").select("key", "n"))
+    found = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    return among(rows, found.filter("low <> high").select("key", "n"))
 
 
-def _among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+def among(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """``rows`` whose key is in ``keys``, hot keys split, with the other columns of ``keys``."""
     return spread_join(rows, keys.withColumn("__in", F.lit(True)), ["key"], "left", ["sid"]).filter("__in").drop("__in")
 
@@ -450,7 +450,7 @@ def blocks(rows: DataFrame, block: int) -> DataFrame:
     before = Window.partitionBy("key").orderBy("component").rowsBetween(Window.unboundedPreceding, -1)
     own = sizes.filter(big).withColumn("cuts", cuts).withColumn("before", F.coalesce(F.sum("cuts").over(before), F.lit(0)))
     large = spread_join(large.drop("n"), own.drop("c"), ["key", "component"], "left", ["sid"])
-    large = _among(large, totals).withColumn("low", F.col("pool") + F.col("before"))
+    large = among(large, totals).withColumn("low", F.col("pool") + F.col("before"))
     place = F.xxhash64("sid", "key")
     x = F.when(F.col("cuts").isNull(), F.pmod(place, F.greatest("pool", F.lit(1)))).otherwise(
         F.col("low") + F.pmod(place, F.col("cuts")))

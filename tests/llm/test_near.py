@@ -172,6 +172,26 @@ def test_likeness_follows_the_edits():
     assert set(edit_embedding.bands(longer[0])) & set(edit_embedding.bands(longer[1]))
 
 
+def test_bands_see_the_whole_text():
+    """A near copy is met where its opening is replaced, and a changed ending costs bands; lengths across a level too."""
+    near, left = [], []
+    for seed in range(60):
+        r = random.Random(seed)
+        n = r.randrange(300, 5000)
+        text, other = ("".join(r.choice("abcdefghij klmnop") for _ in range(k)) for k in (n, n // 6))
+        prints = edit_embedding.fingerprints([text, other + text[len(other):], text[:n - len(other)] + other])
+        own, opening, ending = ({*edit_embedding.bands(p)} for p in prints)
+        if edit_embedding.likeness(*prints[:2]) >= 0.75:
+            near.append(bool(own & opening))
+        left.append(len(own & ending) / len(own))
+    assert len(near) > 20 and all(near)
+    assert np.mean(left) < 0.7
+    text = "".join(r.choice("abcdefghij klmnop") for _ in range(2000))
+    for a, b in ((256, 258), (512, 514), (1024, 1030), (300, 330), (440, 470)):
+        own, longer = (set(edit_embedding.bands(p)) for p in edit_embedding.fingerprints([text[:a], text[:b]]))
+        assert own & longer
+
+
 def test_edits_against_brute_force(spark, awkward, nothing):
     import hashlib
 
@@ -205,6 +225,22 @@ def test_near_classes(spark):
     assert len(set(found.values())) == 6
 
 
+@pytest.mark.parametrize("block", [2048, 8])
+def test_near_classes_are_those_of_the_shared_bands(spark, block):
+    r = random.Random(5)
+    base = "".join(r.choice("abcdefghijklm ") for _ in range(1000))
+    texts = [base[:k] + "?" + base[k + 1:] for k in range(0, 1000, 25)] + [base[k:] for k in range(0, 250, 25)]
+    texts += ["".join(r.choice("abcdefghijklm ") for _ in range(r.randrange(0, 1100))) for _ in range(60)] + ["a" * 900, "a" * 901, ""]
+    prints = sorted(set(edit_embedding.fingerprints(texts)))
+    keys = [set(edit_embedding.bands(p)) for p in prints]
+    links = [(i, j) for i in range(len(prints)) for j in range(i) if keys[i] & keys[j] and edit_embedding.likeness(prints[i], prints[j]) >= 0.75]
+    want = smallest(range(len(prints)), links)
+    frame = spark.createDataFrame([(p,) for p in prints], "fingerprint string").repartition(4)
+    got = {x.fingerprint: x.class_id for x in edit_embedding.near_classes(frame, block=block).collect()}
+    assert len(got) == len(prints)
+    assert len({(got[p], want[i]) for i, p in enumerate(prints)}) == len(set(got.values())) == len(set(want.values()))
+
+
 def vectors():
     r = np.random.default_rng(6)
     centres = r.normal(size=(30, 16))
