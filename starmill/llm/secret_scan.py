@@ -3,6 +3,8 @@
 The guess cost of a value is the least cost of a segmentation into dictionary words, dates, repeats, keyboard walks and
 brute-force characters, as a power of ten of guesses (dynamic programming over the places of the value). Values
 that cost ``MIN_COST`` or more are spans of kind ``guess``; ``password=password123`` or ``token: aaaaaaaaaa`` are not.
+The dictionary holds common words of passwords and the words of the corpus, ranked by the number of documents that have them;
+what stands in a credential context is not counted, so a secret that is repeated there does not become a word.
 
 Edge cases: a null or empty text has no spans; places are code points, the end is exclusive; kinds may overlap each
 other, spans of a kind never do; repeated rows are scanned one by one; a very long value is scored whole, in time
@@ -13,13 +15,14 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.texts import id_and_text, map_texts
+from starmill.llm.texts import by_bytes, id_and_text, keep, map_texts, strings
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "guess")
@@ -38,8 +41,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CONTEXT_NAMES = "|".join(map(either_case, (
     "password", "passwd", "passphrase", "pwd", "secret", "token", "api[_-]?key", "access[_-]?key", "private[_-]?key",
-    "credentials?", "bearer", "auth")))
-CONTEXT = re.compile(rf"""(?:{CONTEXT_NAMES})[A-Za-z0-9_-]{{0,32}}["']?\x20?(?:[:=]|\x20is\x20)\x20?["']?([^\s"'`<>,;]+)""")
+    "credentials?", "bearer", "auth(?:orization|entication)?")))
+# The name ends at a word's end: of the text, before a digit, _ or -, or before a capital behind a small letter.
+CONTEXT = re.compile(rf"""(?:{CONTEXT_NAMES})[sS]?(?:(?:[0-9_-]|(?<=[a-z])[A-Z])[A-Za-z0-9_-]{{0,31}})?["']?"""
+                     r"""(?:\x20*[:=]|\x20+is(?=\x20))\x20*["']?([^\s"'`<>,;]+)""")
 
 # Common words of passwords, the likelier first.
 WORDS = """
@@ -48,7 +53,11 @@ princess football baseball superman batman trustno iloveyou love summer winter s
 user root default changeme token key api access example sample demo temp null none true false value string your my the
 """.split()
 WORD_COST = {word: math.log10(rank + 2) for rank, word in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
+LONGEST_WORD = 24  # letters; longer words are met by their parts
+WORD = re.compile(rf"(?<![^\W\d_])[^\W\d_]{{3,{LONGEST_WORD}}}(?![^\W\d_])")
+LEAST_DOCS = 2  # documents that have a word of the dictionary
+RANKED_WORDS = 200_000  # a few MB on the driver and in each task
+COUNTED_WORDS = 200_000  # held by a task at a time
 LEET = str.maketrans("013457@$!", "oieastasi")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?"
@@ -78,7 +87,7 @@ def character_cost(c: str) -> float:
     return math.log10(33) if c.isascii() else 2.0
 
 
-def segments(value: str) -> Iterator[tuple[int, int, float]]:
+def segments(value: str, words: Mapping[str, float] = WORD_COST) -> Iterator[tuple[int, int, float]]:
     """(start, end, cost) of every pattern in ``value``."""
     low = value.lower()
     if len(low) != len(value):
@@ -88,9 +97,9 @@ def segments(value: str) -> Iterator[tuple[int, int, float]]:
     for start in range(n):
         for end in range(start + 2, min(n, start + LONGEST_WORD) + 1):
             word = low[start:end]
-            cost = WORD_COST.get(word)
+            cost = words.get(word)
             if cost is None:
-                cost = WORD_COST.get(plain[start:end])
+                cost = words.get(plain[start:end])
                 cost = None if cost is None else cost + 0.5
             if cost is not None:
                 yield start, end, cost + (0.0 if value[start:end] == word else 0.3)
@@ -105,10 +114,10 @@ def segments(value: str) -> Iterator[tuple[int, int, float]]:
                 start = end
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, words: Mapping[str, float] = WORD_COST) -> float:
     """Least cost, as a power of ten, of a segmentation of the whole ``value``; 0 for the empty one."""
     ending: dict[int, list[tuple[int, float]]] = {}
-    for start, end, cost in segments(value):
+    for start, end, cost in segments(value, words):
         ending.setdefault(end, []).append((start, cost + 0.3))
     best = [0.0] * (len(value) + 1)
     for end in range(1, len(value) + 1):
@@ -120,7 +129,7 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
-def find_spans(text: str, min_cost: float = MIN_COST) -> list[tuple[str, int, int, float | None]]:
+def find_spans(text: str, min_cost: float = MIN_COST, words: Mapping[str, float] = WORD_COST) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, cost) in ``text``, by start and then by kind."""
     out: list[tuple[str, int, int, float | None]] = []
     if ":" in text or "=" in text:
@@ -130,7 +139,7 @@ def find_spans(text: str, min_cost: float = MIN_COST) -> list[tuple[str, int, in
     out += [("hex", *m.span(), None) for m in HEX.finditer(text)]
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip(".:!?)]}")
-        if value and (cost := guess_cost(value)) >= min_cost:
+        if value and (cost := guess_cost(value, words)) >= min_cost:
             out.append(("guess", m.start(1), m.start(1) + len(value), cost))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -146,11 +155,47 @@ def redact_text(text: str, spans: list[tuple[str, int, int, float | None]]) -> s
     return "".join([*out, text[done:]])
 
 
+def word_costs(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
+    """Costs of the common words and of those that ``LEAST_DOCS`` documents or more have outside credential contexts."""
+
+    def run(batches):
+        counts: Counter[str] = Counter()
+        for batch in by_bytes(batches):
+            for text in strings(batch.column("text")):
+                counts.update(set(WORD.findall(CONTEXT.sub(" ", text).lower())))
+                if len(counts) > COUNTED_WORDS:
+                    yield rows(counts)
+                    counts.clear()
+        yield rows(counts)
+
+    def rows(counts):
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                                          names=["word", "docs"])
+
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, docs long")
+    counted = keep(counted.groupBy("word").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= LEAST_DOCS), "secret-words")
+    least, share = LEAST_DOCS, 1.0  # of the words with the least number of documents a share, so that few come to the driver
+    room = RANKED_WORDS
+    for n, size in sorted(map(tuple, counted.groupBy("docs").count().collect()), reverse=True):
+        if size > room:
+            least, share = n, room / size
+            break
+        room -= size
+    part = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))
+    chosen = counted.filter((F.col("docs") > least) | ((F.col("docs") == least) & part)).collect()
+    ranked = sorted(chosen, key=lambda r: (-r.docs, r.word))
+    costs = {r.word: math.log10(rank + 2) for rank, r in enumerate(ranked)}
+    return costs | {word: min(cost, costs.get(word, cost)) for word, cost in WORD_COST.items()}
+
+
 def scan(docs: DataFrame, min_cost: float = MIN_COST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, spans: a row for each row of ``docs``."""
 
+    costs = docs.sparkSession.sparkContext.broadcast(word_costs(docs, text_col))
+
     def run(batch: pa.RecordBatch, texts: list[str]):
-        found = [find_spans(t, min_cost) for t in texts]
+        words = costs.value
+        found = [find_spans(t, min_cost, words) for t in texts]
         return batch.column("doc_id"), [[dict(zip(("kind", "start", "end", "cost"), s)) for s in x] for x in found]
 
     return map_texts(id_and_text(docs, id_col, text_col), run, SPANS)
@@ -160,11 +205,13 @@ def redact(docs: DataFrame, min_cost: float = MIN_COST, text_col: str = "text")
     """``docs`` with its spans replaced in ``text_col``; rows without spans, null texts too, are as they were."""
     names = docs.columns
     place = names.index(text_col)
+    costs = docs.sparkSession.sparkContext.broadcast(word_costs(docs, text_col))
 
     def run(batches):
+        words = costs.value
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            out = [t if t is None else redact_text(t, find_spans(t, min_cost)) for t in texts]
+            out = [t if t is None else redact_text(t, find_spans(t, min_cost, words)) for t in texts]
             columns = list(batch.columns)
             columns[place] = pa.array(out, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)

@@ -83,6 +83,22 @@ def test_long_value_is_scored_whole():
     assert ("guess", 7, len(text)) in [s[:3] for s in secret_scan.find_spans(text)]
 
 
+def test_words_of_the_corpus_are_no_secrets(spark):
+    """Ordinary words behind a context's name are cheap, names end at a word's end, and any run of spaces may stand there."""
+    prose = [f"an important remark about Hemingway and Margarete number {k}" for k in range(3)]
+    clean = ["author: Hemingway", "the token is important", "secretary: Margarete", "tokenizer: bqzxkvwjtr", "authors is wjqkzxvbnm"]
+    secret = ["password:  xK9$vTq2Lw8z", "pwd   is   xK9$vTq2Lw8z", "the passphrase is qzvkwpxjhm", "the passphrase is qzvkwpxjhm",
+              "AUTH_TOKEN_2 = 'xK9$vTq2Lw8z'", "secretKey:xK9$vTq2Lw8z", "authorization: xK9$vTq2Lw8z"]
+    texts = prose + clean + secret
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.scan(docs).collect()}
+    assert [t for i, t in enumerate(texts) if "guess" in found[i]] == secret
+    out = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert [out[i] for i in range(len(prose + clean))] == [
+        re.sub(ASSIGN, lambda m: "[assign]" if len(m[2]) >= 6 else m[0], t) for t in prose + clean]
+    assert all("xK9$vTq2Lw8z" not in out[i] for i in out)
+
+
 def test_scan_and_redact_rows(spark, awkward, nothing):
     assert secret_scan.scan(awkward).filter("size(spans) > 0").count() == 0
     assert secret_scan.scan(awkward).count() == awkward.count()
