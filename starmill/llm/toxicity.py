@@ -161,12 +161,14 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, turns: int = 50)
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text",
            label_col: str = "toxic") -> list[tuple[str, int]]:
-    """(text, label) of at most ``rows`` labelled documents of each class, those of the smallest hash of the id."""
+    """(text, label) of at most ``rows`` labelled documents of each class, those of the smallest hash of the id;
+    of an id that stands in several rows the text of the smallest hash."""
     known = labelled(labels, id_col, label_col)
     one = [known.filter(f"label = {y}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for y in (0, 1)]
     chosen = F.broadcast(one[0].unionByName(one[1]))  # no more than 2 * rows ids
-    found = id_and_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label").collect()
-    found = sorted(((r.doc_id, r.text or "", r.label) for r in found))
+    found = id_and_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit(""))).join(chosen, "doc_id")
+    found = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).collect()
+    found = sorted((r.doc_id, r.text, r.label) for r in found)
     return [(text, label) for _, text, label in found]
 
 

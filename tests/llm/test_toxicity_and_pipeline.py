@@ -62,6 +62,14 @@ def test_sample_is_bounded_and_repeats(spark):
     assert toxicity.sample(docs.limit(0), labels) == []
 
 
+def test_sample_takes_one_text_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(300)] + [(2, "other"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows = toxicity.sample(docs, labels, 5)
+    assert sorted(y for _, y in rows) == [0, 1]
+    assert rows == toxicity.sample(docs.repartition(3), labels, 5)
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     """A small corpus with copies, near copies, toxic texts and secrets; labels are never those of fold 0 alone."""
