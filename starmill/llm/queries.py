@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm import (
-    bpe, edit_embedding, hnsw, license_scan, packing, parity_join, secret_scan, token_counts, tool_calls, toxicity)
+    bpe, divergence, edit_embedding, hnsw, license_scan, merkle, mixing, packing, parity_join, secret_scan, token_counts, tool_calls, toxicity)
+from starmill.llm import merkle_sql
 from starmill.llm.texts import documents, table
 from starmill.queries.base import Registry
 
@@ -159,5 +160,57 @@ def count_tokens(spark: SparkSession, root: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@query("op11_entropy_mix")
+def entropy_mix(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix(documents(spark, root))
+
+
+@query("op12_source_divergence", """
+    WITH docs AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        coalesce(text, '') AS text FROM documents),
+    words AS (SELECT k, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs),
+    kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT k) >= 3),
+    langs AS (SELECT lang, sum(n)::HUGEINT AS n, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    totals AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM counts GROUP BY ALL),
+    chances AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + 1000000000 * (coalesce(c.n, 0) + 1) // (coalesce(t.n, 0) + l.v) AS p,
+        1 + 1000000000 * (k.n + 1) // (l.n + l.v) AS q
+      FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+      LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+      LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::BIGINT AS value
+      FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+      LEFT JOIN chances x ON x.lang = a.lang AND x.source = a.source
+      LEFT JOIN chances y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+    terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM chances WHERE n > 0 AND p > q),
+    ranks AS (SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+      UNION ALL
+      SELECT *, 'term' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM terms
+      QUALIFY rank <= 200)
+    SELECT lang, source, part, item, value, rank FROM ranks
+""")
+def source_divergence(spark: SparkSession, root: str) -> DataFrame:
+    return divergence.audit(documents(spark, root))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query("op13_merkle_manifest", merkle_sql.report())
+def merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
+    rows = documents(spark, root).select(*merkle.FIELDS)
+    wanted = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    changed = F.when(wanted, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    rows = rows.select("doc_id", "lang", merkle.leaf().alias("leaf"),
+                       F.when(wanted, merkle.leaf(text=changed)).otherwise(merkle.leaf()).alias("tampered"))
+    found = merkle.manifest(rows, "lang", ["doc_id"], "leaf", ["doc_id", "tampered"])
+    folded = merkle.fold(F.col("tampered"), F.col("path"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = REGISTRY.queries
 ORACLES = REGISTRY.oracles
