@@ -37,10 +37,10 @@ def clean_tables(tables: Mapping[str, DataFrame], sink: Sink, profile: str,
 
 
 def clean_day(spark: SparkSession, raw: str, target: str, run_date: str, *, layout: str = "zone", multi_line: bool = True,
-              fmt: str = "parquet", specs: Mapping[str, TableSpec] | None = None, workers: int = 4,
+              mixed: bool = False, fmt: str = "parquet", specs: Mapping[str, TableSpec] | None = None, workers: int = 4,
               **options) -> list[Outcome]:
     """Clean the raw files of one run date; running it again replaces that date only."""
-    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs, multi_line=multi_line)
+    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs, multi_line=multi_line, mixed=mixed)
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
         return replace_partitions(df, f"{target}/{spec.name}", ["run_date"], constant={"run_date": run_date}, fmt=fmt)
@@ -49,9 +49,10 @@ def clean_day(spark: SparkSession, raw: str, target: str, run_date: str, *, layo
 
 
 def clean_history(spark: SparkSession, raw: str, target: str, *, layout: str = "zone", multi_line: bool = True,
-                  fmt: str = "parquet", specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
-    """Clean all chunks of all dates as one table each, one row per key."""
-    tables = read_registry(spark, raw, layout=layout, specs=specs, multi_line=multi_line)
+                  mixed: bool = True, fmt: str = "parquet", specs: Mapping[str, TableSpec] | None = None, workers: int = 4,
+                  **options) -> list[Outcome]:
+    """Clean all chunks of all dates as one table each, one row per key; chunks of a history may have other headers."""
+    tables = read_registry(spark, raw, layout=layout, specs=specs, multi_line=multi_line, mixed=mixed)
 
     def sink(df: DataFrame, spec: TableSpec) -> int:
         return replace_table(df, f"{target}/{spec.name}", fmt=fmt)
@@ -60,9 +61,10 @@ def clean_history(spark: SparkSession, raw: str, target: str, *, layout: str = "
 
 
 def load_day(spark: SparkSession, raw: str, run_date: str, sink: Sink, *, layout: str = "zone",
-             multi_line: bool = True, specs: Mapping[str, TableSpec] | None = None, workers: int = 4, **options) -> list[Outcome]:
+             multi_line: bool = True, mixed: bool = False, specs: Mapping[str, TableSpec] | None = None, workers: int = 4,
+             **options) -> list[Outcome]:
     """Clean the raw files of one run date and append them to a warehouse through ``sink``."""
-    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs, multi_line=multi_line)
+    tables = read_registry(spark, raw, run_date, layout=layout, specs=specs, multi_line=multi_line, mixed=mixed)
     return clean_tables(tables, sink, "warehouse", specs, workers, **options)
 
 
@@ -97,7 +99,7 @@ def load_star(tables: Mapping[str, DataFrame], sink: Sink, *, workers: int = 4,
 
 
 def star_day(spark: SparkSession, raw: str, sink: Sink, run_date: str | None, *, layout: str = "zone",
-             multi_line: bool = True, **options) -> list[Outcome]:
+             multi_line: bool = True, mixed: bool = False, **options) -> list[Outcome]:
     """Star of the raw files of one run date, or of all."""
-    tables = read_registry(spark, raw, run_date, layout=layout, multi_line=multi_line)
+    tables = read_registry(spark, raw, run_date, layout=layout, multi_line=multi_line, mixed=mixed)
     return load_star(tables, sink, **options)

@@ -14,6 +14,7 @@ from starmill import fixed
 from starmill.functions.columns import is_csv, path_part
 from starmill.functions.names import normalise_columns
 from starmill.operators.dedup import distinct_values
+from starmill.sources.records import read_chunks
 from starmill.specs import SOURCE_SPECS, TableSpec
 
 # Reads what ``sinks.files`` writes: quotes inside cells are doubled, cells may hold line breaks.
@@ -90,18 +91,23 @@ def table_glob(root: str, table: str, run_date: str | None = None, *, layout: st
 
 def read_registry(spark: SparkSession, root: str, run_date: str | None = None, *, layout: str = "zone",
                   tables: Sequence[str] | None = None, specs: Mapping[str, TableSpec] | None = None,
-                  views: bool = False, multi_line: bool = True) -> dict[str, DataFrame]:
+                  views: bool = False, multi_line: bool = True, mixed: bool = False) -> dict[str, DataFrame]:
     """Every table of a run date (or of all dates) as a lazy frame with normalised names.
 
     Several files of one table are one frame. Tables with a spec are read as text, which the cleaner
-    types; the types of others are inferred. Discovery is skipped when ``tables`` names them.
+    types; the types of others are inferred. Discovery is skipped when ``tables`` names them. ``mixed``
+    is for files whose headers differ within a table, and for large files with line breaks in cells:
+    their lines are staged in the work folder first (``sources.records``).
     """
     known = SOURCE_SPECS if specs is None else specs
     names = tables if tables is not None else table_names(discover_files(spark, root, run_date, layout=layout))
     out = {}
     for name in names:
-        df = read_csv(spark, table_glob(root, name, run_date, layout=layout), infer=name not in known,
-                      multi_line=multi_line, recursive=layout == "hive")
+        paths, recursive = table_glob(root, name, run_date, layout=layout), layout == "hive"
+        if mixed:
+            df = read_chunks(spark, paths, infer=name not in known, recursive=recursive)
+        else:
+            df = read_csv(spark, paths, infer=name not in known, multi_line=multi_line, recursive=recursive)
         out[name] = normalise_columns(df)
         if views:
             out[name].createOrReplaceTempView(name)
