@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill import fixed
-from starmill.functions.quantiles import exact_quantiles, number
+from starmill.functions.quantiles import number, summaries
 
 DESCRIBE_SCHEMA = ("column string, count bigint, mean double, std double, min double, "
                    "p25 double, p50 double, p75 double, max double")
@@ -36,21 +36,14 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column.
 
-    One pass gives the moments of all columns, further passes the quartiles, which are exact at any
-    size (``exact_quantiles``). The report has one row per column.
+    The first pass over the rows gives the moments of all columns and the first digit of the quartiles, which are exact at
+    any size (``summaries``). The report has one row per column.
     """
-    moments = [e for c in columns for e in _moments(number(F.col(c)))]
-    row = df.agg(*moments).first()
-    stats = {c: row[5 * i:5 * i + 5] for i, c in enumerate(columns)}
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
-    lines = [(c, n, mean, std, low, *quartiles[c], high) for c, (n, low, high, mean, std) in stats.items()]
+    found = summaries(df, columns, (0.25, 0.5, 0.75))
+    lines = [(c, s.count, s.mean, s.std, s.low, *s.quantiles, s.high) for c, s in found.items()]
     return df.sparkSession.createDataFrame(lines, DESCRIBE_SCHEMA)
 
 
-def _moments(value: Column) -> list[Column]:
-    return [F.count(value), F.min(value), F.max(value), F.avg(value), F.stddev_samp(value)]
-
-
 def total_and_mean(df: DataFrame, column: str, mean_of: str | None = None) -> DataFrame:
     """Sum (0 for no values) and mean, which may be taken of another form of the column, in one scan."""
     return df.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total"), F.avg(mean_of or column).alias("mean"))

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from starmill.functions import quantiles
 from starmill.functions.quantiles import exact_quantiles
 from starmill.operators import profile
 from starmill.operators import quality as q
@@ -106,6 +107,10 @@ HARD = {
     "all equal": lambda r: np.full(4000, 3.25),
     "two values": lambda r: r.integers(0, 2, 4001).astype(float),
     "heavy tail": lambda r: r.pareto(0.3, 4000),
+    "all powers": lambda r: r.choice([-1.0, 1.0], 4000) * 2.0 ** r.integers(-1060, 1020, 4000),
+    "least doubles": lambda r: r.integers(-40, 40, 4000) * 5e-324,
+    "neighbours": lambda r: 1.0 + r.integers(0, 9, 4000) * 2.0 ** -52,
+    "around zero": lambda r: np.append(r.normal(size=2001) * 1e-9, [0.0, -0.0] * 500),
 }
 
 
@@ -114,7 +119,31 @@ def test_large_quantiles_are_exact(spark, name):
     values = HARD[name](np.random.default_rng(7))
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(5)
     got = exact_quantiles(df, ["x"], (0.0, 0.25, 0.5, 0.75, 1.0))["x"]
-    assert got == pytest.approx(list(np.quantile(values, (0, .25, .5, .75, 1))), rel=1e-12)
+    assert got == pytest.approx(list(np.quantile(values, (0, .25, .5, .75, 1))), rel=1e-12, abs=0)
+
+
+def test_quantiles_move_no_rows(spark, monkeypatch):
+    """What is shuffled is a line for each digit of a column, however many rows there are."""
+    seen = []
+    pick = quantiles._pass
+    monkeypatch.setattr(quantiles, "_pass", lambda values, digit, p: seen.append(
+        values.withColumn("digit", digit).groupBy("place", "digit").count()) or pick(values, digit, p))
+    df = spark.range(0, 400_000, 1, 4).select((F.col("id") % 1000 + 1).cast("double").alias("x"))
+    assert exact_quantiles(df, ["x"], (0.5,)) == {"x": [500.5]}
+    assert seen[0].count() <= 16 * 11
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and plan.index("Exchange") > plan.index("HashAggregate")
+
+
+def test_moments_of_many_digits_like_numpy(spark):
+    values = np.random.default_rng(3).lognormal(3, 2, 5000) - 20
+    out = profile.describe(spark.createDataFrame([(float(v),) for v in values], "x double").repartition(4), ["x"]).first()
+    assert [out["mean"], out["std"], out["min"], out["max"]] == pytest.approx([values.mean(), values.std(ddof=1), values.min(), values.max()])
+
+
+def test_infinite_values_have_ranks(spark):
+    df = spark.createDataFrame([(v,) for v in (float("inf"), float("-inf"), 1.0, 2.0, 3.0)], "x double")
+    assert exact_quantiles(df, ["x"], (0.0, 0.5, 1.0)) == {"x": [float("-inf"), 2.0, float("inf")]}
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
