@@ -117,31 +117,74 @@ class TableChecks:
     standard: bool = True
 
 
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of the columns' values: equal for equal values, NULL and NaN included, and in practice for no others.
+
+    Each value stands with its length, NULL as a sign of its own, so values can't run into each other.
+    """
+    return F.unhex(F.sha2(F.concat(*[_spelt(F.col(c), df.schema[c].dataType) for c in columns]), 256))
+
+
+def _spelt(value: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0).cast(data_type)  # -0.0 equals 0.0
+    if isinstance(data_type, T.BinaryType):
+        value = F.hex(value)
+    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        value = F.to_json(F.struct(value.alias("x")), {"ignoreNullFields": "false"})
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+_ROWS, _KEYS = -1, -2
+
+
+def findings(df: DataFrame, checks: Sequence[Check], key: Sequence[str], copies: bool) -> DataFrame:
+    """set, violations: all checks of a table, its repeated rows and its repeated keys in one scan.
+
+    Each row gives a line for its digest, one for its key's digest and one for each check it breaks; lines are counted map-side by
+    (set, digest), so a check is one line a task and only the digests of distinct rows and keys are shuffled. ``set`` is the
+    check's number, or ``_ROWS`` or ``_KEYS``; a set without line has no row.
+    """
+    line = lambda number, digest: F.struct(F.lit(number).alias("set"), digest.alias("digest"))
+    none = F.lit(None).cast("binary")
+    lines = [F.when(F.coalesce(c.broken, F.lit(False)), line(i, none)) for i, c in enumerate(checks)]
+    if copies:
+        lines.append(line(_ROWS, row_digest(df, df.columns)))
+    if key:
+        lines.append(line(_KEYS, row_digest(df, key)))
+    rows = df.select(F.inline(F.filter(F.array(*lines), lambda x: x.isNotNull())))
+    counts = rows.groupBy("set", "digest").agg(F.count("*").alias("n"))
+    return counts.groupBy("set").agg(F.sum(F.when(F.col("set") < 0, F.col("n") - 1).otherwise(F.col("n"))).alias("violations"))
+
+
 def quality_report(tables: Mapping[str, TableChecks], *, only_failed: bool = False) -> DataFrame:
     """One row per table and check: violations and passed, failed or skipped (column absent).
 
-    A table costs one scan for all column checks, and one each for duplicate rows and keys, which
-    read only what they group by. ``only_failed`` keeps the lines that found something.
+    A table costs one scan, whatever is checked (``findings``). ``only_failed`` keeps the lines that found something.
     """
-    frames = []
-    for name, t in tables.items():
-        wanted = [*(standard_checks(t.df) if t.standard else []), *t.checks]
-        here = [c for c in wanted if c.column in t.df.columns]
-        gone = [c for c in wanted if c.column not in t.df.columns]
-        if wanted:
-            frames.append(check_report(t.df, name, here, gone))
-        if t.copies:
-            frames.append(_report(duplicate_rows(t.df), name, "duplicate_rows", "*"))
-        if t.key:
-            label = ",".join(t.key)
-            if set(t.key) <= set(t.df.columns):
-                frames.append(_report(duplicate_keys(t.df, t.key), name, "duplicate_key", label))
-            else:
-                frames.append(check_report(t.df, name, [], [Check("duplicate_key", label, F.lit(False))]))
-    out = reduce(DataFrame.unionByName, frames)
+    out = reduce(DataFrame.unionByName, [_table_report(name, t) for name, t in tables.items()])
     return out.filter(F.col("status") == "failed") if only_failed else out
 
 
+def _table_report(name: str, t: TableChecks) -> DataFrame:
+    wanted = [*(standard_checks(t.df) if t.standard else []), *t.checks]
+    here = [c for c in wanted if c.column in t.df.columns]
+    key = t.key if set(t.key) <= set(t.df.columns) else ()
+    lines = [(here.index(c) if c in here else None, c.name, c.column) for c in wanted]
+    lines += [(_ROWS, "duplicate_rows", "*")] if t.copies else []
+    lines += [(_KEYS if key else None, "duplicate_key", ",".join(t.key))] if t.key else []
+    if not (here or key or t.copies):
+        found = t.df.sparkSession.range(1).select(F.lit(None).cast("map<int,bigint>").alias("found"))
+    else:
+        found = findings(t.df, here, key, t.copies).agg(F.map_from_entries(F.collect_list(F.struct("set", "violations"))).alias("found"))
+    count = lambda number: (F.lit(None).cast("bigint") if number is None
+                            else F.coalesce(F.try_element_at("found", F.lit(number)), F.lit(0).cast("bigint")))
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("table"), F.lit(check).alias("check"), F.lit(column).alias("column"),
+                 count(number).alias("violations"), _status(count(number)).alias("status")) for number, check, column in lines])))
+
+
 # --- referential checks -------------------------------------------------------------------------
 
 def orphan_rows(child: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None,
@@ -166,17 +209,56 @@ def orphan_count(child: DataFrame, parent: DataFrame, column: str, parent_column
 
 def referential_report(links: Sequence[tuple[str, DataFrame, DataFrame, str, str]], *,
                        ignore_null: bool = False) -> DataFrame:
-    """Report lines for links ``(label, child, parent, child column, parent column)``."""
-    frames = []
-    for label, child, parent, column, parent_column in links:
-        if column in child.columns and parent_column in parent.columns:
-            count = orphan_count(child, parent, column, parent_column, ignore_null=ignore_null)
-            frames.append(_report(count, label, "orphan", column))
-        else:
-            frames.append(check_report(child, label, [], [Check("orphan", column, F.lit(False))]))
+    """Report lines for links ``(label, child, parent, child column, parent column)``.
+
+    All links of a child, a frame that is the same object, cost one scan of it: its keys are stacked as (parent, key), counted
+    map-side, and meet the stacked keys of the parents in one anti join. A parent's column is read once, however many links
+    name it.
+    """
+    here = [x for x in links if x[3] in x[1].columns and x[4] in x[2].columns]
+    frames = [check_report(child, label, [], [Check("orphan", column, F.lit(False))])
+              for label, child, parent, column, parent_column in links if (label, child, parent, column, parent_column) not in here]
+    children = list({id(x[1]): x[1] for x in here}.values())
+    for child in children:
+        frames.append(_orphans_of(child, [x for x in here if x[1] is child], ignore_null))
     return reduce(DataFrame.unionByName, frames)
 
 
+def _orphans_of(child: DataFrame, links: Sequence[tuple], ignore_null: bool) -> DataFrame:
+    kinds = [_key_kind(child.schema[x[3]].dataType, x[2].schema[x[4]].dataType) for x in links]
+    parents = {(id(x[2]), x[4], kind): x[2] for x, kind in zip(links, kinds, strict=True)}
+    place = {parent: i for i, parent in enumerate(parents)}
+    stacked = child.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("link"), F.lit(place[id(x[2]), x[4], kind]).alias("parent"), _key_text(F.col(x[3]), kind).alias("key"))
+        for k, (x, kind) in enumerate(zip(links, kinds, strict=True))])))
+    if ignore_null:
+        stacked = stacked.filter("key IS NOT NULL")
+    per_key = stacked.groupBy("link", "parent", "key").agg(F.count("*").alias("n"))
+    keys = reduce(DataFrame.unionByName, [
+        frame.select(F.lit(place[i, column, kind]).alias("parent"), _key_text(F.col(column), kind).alias("key"))
+        for (i, column, kind), frame in parents.items()])
+    orphans = per_key.join(keys.filter("key IS NOT NULL").distinct(), ["parent", "key"], "left_anti").groupBy().pivot(
+        "link", list(range(len(links)))).agg(F.sum("n"))
+    count = lambda k: F.coalesce(F.col(str(k)), F.lit(0).cast("bigint"))
+    return orphans.select(F.inline(F.array(*[
+        F.struct(F.lit(x[0]).alias("table"), F.lit("orphan").alias("check"), F.lit(x[3]).alias("column"),
+                 count(k).alias("violations"), _status(count(k)).alias("status")) for k, x in enumerate(links)])))
+
+
+def _key_kind(mine: T.DataType, theirs: T.DataType) -> str:
+    """How a key is spelt so that two texts are equal where the keys are."""
+    if isinstance(mine, T.IntegralType) and isinstance(theirs, T.IntegralType):
+        return "bigint"
+    if mine != theirs and (isinstance(mine, T.NumericType) or isinstance(theirs, T.NumericType)):
+        return "decimal(38,6)"
+    return "double" if isinstance(mine, (T.FloatType, T.DoubleType)) else "string"
+
+
+def _key_text(key: Column, kind: str) -> Column:
+    value = key.try_cast(kind)
+    return (value + F.lit(0.0) if kind == "double" else value).cast("string")
+
+
 # --- the rental checks --------------------------------------------------------------------------
 
 def rental_checks(tables: Mapping[str, DataFrame], *, only_failed: bool = False) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from starmill.operators.clean import clean
 from starmill.operators.star import build_star, buildable
-from starmill.sinks.files import append_new, replace_partitions, replace_table
+from starmill.sinks.files import replace_partitions, replace_table
+from starmill.sinks.keyindex import append_indexed
 from starmill.sinks.report import Outcome, finish, log, run_tables
 from starmill.sources.files import read_registry
 from starmill.specs import STAR_SPECS, TableSpec, spec_for
@@ -79,12 +80,13 @@ def file_warehouse(target: str, run_date: str) -> Sink:
 
 def star_sink(target: str) -> Sink:
     """Star on files: dimensions are replaced, facts get the keys that are new. Facts lie by day; a key
-    that returns with another day, or without one, is known all the same."""
+    that returns with another day, or without one, is known all the same, and only days that may hold
+    a key are read (``sinks.keyindex``)."""
     def sink(df: DataFrame, spec: TableSpec) -> int:
         path = f"{target}/{spec.name}"
         if spec.mode == "overwrite":
             return replace_table(df, path)
-        return append_new(df, path, spec.keys, partition_by=["date_id"])
+        return append_indexed(df, path, spec.keys, partition_by=["date_id"])
 
     return sink
 

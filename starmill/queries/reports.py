@@ -116,6 +116,29 @@ def referential_check(spark, root):
     ])
 
 
+_LINE_LINKS = (("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"), ("l_suppkey", "supplier", "s_suppkey"),
+               ("second_part", "part", "p_partkey"))
+
+
+@query("referential_links", """WITH lines AS (SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey END AS l_orderkey,
+    CASE WHEN l_orderkey % 5 = 0 THEN -l_partkey - 1 ELSE l_partkey END AS l_partkey,
+    CASE WHEN l_orderkey % 3 = 0 THEN 0 - l_suppkey - 1 ELSE l_suppkey END AS l_suppkey, l_partkey AS second_part FROM lineitem)
+  SELECT 'lineitem' AS "table", 'orphan' AS "check", col AS "column", violations,
+    CASE WHEN violations > 0 THEN 'failed' ELSE 'passed' END AS status FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS col, count(*) AS violations FROM lines WHERE NOT EXISTS (SELECT 1 FROM {p} WHERE {k} = {c})"
+    for c, p, k in _LINE_LINKS) + ")")
+def referential_links(spark, root):
+    """Four keys of one child, two of them to the same parent, in one scan of the child."""
+    key = F.col("l_orderkey")
+    lines = table(spark, root, "lineitem").select(
+        F.when(key % 7 != 0, key).alias("l_orderkey"),
+        F.when(key % 5 == 0, -F.col("l_partkey") - 1).otherwise(F.col("l_partkey")).alias("l_partkey"),
+        F.when(key % 3 == 0, -F.col("l_suppkey") - 1).otherwise(F.col("l_suppkey")).alias("l_suppkey"),
+        F.col("l_partkey").alias("second_part"))
+    parents = {p: table(spark, root, p) for _, p, _ in _LINE_LINKS}
+    return quality.referential_report([("lineitem", lines, parents[p], c, k) for c, p, k in _LINE_LINKS])
+
+
 @query("orphan_rows", f"""WITH {LOST_SQL} SELECT * FROM lost
 WHERE customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = customer_id)""")
 def orphan_rows(spark, root):

@@ -11,6 +11,7 @@ from starmill.queries.base import query, table
 from starmill.session import work_folder
 from starmill.sinks.files import (append_new, read_table, replace_partitions, replace_table, write_chunks, write_files,
                                   write_increment)
+from starmill.sinks.keyindex import append_indexed
 from starmill.sources.files import read_csv, text_schema
 from starmill.specs import TableSpec
 
@@ -76,6 +77,21 @@ def idempotent_append(spark, root):
     return spark.read.schema(orders.schema).parquet(path)
 
 
+@query("indexed_append", """SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+UNION ALL SELECT NULL, -1, NULL, NULL""")
+def indexed_append(spark, root):
+    """The same through the key index: overlapping batches, keys that return with another year, keys and years that are missing."""
+    orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    path = work_folder(spark, "fact")
+    lost = orders.limit(1).select(F.lit(None).cast("bigint").alias("o_orderkey"), F.lit(-1).cast("bigint").alias("o_custkey"),
+                                  F.lit(None).cast("double").alias("o_totalprice"), F.lit(None).cast("int").alias("year"))
+    early, late = orders.filter("year <= 1998").union(lost), orders.filter("year >= 1997")
+    moved = orders.withColumn("year", F.when(F.col("o_orderkey") % 3 == 0, F.col("year") + 1)).union(lost)
+    for batch in (early, late, late, moved.union(moved)):
+        append_indexed(batch, path, ["o_orderkey"], partition_by=["year"])
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 @query("increment_runs", """SELECT CASE WHEN user_id % 2 = 0 THEN 'run-a' ELSE 'run-b' END AS run_id, '2024-01-31' AS run_date,
   count(*) AS n FROM events GROUP BY 1""")
 def increment_runs(spark, root):

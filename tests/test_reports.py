@@ -60,6 +60,45 @@ def test_one_scan_per_table_for_all_column_checks(shop):
     assert plan.count("LogicalRDD") == 1
 
 
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_one_scan_for_all_checks_of_a_table(spark, tmp_path):
+    lines = [(1, "a", 0.0), (1, "a", -0.0), (None, None, None), (None, None, None), (2, " ", 3.0), (2, "b", 3.0), (3, "a1", 1.0)]
+    spark.createDataFrame(lines, "k int, t string, x double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    report = q.quality_report({"t": q.TableChecks(df, ("k",), [q.zero("x"), q.negative("gone")])})
+    assert scans(report) == 1
+    assert found(report) == {
+        ("t", "missing", "k"): 2, ("t", "missing", "t"): 2, ("t", "missing", "x"): 2, ("t", "blank", "t"): 1, ("t", "zero", "x"): 2,
+        ("t", "negative", "gone"): None, ("t", "duplicate_rows", "*"): 2, ("t", "duplicate_key", "k"): 3}
+    assert set(found(q.quality_report({"t": q.TableChecks(df.limit(0), ("k",), [q.zero("x")])})).values()) == {0}
+    assert found(q.quality_report({"t": q.TableChecks(df, ("none",), [], copies=False, standard=False)})) == {("t", "duplicate_key", "none"): None}
+
+
+def test_digests_of_rows_tell_values_apart(spark):
+    lines = [("1", "2", [1, None]), ("12", "", [1, None]), ("1", None, [1]), (None, "1", [1]), ("", "1", None), ("1", "", []),
+             ("1:1", "-", []), ("-", "1:1", []), ("1", "2", [None, 1])]
+    df = spark.createDataFrame(lines, "a string, b string, c array<int>")
+    assert df.select(q.row_digest(df, df.columns).alias("d")).distinct().count() == len(lines)
+    twice = df.union(df)
+    assert found(q.quality_report({"t": q.TableChecks(twice, (), [], standard=False)})) == {("t", "duplicate_rows", "*"): len(lines)}
+
+
+def test_one_scan_of_a_child_for_all_its_links(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 2.0), (None, 5, 9.0), (7, 1, None)], "a int, b bigint, c double").write.parquet(str(tmp_path / "c"))
+    spark.createDataFrame([(1, 2), (None, 9)], "k int, m int").write.parquet(str(tmp_path / "p"))
+    child, parent = spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p"))
+    links = [("c", child, parent, "a", "k"), ("c", child, parent, "b", "k"), ("c", child, parent, "c", "m"), ("c", child, parent, "x", "k")]
+    report = q.referential_report(links)
+    assert found(report) == {("c", "orphan", "a"): 2, ("c", "orphan", "b"): 1, ("c", "orphan", "c"): 1, ("c", "orphan", "x"): None}
+    assert scans(report) == 1 + 2 + 1  # the child, two columns of the parent, the absent column's line
+    assert found(q.referential_report(links[:3], ignore_null=True))["c", "orphan", "a"] == 1
+    assert found(q.referential_report([("p", parent.filter("k = 1"), parent, "k", "k")])) == {("p", "orphan", "k"): 0}
+    assert found(q.referential_report([("p", parent.limit(0), parent, "k", "k")])) == {("p", "orphan", "k"): 0}
+
+
 def test_orphans(shop):
     assert {r[0] for r in q.orphan_rows(shop["payment"], shop["customer"], "customer_id").collect()} == {2, 3}
     kept = q.orphan_rows(shop["payment"], shop["customer"], "customer_id", ignore_null=True)
