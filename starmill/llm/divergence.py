@@ -159,11 +159,16 @@ def pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
                          F.col("total").alias("n"), F.col("kept").alias("bits"))
     sets = bitsets(kept).join(place.select("lang", "source", "tile", "own"), ["lang", "source"]).withColumn(
         "block", F.shiftright("word", BLOCK_BITS - WORD_BITS))
-    parts = heads.unionByName(sets).groupBy("lang", "tile", "block").applyInArrow(tile_values, TILE_ROWS)
+    size = BLOCK
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        return tile_values(key, rows, size)
+
+    parts = heads.unionByName(sets).groupBy("lang", "tile", "block").applyInArrow(run, TILE_ROWS)
     return _by_value(parts.groupBy("lang", "source", F.col("other").alias("item")).agg(F.sum("value").alias("value")))
 
 
-def tile_values(key: tuple, rows: pa.Table) -> pa.Table:
+def tile_values(key: tuple, rows: pa.Table, most: int) -> pa.Table:
     """The part that a block of ids has in the divergence of each pair of a tile of sources."""
     lang, tile, block = (k.as_py() for k in key)
     words, ns, bits, own = (rows.column(c).to_numpy() for c in ("word", "n", "bits", "own"))
@@ -171,7 +176,7 @@ def tile_values(key: tuple, rows: pa.Table) -> pa.Table:
     heads = {names[k]: int(ns[k]) for k in np.flatnonzero(words < 0)}
     tiles = dict(zip(names, own.tolist(), strict=True))
     kept = int(bits[words < 0][0])
-    size = min(BLOCK, kept - block * BLOCK)
+    size = min(most, kept - block * most)
     places: dict[str, list[int]] = {name: [] for name in heads}
     for k in np.flatnonzero(words >= 0)[np.argsort(words[words >= 0], kind="stable")]:
         places[names[k]].append(k)

@@ -177,19 +177,21 @@ def pack_lengths(lengths: list[int], most: int = SEQUENCE) -> list[list[int]]:
 def pack_groups(pieces: DataFrame, groups: int, turn: int, most: int) -> DataFrame:
     """Packs each group by itself: the columns of ``pieces``, group, bin, offset, fill."""
 
-    def run(_, rows):
-        rows = rows.sort_values(["doc_id", "piece", "start", "ids_crc32"], ignore_index=True)
-        out = pack_lengths(rows["length"].tolist(), most)
-        order = [i for b in out for i in b]
-        held = rows.iloc[order].reset_index(drop=True)
-        held["bin"] = np.repeat(np.arange(len(out)), [len(b) for b in out])
-        by_bin = held.groupby("bin")["length"]
-        held["offset"] = by_bin.cumsum() - held["length"]
-        held["fill"] = by_bin.transform("sum")
-        return held
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "piece", "start", "ids_crc32")])
+        lengths = rows.column("length").to_numpy()
+        out = pack_lengths(lengths.tolist(), most)
+        sizes = [len(b) for b in out]
+        order = np.array([i for b in out for i in b], np.int64)
+        upto = np.cumsum(lengths[order])
+        ends = np.cumsum(sizes) - 1
+        before = np.repeat(np.concatenate(([0], upto[ends[:-1]])), sizes)
+        held = rows.take(pa.array(order)).append_column("bin", pa.array(np.repeat(np.arange(len(out)), sizes), pa.int64()))
+        held = held.append_column("offset", pa.array(upto - lengths[order] - before, pa.int64()))
+        return held.append_column("fill", pa.array(np.repeat(upto[ends], sizes) - before, pa.int64()))
 
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "salt", F.lit(turn)), F.lit(groups)))
-    return dealt.groupBy("part").applyInPandas(run, f"{PIECES}, salt long, part long, bin long, offset long, fill long")
+    return dealt.groupBy("part").applyInArrow(run, f"{PIECES}, salt long, part long, bin long, offset long, fill long")
 
 
 def pack(pieces: DataFrame, most: int = SEQUENCE, group: int = GROUP_PIECES) -> DataFrame:

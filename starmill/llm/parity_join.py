@@ -164,6 +164,7 @@ def describe(docs: DataFrame, width: int, every: int) -> DataFrame:
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
                 pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "sid", "bits", "keys"])
+        WORDS.clear()
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, bits binary, keys array<long>")
 
@@ -191,6 +192,7 @@ def publish(docs: DataFrame, width: int) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "sid"])
+        WORDS.clear()
 
     return docs.mapInArrow(run, "key long, sid long")
 
@@ -352,9 +354,10 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
             own = [shingles(t, width) for t in strings(batch.column("text"))]
             ids = batch.column("sid").to_pylist()
             # an id may stand in several rows with other texts: only the set that is asked for counts
-            found = [(i, s.tobytes()) for i, s in zip(ids, own) if len(s) and set_id(s) == i]
+            found = [(set_id(s), s.tobytes()) for i, s in zip(ids, own) if len(s) and (i is None or set_id(s) == i)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()),
                                               pa.array([x[1] for x in found], pa.binary())], names=["sid", "members"])
+        WORDS.clear()
 
     def run(batches):
         for batch in by_bytes(batches, "x"):
@@ -374,6 +377,10 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
     if ends.count() <= BROADCAST_IDS:
         ends = F.broadcast(ends)
     whole = docs.join(ends, "doc_id").select("sid", "text").mapInArrow(sets, "sid long, members binary")
+    lost = ends.filter("doc_id is null").select("sid")
+    if lost.head(1):  # sets all of whose rows lack an id are found by themselves
+        own = docs.filter("doc_id is null").select(F.lit(None).cast("long").alias("sid"), "text").mapInArrow(sets, "sid long, members binary")
+        whole = whole.unionByName(own.join(lost, "sid", "left_semi").dropDuplicates(["sid"]))
     whole = keep(whole, "parity-sets")
     left = whole.select(F.col("sid").alias("a"), F.col("members").alias("x"))
     right = whole.select(F.col("sid").alias("b"), F.col("members").alias("y"))
@@ -381,7 +388,8 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
 
 
 def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, sid, component_id (the smallest doc_id reachable by links of 0.75 or more) for each row."""
+    """doc_id, n_shingles, sid, root (a set of the class), component_id (the smallest doc_id reachable by links of 0.75 or
+    more) for each row."""
     percent = 75  # the bounds of the bands and of d hold for this similarity
     docs = id_and_text(docs, id_col, text_col)
     every = max(1, block // SEEN)
@@ -414,9 +422,9 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
 
     roots = nodes.select("sid", "doc_id").join(parts, "sid", "left").withColumn("root", F.coalesce("component", "sid"))
     lowest = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    roots = roots.select("sid", "root").join(lowest, "root").select("sid", "component_id")
+    roots = roots.select("sid", "root").join(lowest, "root").select("sid", "root", "component_id")
     out = spread_join(about.drop("bits", "keys"), roots, ["sid"], "left", ["doc_id"])
-    return out.select("doc_id", "n_shingles", "sid", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", "sid", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -463,27 +471,26 @@ def blocks(rows: DataFrame, block: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, as they were, with one row of each class: a row of the document of the smallest id.
+    """``docs``, as they were, with one row of each class: a row of its smallest id, a row without id only if it has no other.
 
-    Documents without words are classes of their own. Rows that repeat a document's id and set stay once.
+    Rows without words are classes of their own. An id that stands in several rows, and null, is no name of a row: each of its rows
+    goes or stays with the class of its own set.
     """
     joined = keep(join(docs, width, id_col, text_col), "parity-classes")
     own = "__class_id"
-    gone = joined.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(own)).distinct()
+    ids = joined.filter("doc_id is not null")
+    gone = ids.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(own)).distinct()
+    several = keep(ids.groupBy(F.col("doc_id").alias(own)).count().filter("count > 1").select(own), "parity-repeated")
+    key = F.col(id_col).cast("long")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, F.col(id_col).cast("long") == F.col(own), "left_anti")
-    repeated = keep(joined.groupBy(F.col("doc_id").alias(own)).count().filter(f"count > 1 and {own} is not null"),
-                    "parity-repeated")
-    if not repeated.head(1):
-        return kept
-    return _once(kept, repeated.select(own), width, id_col, text_col)
+    single = docs.filter(key.isNotNull()).join(several, key == F.col(own), "left_anti").join(gone, key == F.col(own), "left_anti")
+    rows = docs.filter(key.isNull()).unionByName(docs.join(several, key == F.col(own), "left_semi"))
+    return single.unionByName(_kept(rows, joined, width, id_col, text_col))
 
 
-def _once(docs: DataFrame, repeated: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with one row of those that repeat an id and its set; ``repeated`` holds the ids that stand in several rows."""
-    own = repeated.columns[0]
-    same = F.col(id_col).cast("long") == F.col(own)
+def _kept(docs: DataFrame, joined: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that stay, told by their own sets."""
 
     def marked(batches):
         for batch in by_bytes(batches, text_col):
@@ -491,6 +498,10 @@ def _once(docs: DataFrame, repeated: DataFrame, width: int, id_col: str, text_co
             yield batch.append_column("__sid", pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()))
 
     schema = StructType([*docs.schema.fields, StructField("__sid", LongType())])
-    some = docs.join(repeated, same, "left_semi").mapInArrow(marked, schema)
-    once = some.filter("__sid is not null").dropDuplicates([id_col, "__sid"]).unionByName(some.filter("__sid is null"))
-    return docs.join(repeated, same, "left_anti").unionByName(once.drop("__sid"))
+    some = docs.mapInArrow(marked, schema)
+    classes = joined.filter("sid is not null").select(
+        F.col("sid").alias("__of"), "root", F.col("doc_id").alias("__id"), F.col("component_id").alias("__first")).distinct()
+    first = F.col("__id").eqNullSafe(F.col("__first"))
+    stay = some.join(classes.filter(first), (F.col("__sid") == F.col("__of")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id")))
+    stay = stay.dropDuplicates(["root"]).select(*docs.columns)
+    return stay.unionByName(some.filter("__sid is null").select(*docs.columns))

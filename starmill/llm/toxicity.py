@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.texts import id_and_text, map_texts
+from starmill.llm.texts import by_bytes, id_and_text, map_texts
 
 SAMPLE_ROWS = 3000
 WINDOW_BYTES = 32
@@ -203,7 +203,7 @@ def keep_below(docs: DataFrame, model: Model | None, limit: float = 0.5, text_co
     """The rows of ``docs`` with a score below ``limit``, as they were."""
 
     def run(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, text_col):
             texts = batch.column(text_col).to_pylist()
             yield batch.filter(pa.array([model is None or one(t or "", model) < limit for t in texts], pa.bool_()))
 

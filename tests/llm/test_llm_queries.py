@@ -26,12 +26,16 @@ COLUMNS = {
     "op7_parity_join": "doc_id bigint, n_shingles bigint, component_id bigint",
     "op8_swap_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
-    "op10_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"}
+    "op10_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op11_entropy_mix": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint, copies int, rate double",
+    "op12_source_divergence": "lang string, source string, part string, item string, value bigint, rank int",
+    "op13_merkle_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
+                            "verified boolean"}
 
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
@@ -43,7 +47,7 @@ def test_against_sql(spark, name):
 def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, ROOT)
     assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == COLUMNS[name]
-    if name not in ("op6_hnsw", "op8_swap_packing"):
+    if name not in ("op6_hnsw", "op8_swap_packing", "op12_source_divergence"):
         assert df.count() == spark.read.parquet(f"{ROOT}/documents.parquet").count()
 
 

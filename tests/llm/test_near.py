@@ -88,6 +88,25 @@ def test_parity_join_is_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, c in want.items() if i == c)
 
 
+def test_rows_go_by_their_own_sets(spark):
+    """Ids that stand in several rows, and none, name no row: exactly the rows of a class that are not its kept one go."""
+    words = [f"w{k}" for k in range(40)]
+    text, near, other, third = " ".join(words), " ".join([*words, "extra"]), "an unrelated text of some seven words", " ".join(words[::-1])
+    rows = [(1, text), (5, near), (5, other), (5, other), (None, near), (None, third), (None, third + " more"), (None, None), (None, ""),
+            (7, third), (8, "alone here"), (8, "alone here"), (8, text), (9, None), (9, None), (6, other + " indeed")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, sid string").repartition(4)
+    kept = parity_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    want = [(1, text), (5, other), (7, third), (8, "alone here"), (9, None), (9, None), (None, None), (None, "")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+    lost = spark.createDataFrame([(None, text), (None, near), (None, other), (None, near + " too")], "doc_id long, text string")
+    out = parity_join.keep_one(lost).collect()
+    assert len(out) == 2 and {r.text for r in out} > {other}
+    roots = {r.root for r in parity_join.join(lost).collect()}
+    assert len(roots) == 2  # links between sets without ids are found
+
+
 def test_crowded_buckets_are_cut(spark):
     """Blocks of 8 on the same corpus; and no part holds more than two blocks, while all pairs of two components meet."""
     rows = corpus()

@@ -112,12 +112,47 @@ def test_packed_bins_hold_everything_once(lengths):
     assert all(sum(lengths[i] for i in b) <= 50 for b in bins)
 
 
-def test_search_beats_best_fit():
-    lengths = [4, 4, 5, 5, 5, 4, 3]  # best fit of the longest first needs 4 bins of 10, three hold all
+def fewest_by_force(lengths, most):
+    """The least number of bins, all assignments tried."""
+    lengths = sorted(lengths, reverse=True)
+    best = len(lengths)
+
+    def place(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(lengths):
+            best = len(rooms)
+            return
+        for k in range(len(rooms)):
+            if rooms[k] >= lengths[at] and rooms[k] not in rooms[:k]:
+                place(at + 1, [*rooms[:k], rooms[k] - lengths[at], *rooms[k + 1:]])
+        place(at + 1, [*rooms, most - lengths[at]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("lengths", [[6, 5, 3, 2, 2, 2], [5, 5, 4, 4, 3, 3, 3, 3], [7, 6, 3, 3, 2, 2, 2, 2, 3]])
+def test_search_beats_best_fit(lengths):
     only = packing.Bins(lengths, 10)
     only.best_fit()
-    assert len(only.held) == 4
-    assert len(packing.pack_lengths(lengths, 10)) == 3
+    assert len(packing.pack_lengths(lengths, 10)) == fewest_by_force(lengths, 10) <= len(only.held)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
+def test_few_pieces_need_hardly_more_bins_than_the_least(lengths):
+    least = fewest_by_force(lengths, 20)
+    assert least <= len(packing.pack_lengths(lengths, 20)) <= least + 1
+
+
+def test_large_ids_beside_a_null_id(spark):
+    rows = [(2 ** 60 + 1, 0, 0, 700, 1), (None, 0, 0, 500, 2), (2 ** 60 + 3, 0, 0, 800, 3), (None, 0, 0, 500, 2)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    packed = packing.pack(pieces).collect()
+    assert sorted((tuple(r)[:5] for r in packed), key=str) == sorted(rows, key=str)
+    assert check_sequences(packed, 2048) == 2
 
 
 def test_pieces_and_sequences(spark, awkward, nothing):
