@@ -14,8 +14,13 @@ from pyspark.sql import types as T
 
 from starmill import fixed
 from starmill.operators import increment as inc
+from starmill.operators.intervals import gaps, in_gaps, islands, merged
 from starmill.sinks.files import read_table, write_chunks, write_files, write_increment
 from starmill.sinks.report import Outcome, attempt, finish
+from starmill.sources.files import CSV_READ
+
+
+INTERVAL_SCHEMA = "table string, run bigint, low bigint, high bigint"
 
 
 class Source(Protocol):
@@ -50,6 +55,24 @@ class Journal:
     def days(self) -> DataFrame:
         return self._log("days", "table string, day string")
 
+    def intervals(self, table: str, settle_runs: int | None = None) -> tuple[DataFrame, int | None]:
+        """Loaded keys of a table as merged intervals, and the key up to which no more rows are waited for.
+
+        Without ``settle_runs`` every gap stays open. With it, gaps below the largest key that was loaded that many runs
+        ago are closed: what was assigned so long ago is committed or never will be.
+        """
+        log = self._log("intervals", INTERVAL_SCHEMA).filter(F.col("table") == table)
+        settled = None
+        if settle_runs is not None:
+            newest = log.agg(F.max("run")).first()[0]
+            settled = None if newest is None else log.filter(F.col("run") <= newest - settle_runs + 1).agg(F.max("high")).first()[0]
+        return merged(log.select("low", "high")), settled
+
+    def save_intervals(self, table: str, intervals: DataFrame) -> None:
+        last = self._log("intervals", INTERVAL_SCHEMA).filter(F.col("table") == table).agg(F.max("run")).first()[0]
+        rows = intervals.select(F.lit(table).alias("table"), F.lit((last or 0) + 1).cast("bigint").alias("run"), "low", "high")
+        write_files(rows, f"{self.path}/intervals")
+
     def save_state(self, marks: DataFrame) -> None:
         write_files(marks.coalesce(1), f"{self.path}/state")
 
@@ -69,12 +92,13 @@ class Journal:
 
 
 def extract_history(source: Source, target: str, journal: Journal, *, fmt: str = "csv",
-                    chunk: int = fixed.CHUNK_ROWS) -> list[Outcome]:
+                    chunk: int = fixed.CHUNK_ROWS, late_keys: bool = False) -> list[Outcome]:
     """Write every table once, by day, by key or in full; a table already done is not read again.
 
     A keyed table is read up to the largest key it had at the start. That key is its mark, saved
     right after the write, from which the increments go on: rows that arrive meanwhile come next time.
     The mark of a table with a change column is the last day that it had; increments read that day again.
+    ``late_keys`` also saves which keys were written, for increments that look for late ones.
     """
     plan = inc.plan_extract(source.catalog())
     if not any(r["strategy"] == "key" for r in plan.collect()):
@@ -91,6 +115,8 @@ def extract_history(source: Source, target: str, journal: Journal, *, fmt: str =
             column = fixed.CHANGE_COLUMN if strategy == "date" else None
             outcome = attempt(table, lambda: write_chunks(
                 rows, f"{target.rstrip('/')}/{table}", column, fmt=fmt, chunk=chunk))
+        if late_keys and strategy == "key" and outcome.status == "written":
+            journal.save_intervals(table, islands(_written(source.spark, f"{target.rstrip('/')}/{table}", fmt), row["keys"][0]))
         if mark is not None and outcome.status != "failed":
             journal.save_state(source.spark.createDataFrame([(table, mark, True)], inc.STATE_SCHEMA))
         if day is not None and outcome.status != "failed":
@@ -127,7 +153,8 @@ def history_manifest(source: Source, chunk: int = fixed.CHUNK_ROWS) -> DataFrame
 
 
 def extract_increment(source: Source, target: str, journal: Journal, run_date: str, *, fmt: str = "csv",
-                      from_zero: bool = False, run_id: str | None = None) -> list[Outcome]:
+                      from_zero: bool = False, run_id: str | None = None, late_keys: bool = False,
+                      settle_runs: int | None = None) -> list[Outcome]:
     """Write what is new since the last run.
 
     The first run only seeds the marks, unless ``from_zero``. Tables with a change column give the days
@@ -137,6 +164,10 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
     above their mark, which moves after a good write. A key of several columns has no mark that all
     new rows lie above, so such tables come in full and are reduced by key when cleaned. Tables with
     neither are skipped.
+
+    A transaction may commit a lower key after a higher one was read, which a mark never gives. With ``late_keys`` the loaded
+    keys are kept as intervals and all gaps between them are read too, those of the last ``settle_runs`` runs or, without,
+    all.
     """
     plan = inc.plan_extract(source.catalog()).collect()
     keyed = {r["table"]: r["keys"][0] for r in plan if r["strategy"] == "key"}
@@ -144,6 +175,8 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
     if not from_zero and not any(r["bootstrapped"] for r in state.values()):
         if keyed:
             journal.save_state(inc.bootstrap_state({t: (source.read(t), k) for t, k in keyed.items()}))
+            for t, k in keyed.items() if late_keys else ():
+                journal.save_intervals(t, islands(source.read(t), k))
         else:
             journal.save_bootstrap()
         for r in plan:
@@ -166,6 +199,8 @@ def extract_increment(source: Source, target: str, journal: Journal, run_date: s
             if outcome.status != "failed":
                 journal.save_day(table, run_date)
             outcomes.append(outcome)
+        elif late_keys:
+            outcomes.append(_load_gaps(source, table, keyed[table], path, run_date, run_id, fmt, journal, settle_runs))
         else:
             last_id = state[table]["last_id"] if table in state else 0
             outcomes.append(_load_keys(source, table, keyed[table], last_id, path, run_date, run_id, fmt, journal))
@@ -183,6 +218,26 @@ def _load_keys(source: Source, table: str, key: str, last_id: int, path: str, ru
     return outcome
 
 
+def _load_gaps(source: Source, table: str, key: str, path: str, run_date: str, run_id: str, fmt: str, journal: Journal,
+               settle_runs: int | None) -> Outcome:
+    """Rows in the gaps of the loaded keys. Which keys they brought is read from the files, not from the source again."""
+    _, low, top = source.key_range(table, key).first()
+    loaded, settled = journal.intervals(table, settle_runs)
+    low = top + 1 if low is None else low if settled is None else max(low, settled + 1)
+    new = in_gaps(source.read(table), key, gaps(loaded, low, top))
+    outcome = attempt(table, lambda: write_increment(new, path, run_date, run_id, fmt=fmt))
+    if outcome.status == "written":
+        written = _written(source.spark, f"{path}/run_date={run_date}/run_id={run_id}", fmt)
+        journal.save_intervals(table, islands(written, key))
+        journal.save_state(source.spark.createDataFrame([(table, top, True)], inc.STATE_SCHEMA))
+    return outcome
+
+
+def _written(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return reader.options(**CSV_READ, multiLine=True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+
+
 def _changed(df: DataFrame, last: str | None, run_date: str) -> DataFrame:
     """Rows of the last loaded day through the run date, or of all days through it."""
     if last is None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions.columns import chunk_label, time_text
 from starmill.operators import increment as inc
+from starmill.operators.intervals import gaps, islands
 from starmill.operators.clean import clean
 from starmill.operators.dedup import latest_per_key
 from starmill.operators.trigger import read_events, trigger_counts
@@ -64,6 +65,38 @@ def increment_complete(spark, root):
     return events_out(loaded.transform(clean(spec, "historical", fill=False)).withColumnRenamed("last_update", "ts"))
 
 
+@query("late_keys", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def late_keys(spark, root):
+    """Four runs over a growing table without change time, in which a third of the keys is committed one to three runs late, below
+    keys that were loaded long ago: every row comes, once."""
+    orders, path = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), work_folder(spark, "late")
+    journal, key = Journal(spark, f"{path}/journal"), F.col("o_orderkey")
+    top = inc.key_range(orders, "o_orderkey").first()["max_id"]
+    due = F.ceil(4 * key / top) + F.when(F.pmod(F.hash(key), F.lit(3)) == 0, F.pmod(F.hash(key), F.lit(4))).otherwise(0)
+    for run in range(1, 5):
+        there = orders if run == 4 else orders.filter(due <= run)
+        source = FrameSource(spark, {"orders": there}, {"orders": ("o_orderkey",)})
+        if run == 1:
+            extract_history(source, f"{path}/raw", journal, fmt="parquet", late_keys=True)
+        else:
+            extract_increment(source, f"{path}/raw", journal, f"1998-01-0{run}", fmt="parquet", late_keys=True)
+    return spark.read.schema(orders.schema).option("recursiveFileLookup", "true").parquet(f"{path}/raw/orders")
+
+
+@query("key_intervals", """WITH k AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 1000 > 20 OR o_orderkey % 7 = 0),
+  runs AS (SELECT k, k - row_number() OVER (ORDER BY k) AS run FROM k),
+  held AS (SELECT min(k) AS low, max(k) AS high FROM runs GROUP BY run),
+  ends AS (SELECT * FROM held UNION ALL SELECT max(o_orderkey) + 1, max(o_orderkey) + 1 FROM orders UNION ALL SELECT min(o_orderkey) - 1, min(o_orderkey) - 1 FROM orders),
+  open AS (SELECT high + 1 AS low, lead(low) OVER (ORDER BY low) - 1 AS high FROM ends)
+  SELECT 'held' AS kind, low, high FROM held UNION ALL SELECT 'gap', low, high FROM open WHERE high >= low""")
+def key_intervals(spark, root):
+    """Keys that are there as intervals, and the gaps between them."""
+    orders, key = table(spark, root, "orders"), F.col("o_orderkey")
+    held = islands(orders.filter((key % 1000 > 20) | (key % 7 == 0)), "o_orderkey")
+    _, low, top = inc.key_range(orders, "o_orderkey").first()
+    return held.withColumn("kind", F.lit("held")).unionByName(gaps(held, low, top).withColumn("kind", F.lit("gap")))
+
+
 @query("key_increment", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)")
 def key_increment(spark, root):
     orders = table(spark, root, "orders")
