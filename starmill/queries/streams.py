@@ -9,8 +9,10 @@ from starmill.functions.columns import time_text
 from starmill.queries.base import query, table
 from starmill.queries.loads import EVENT_OUT, events_out
 from starmill.session import work_folder
+from starmill.sinks.files import write_files
 from starmill.specs import TableSpec
 from starmill.streaming import daily, ingest, keyed
+from starmill.streaming.contents import ingest_contents
 
 
 def event_stream(spark: SparkSession, root: str) -> DataFrame:
@@ -83,11 +85,23 @@ def stream_daily(spark, root):
                          F.col("total").cast("double").alias("total"))
 
 
-@query("stream_windows", """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY CAST(ts AS DATE)
-HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+@query("stream_windows", """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def stream_windows(spark, root):
-    """The stateful form: the days that the watermark has closed."""
+    """The stateful form: every day, also those that the watermark has not closed."""
     path = work_folder(spark, "windows")
-    days = daily.daily_windows(event_stream(spark, root), "ts", {"n": F.count("*")})
-    ingest.run_available(days, f"{path}/checkpoint", ingest.batch_writer(f"{path}/table"))
-    return spark.read.parquet(f"{path}/table").select(time_text(F.col("day"), "yyyy-MM-dd").alias("day"), "n")
+    daily.collect_windows(event_stream(spark, root), "ts", {"n": F.count("*")}, ["event_type"], f"{path}/table", f"{path}/checkpoint")
+    days = daily.window_totals(spark, f"{path}/table", ["event_type"])
+    return days.select(time_text(F.col("day"), "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+@query("stream_contents", "SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, event_type FROM events")
+def stream_contents(spark, root):
+    """Every file is delivered twice, the second time under another name and on another day: its rows come once."""
+    path = work_folder(spark, "contents")
+    events = table(spark, root, "events").select("event_id", "user_id", "event_type")
+    for day in ("2024-01-01", "2024-01-02"):
+        write_files(events, f"{path}/raw/{day}/events", fmt="csv")
+        for _ in range(2):
+            stream = ingest.csv_stream(spark, f"{path}/raw", "events", "event_id string, user_id string, event_type string")
+            ingest_contents(stream, f"{path}/table", f"{path}/checkpoint", f"{path}/ledger")
+    return spark.read.parquet(f"{path}/table").select("event_id", "user_id", "event_type")

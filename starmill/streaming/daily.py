@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.operators.dedup import latest_per_key
 from starmill.streaming.ingest import BATCH, batch_writer, run_available
 
 _MOVED = "__local_time"
@@ -25,6 +26,18 @@ def daily_windows(stream: DataFrame, time: str, measures: Mapping[str, Column],
     return days.select(F.date_from_unix_date(number).alias("day"), *by, *measures)
 
 
+def collect_windows(stream: DataFrame, time: str, measures: Mapping[str, Column], by: Sequence[str], target: str, checkpoint: str,
+                    delay: str = "1 day") -> int:
+    """The same windows, kept open: each batch writes the days it changed as they are by then, so days that the watermark has not
+    closed are there as well. The state holds open days only; ``window_totals`` takes the newest line of each day."""
+    return run_available(daily_windows(stream, time, measures, by, delay), checkpoint, batch_writer(target), "update")
+
+
+def window_totals(spark: SparkSession, target: str, by: Sequence[str] = ()) -> DataFrame:
+    """Every day once, as its last batch left it."""
+    return latest_per_key(spark.read.parquet(target), ["day", *by], [BATCH]).drop(BATCH)
+
+
 def collect_daily(stream: DataFrame, time: str, value: str, by: Sequence[str], target: str, checkpoint: str) -> int:
     """Partial totals of each batch by day; late rows of any age just add to their day."""
     def partial(df: DataFrame) -> DataFrame:

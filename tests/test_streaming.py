@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starmill.specs import TableSpec
-from starmill.streaming import daily, ingest, keyed
+from starmill.streaming import contents, daily, ingest, keyed
 
 SPEC = TableSpec("film", ("film_id",), types={"film_id": "bigint", "last_update": "timestamp"})
 SCHEMA = "film_id string, title string, last_update string"
@@ -92,3 +92,43 @@ def test_windows_close_behind_the_watermark(spark, tmp_path):
     ingest.run_available(days, str(tmp_path / "c"), ingest.batch_writer(str(tmp_path / "t")))
     out = spark.read.parquet(str(tmp_path / "t")).select("day", "n", "total")
     assert rows(out) == [(dt.date(2024, 1, 1), 2, 3), (dt.date(2024, 1, 2), 1, 1)]
+
+
+def test_open_days_are_there(spark, tmp_path):
+    target, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    measures = {"n": F.count("*"), "total": F.sum("value")}
+    put_events(spark, tmp_path, (1, dt.datetime(2024, 1, 1, 9), 1), (2, dt.datetime(2024, 1, 2, 9), 2))
+    daily.collect_windows(events(spark, tmp_path), "ts", measures, [], target, checkpoint)
+    assert rows(daily.window_totals(spark, target)) == [(dt.date(2024, 1, 1), 1, 1), (dt.date(2024, 1, 2), 1, 2)]
+    put_events(spark, tmp_path, (3, dt.datetime(2024, 1, 2, 23), 5), (4, dt.datetime(2024, 1, 9, 1), 7))
+    daily.collect_windows(events(spark, tmp_path), "ts", measures, [], target, checkpoint)
+    assert rows(daily.window_totals(spark, target)) == [
+        (dt.date(2024, 1, 1), 1, 1), (dt.date(2024, 1, 2), 2, 7), (dt.date(2024, 1, 9), 1, 7)]
+
+
+def test_contents_come_once(spark, tmp_path):
+    raw, target, checkpoint, ledger = (str(tmp_path / x) for x in ("raw", "t", "c", "l"))
+    load = lambda: contents.ingest_contents(films(spark, tmp_path), target, checkpoint, ledger)
+    put(tmp_path / "raw", "2024-01-01", "a.csv", "1,A,2024-01-01", "2,B,2024-01-01")
+    put(tmp_path / "raw", "2024-01-01", "a-again.csv", "1,A,2024-01-01", "2,B,2024-01-01")
+    assert load() == 2
+    put(tmp_path / "raw", "2024-01-02", "renamed.csv", "1,A,2024-01-01", "2,B,2024-01-01")
+    put(tmp_path / "raw", "2024-01-02", "turned.csv", "2,B,2024-01-01", "1,A,2024-01-01")
+    put(tmp_path / "raw", "2024-01-02", "more.csv", "1,A,2024-01-01", "2,B,2024-01-01", "2,B,2024-01-01")
+    assert load() == 5 and load() == 0
+    assert spark.read.parquet(target).count() == 7 and raw
+
+
+def test_digests_do_not_depend_on_splits(spark, tmp_path):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    body = "".join(f"line {k % 70},{k}\n" for k in range(4000))
+    for name, text in {"a": body, "b": body, "swapped": body.replace("line 1,1\nline 2,2\n", "line 2,2\nline 1,1\n"), "less": body[:-9], "empty": ""}.items():
+        (folder / f"{name}.csv").write_text(text)
+    whole = {r.file.split("/")[-1]: (r.lines, r.digest) for r in contents.file_digests(spark, str(folder)).collect()}
+    cut = spark.newSession()
+    cut.conf.set("spark.sql.files.maxPartitionBytes", 5000)
+    cut.conf.set("spark.sql.files.openCostInBytes", 0)
+    assert {r.file.split("/")[-1]: (r.lines, r.digest) for r in contents.file_digests(cut, str(folder)).collect()} == whole
+    assert whole["a.csv"] == whole["b.csv"] and whole["a.csv"][0] == 4000
+    assert len({whole[n][1] for n in ("a.csv", "swapped.csv", "less.csv")}) == 3
