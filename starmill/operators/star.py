@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +71,20 @@ def fact(base: DataFrame, key: str | Sequence[str], lookups: Sequence[Lookup], c
     return wide.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
 
 
+@dataclass(frozen=True)
+class Shape:
+    """What a star table is built of: the base, its key, its lookups, and the columns it ends with (a mapping for a fact)."""
+
+    base: DataFrame
+    key: str
+    lookups: Sequence[Lookup]
+    columns: Sequence[str] | Mapping[str, Column | str]
+
+    def build(self) -> DataFrame:
+        make = fact if isinstance(self.columns, Mapping) else dimension
+        return make(self.base, self.key, self.lookups, self.columns)
+
+
 # --- the rental star ----------------------------------------------------------------------------
 
 def _place(tables: Tables, city: str, country: str) -> Lookup:
@@ -76,37 +92,37 @@ def _place(tables: Tables, city: str, country: str) -> Lookup:
         Lookup(tables["country"], {"country_id": "country_id"}, {country: "country"}, small=True),))
 
 
-def dim_customer(tables: Tables) -> DataFrame:
+def customer_shape(tables: Tables) -> Shape:
     address = Lookup(
         tables["address"], {"address_id": "address_id"},
         {c: c for c in ("address", "district", "postal_code", "city", "country")},
         then=(_place(tables, "city", "country"),))
-    return dimension(tables["customer"], "customer_id", [address], fixed.DIM_CUSTOMER)
+    return Shape(tables["customer"], "customer_id", [address], fixed.DIM_CUSTOMER)
 
 
-def dim_film(tables: Tables) -> DataFrame:
+def film_shape(tables: Tables) -> Shape:
     language = Lookup(tables["language"], {"language_id": "language_id"}, {"language": "name"}, small=True)
     category = Lookup(
         first_link(tables["film_category"], "film_id", "category_id"), {"film_id": "film_id"},
         {"category": "category"}, unique=True,
         then=(Lookup(tables["category"], {"category_id": "category_id"}, {"category": "name"}, small=True),))
-    return dimension(tables["film"], "film_id", [language, category], fixed.DIM_FILM)
+    return Shape(tables["film"], "film_id", [language, category], fixed.DIM_FILM)
 
 
-def dim_store(tables: Tables) -> DataFrame:
+def store_shape(tables: Tables) -> Shape:
     manager = Lookup(tables["staff"], {"manager_staff_id": "staff_id"},
                      {"manager_first_name": "first_name", "manager_last_name": "last_name"})
     address = Lookup(tables["address"], {"address_id": "address_id"},
                      {"store_address": "address", "store_city": "store_city", "store_country": "store_country"},
                      then=(_place(tables, "store_city", "store_country"),))
-    return dimension(tables["store"], "store_id", [manager, address], fixed.DIM_STORE)
+    return Shape(tables["store"], "store_id", [manager, address], fixed.DIM_STORE)
 
 
 def dim_date(tables: Tables) -> DataFrame:
     return date_dimension(tables["payment"], "payment_date")
 
 
-def fact_payment(tables: Tables) -> DataFrame:
+def payment_shape(tables: Tables) -> Shape:
     """One row per payment; the customer is the payment's own, the store falls back to the staff's."""
     rental = Lookup(
         tables["rental"], {"rental_id": "rental_id"}, {"film_id": "film_id", "rented_store_id": "store_id"},
@@ -118,18 +134,24 @@ def fact_payment(tables: Tables) -> DataFrame:
     columns = {c: c for c in fixed.FACT_PAYMENT}
     columns["store_id"] = F.coalesce("rented_store_id", "staff_store_id")
     columns["date_id"] = date_id(F.col("payment_date"))
-    return fact(payment, "payment_id", [rental, staff], columns)
+    return Shape(payment, "payment_id", [rental, staff], columns)
 
 
-BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
-    "dim_customer": dim_customer,
-    "dim_film": dim_film,
-    "dim_store": dim_store,
-    "dim_date": dim_date,
-    "fact_payment": fact_payment,
+SHAPES: dict[str, Callable[[Tables], Shape]] = {
+    "dim_customer": customer_shape,
+    "dim_film": film_shape,
+    "dim_store": store_shape,
+    "fact_payment": payment_shape,
 }
 
 
+def build(name: str, tables: Tables) -> DataFrame:
+    return dim_date(tables) if name == "dim_date" else SHAPES[name](tables).build()
+
+
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {name: partial(build, name) for name in fixed.STAR_SOURCES}
+
+
 def buildable(tables: Tables) -> dict[str, list[str]]:
     """Missing sources per star table; an empty list means that it can be built."""
     return {name: [t for t in need if t not in tables] for name, need in fixed.STAR_SOURCES.items()}

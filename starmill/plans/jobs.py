@@ -7,9 +7,11 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starmill import fixed
 from starmill.operators.clean import clean
-from starmill.operators.star import build_star, buildable
-from starmill.sinks.files import replace_partitions, replace_table
+from starmill.operators.refresh import refresh
+from starmill.operators.star import BUILDERS, build_star, buildable, clean_registry
+from starmill.sinks.files import read_table, replace_partitions, replace_table
 from starmill.sinks.keyindex import append_indexed
 from starmill.sinks.report import Outcome, finish, log, run_tables
 from starmill.sources.files import read_registry
@@ -100,6 +102,32 @@ def load_star(tables: Mapping[str, DataFrame], sink: Sink, *, workers: int = 4,
     return finish([*run_tables(loads, workers), *skipped])
 
 
+def refresh_dimensions(tables: Mapping[str, DataFrame], changes: Mapping[str, DataFrame], target: str, *, workers: int = 4,
+                       **options) -> list[Outcome]:
+    """Bring the dimensions of a star on files up to date by the changed rows of their sources, in old and new form.
+
+    ``tables`` are the sources as they are now. A dimension that no change can reach by its sources is not touched; one that was
+    never built is built. Facts are appended by key (``star_sink``).
+    """
+    sources = clean_registry(tables, **options)
+    changed = clean_registry({t: df for t, df in changes.items() if t in tables}, **options)
+
+    def load(name: str, need: list[str]) -> Callable[[], int]:
+        own = {t: sources[t] for t in need}
+
+        def run() -> int:
+            path = f"{target}/{name}"
+            old = read_table(next(iter(own.values())).sparkSession, path)
+            return replace_table(BUILDERS[name](own) if old is None else refresh(name, old, own, changed), path)
+
+        return run
+
+    wanted = {n: fixed.STAR_SOURCES[n] for n, missing in buildable(tables).items() if not missing and STAR_SPECS[n].mode == "overwrite"}
+    untouched = [n for n, need in wanted.items() if not set(need) & set(changed)]
+    loads = {n: load(n, need) for n, need in wanted.items() if n not in untouched}
+    return finish([*run_tables(loads, workers), *[Outcome(n, "skipped", 0, "no change reaches it") for n in untouched]])
+
+
 def star_day(spark: SparkSession, raw: str, sink: Sink, run_date: str | None, *, layout: str = "zone",
              multi_line: bool = True, mixed: bool = False, **options) -> list[Outcome]:
     """Star of the raw files of one run date, or of all."""

@@ -245,6 +245,24 @@ def event_log(spark, root):
     return read_events(trigger_log(spark, root), today=F.to_date("ts")).drop("ts", "event")
 
 
+@query("event_log_today", """SELECT CASE event_type WHEN 'view' THEN 'schedule' WHEN 'signup' THEN 'historical' ELSE 'unknown' END AS trigger,
+  strftime(current_date, '%Y-%m-%d') AS run_date, count(*) AS n FROM events WHERE coalesce(event_type, '') NOT IN ('click', 'purchase')
+GROUP BY ALL""")
+def event_log_today(spark, root):
+    """Events that name no day belong to the day on which the log is read."""
+    events = read_events(trigger_log(spark, root)).filter(F.col("run_date") >= F.date_format(F.current_date(), "yyyy-MM-dd"))
+    return trigger_counts(events)
+
+
+@query("split_tables", """SELECT event_type AS "table", count(*) % 2 = 0 AS has_change, 'keyed' AS part FROM events GROUP BY event_type HAVING count(*) % 2 <> 0
+UNION ALL SELECT event_type, count(*) % 2 = 0, 'dated' FROM events GROUP BY event_type HAVING count(*) % 2 = 0""")
+def split_tables(spark, root):
+    """A catalog with a table for each kind of event, cut into those that have a change column and the rest."""
+    catalog = table(spark, root, "events").groupBy(F.col("event_type").alias("table")).agg((F.count("*") % 2 == 0).alias("has_change"))
+    dated, keyed = inc.split_by_change(catalog)
+    return dated.withColumn("part", F.lit("dated")).unionByName(keyed.withColumn("part", F.lit("keyed")))
+
+
 @query("trigger_counts", f"WITH {TRIGGER_SQL} SELECT trigger, run_date, count(*) AS n FROM triggers GROUP BY ALL")
 def trigger_counts_query(spark, root):
     return trigger_counts(read_events(trigger_log(spark, root), today=F.to_date("ts")))

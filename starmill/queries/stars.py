@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,18 @@ from pyspark.sql import functions as F
 from starmill import fixed
 from starmill.functions.columns import date_id, time_text
 from starmill.operators.lookup import Lookup, first_link
+from starmill.operators.refresh import changed_rows, refresh
 from starmill.operators.star import BUILDERS, clean_registry, date_dimension, dimension, fact
-from starmill.queries.base import query, table
+from starmill.plans import jobs
+from starmill.queries.base import REGISTRY, query, table
 from starmill.queries.cleaning import LINE_KEY
+from starmill.session import work_folder
+from starmill.sinks.files import read_table, write_files
+from starmill.sinks.report import report
+from starmill.specs import STAR_SPECS
 
 MONEY = "decimal(12,2)"
+ORACLES = REGISTRY.oracles
 
 
 def nation_lookup(spark: SparkSession, root: str, key: str, nation: str = "nation", region: str = "region") -> Lookup:
@@ -271,3 +279,90 @@ LEFT JOIN supplier ON staff_id = s_suppkey""")
 def rental_fact_payment(spark, root):
     out = rental_star(spark, root, "fact_payment").withColumn("amount", F.col("amount").cast("double"))
     return out.withColumns({c: time_text(F.col(c)) for c in ("payment_date", "last_update")})
+
+
+# --- the rental star, refreshed by what changed ---------------------------------------------------
+
+def earlier_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The sources as they were: cities, categories and staff of other names, addresses and rentals elsewhere, rows that did not exist
+    yet, and rows that are gone by now."""
+    out = dict(tables)
+    change = {
+        "city": lambda df: df.withColumn("city", F.when(F.col("city_id") % 5 == 0, F.lit("OLD TOWN")).otherwise(F.col("city"))),
+        "address": lambda df: df.withColumn("city_id", F.when(F.col("address_id") % 40 == 0, 3).otherwise(F.col("city_id"))),
+        "customer": lambda df: df.filter("customer_id % 17 <> 0").unionByName(
+            df.filter("customer_id % 100 = 1").withColumn("customer_id", F.col("customer_id") + 10_000_000)),
+        "category": lambda df: df.withColumn("name", F.when(F.col("category_id") == 2, F.lit("old")).otherwise(F.col("name"))),
+        "film_category": lambda df: df.filter("NOT (film_id % 23 = 0 AND category_id < 9)"),
+        "staff": lambda df: df.withColumn("store_id", F.when(F.col("staff_id") % 6 == 0, -1).otherwise(F.col("store_id"))),
+        "rental": lambda df: df.withColumn("inventory_id", F.when(F.col("rental_id") % 50 == 0, 7).otherwise(F.col("inventory_id"))),
+        "payment": lambda df: df.filter("payment_id % 13 <> 0").unionByName(
+            df.filter("payment_id % 97 = 0").withColumn("payment_id", -F.col("payment_id")).withColumn("payment_date", F.lit("2030-01-01 00:00:00"))),
+    }
+    return out | {name: change[name](df).select(*df.columns) for name, df in tables.items() if name in change}
+
+
+def refreshed_star(spark: SparkSession, root: str, name: str) -> DataFrame:
+    tables = rental_tables(spark, root, fixed.STAR_SOURCES[name])
+    now, before = clean_registry(tables), clean_registry(earlier_tables(tables))
+    changes = {t: changed_rows(before[t], now[t]) for t in now}
+    return refresh(name, BUILDERS[name](before), now, changes)
+
+
+@query("refresh_dim_customer", ORACLES["rental_dim_customer"])
+def refresh_dim_customer(spark, root):
+    out = refreshed_star(spark, root, "dim_customer")
+    return out.withColumns({c: time_text(F.col(c)) for c in ("create_date", "last_update")})
+
+
+@query("refresh_dim_film", ORACLES["rental_dim_film"])
+def refresh_dim_film(spark, root):
+    out = refreshed_star(spark, root, "dim_film")
+    return out.withColumn("last_update", time_text(F.col("last_update"))).withColumn("rental_rate", F.col("rental_rate").cast("double"))
+
+
+@query("refresh_dim_store", ORACLES["rental_dim_store"])
+def refresh_dim_store(spark, root):
+    return refreshed_star(spark, root, "dim_store").withColumn("last_update", time_text(F.col("last_update")))
+
+
+@query("refresh_dim_date", ORACLES["rental_dim_date"])
+def refresh_dim_date(spark, root):
+    days = refreshed_star(spark, root, "dim_date")
+    return days.withColumn("full_date", time_text(F.col("full_date"), "yyyy-MM-dd"))
+
+
+@query("refresh_fact_payment", ORACLES["rental_fact_payment"])
+def refresh_fact_payment(spark, root):
+    out = refreshed_star(spark, root, "fact_payment").withColumn("amount", F.col("amount").cast("double"))
+    return out.withColumns({c: time_text(F.col(c)) for c in ("payment_date", "last_update")})
+
+
+# --- runs over a raw zone -------------------------------------------------------------------------
+
+_RUN_SQL = """WITH runs AS (SELECT unnest([1, 2]) AS run),
+  built AS (SELECT 'dim_customer' AS "table", (SELECT count(*) FROM customer) AS n
+    UNION ALL SELECT 'dim_film', (SELECT count(*) FROM part) UNION ALL SELECT 'dim_store', (SELECT count(*) FROM supplier)
+    UNION ALL SELECT 'dim_date', (SELECT count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem WHERE l_partkey % 50 <> 0)
+    UNION ALL SELECT 'fact_payment', (SELECT count(DISTINCT l_orderkey * 10 + l_linenumber) FROM lineitem))
+  SELECT CAST(run AS INTEGER) AS run, "table", CASE WHEN "table" = 'fact_payment' THEN 'append' ELSE 'overwrite' END AS mode,
+    CASE WHEN run = 2 AND "table" = 'fact_payment' THEN 'empty' ELSE 'written' END AS status,
+    CASE WHEN run = 2 AND "table" = 'fact_payment' THEN 0 ELSE n END AS rows, n AS held FROM runs, built"""
+
+
+@query("star_runs", _RUN_SQL)
+def star_runs(spark, root):
+    """Two runs of a day's star from raw text files: found, read, cleaned, built, loaded by each table's mode, and reported. The
+    second run replaces the dimensions and adds no fact."""
+    path = work_folder(spark, "star-runs")
+    tables = rental_tables(spark, root, sorted({t for need in fixed.STAR_SOURCES.values() for t in need}))
+    for name, df in tables.items():
+        write_files(df, f"{path}/raw/2024-06-14/{name}", fmt="csv")
+    reports = []
+    for run in (1, 2):
+        done = jobs.star_day(spark, f"{path}/raw", jobs.star_sink(f"{path}/star"), "2024-06-14")
+        reports.append(report(spark, done).select(F.lit(run).alias("run"), "table", "status", "rows"))
+    held = reduce(DataFrame.unionByName, [
+        read_table(spark, f"{path}/star/{name}").agg(F.count("*").alias("held")).withColumn("table", F.lit(name)).withColumn(
+            "mode", F.lit(STAR_SPECS[name].mode)) for name in fixed.STAR_SOURCES])
+    return reduce(DataFrame.unionByName, reports).join(held, "table").select("run", "table", "mode", "status", "rows", "held")

@@ -82,8 +82,19 @@ def partitions_to_read(batch: DataFrame, path: str, keys: Sequence[str], partiti
 def held_rows(spark: SparkSession, path: str, parts: Sequence[tuple], partition_by: Sequence[str]) -> DataFrame:
     """The rows of these partitions; only their folders are read."""
     df = read_table(spark, path)
-    tests = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, p, strict=True)], F.lit(True)) for p in parts]
-    return df.filter(reduce(Column.__or__, tests, F.lit(False)))
+    if len(partition_by) == 1:
+        column, values = F.col(partition_by[0]), [p[0] for p in parts]
+        known = column.isin([v for v in values if v is not None])
+        return df.filter(known | column.isNull() if None in values else known)
+    return df.filter(_any([reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, p, strict=True)], F.lit(True))
+                           for p in parts]))
+
+
+def _any(tests: Sequence[Column]) -> Column:
+    """Joined by halves: thousands of tests are a tree a few levels deep."""
+    if len(tests) < 2:
+        return tests[0] if tests else F.lit(False)
+    return _any(tests[:len(tests) // 2]) | _any(tests[len(tests) // 2:])
 
 
 def build_index(spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:

@@ -90,3 +90,16 @@ def test_tables_without_index_or_partitions(spark, tmp_path):
     assert keyindex.append_indexed(pairs, flat, ["k", "n"]) == 3
     assert keyindex.append_indexed(pairs.union(spark.createDataFrame([("y", 1)], pairs.schema)), flat, ["k", "n"]) == 1
     assert rows(read_table(spark, flat)) == [(None, 1), ("x", 1), ("x", 2), ("y", 1)]
+
+
+def test_thousands_of_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyindex.append_indexed(spark.range(40).selectExpr("id", "id % 4 as a", "'x' as b"), path, ["id"], partition_by=["a", "b"])
+    parts = [(a, b) for a in range(3000) for b in ("x", None)]
+    assert keyindex.held_rows(spark, path, parts, ["a", "b"]).count() == 40
+    assert keyindex.held_rows(spark, path, [(1, "x"), (9, None)], ["a", "b"]).count() == 10
+    one = str(tmp_path / "one")
+    keyindex.append_indexed(spark.range(9).selectExpr("id", "nullif(id % 3, 0) as a"), one, ["id"], partition_by=["a"])
+    assert keyindex.held_rows(spark, one, [(k,) for k in range(2, 5000)], ["a"]).count() == 3
+    assert keyindex.held_rows(spark, one, [(None,)], ["a"]).count() == 3
+    assert keyindex.append_indexed(spark.range(12).selectExpr("id", "id % 3 as a"), one, ["id"], partition_by=["a"]) == 3
