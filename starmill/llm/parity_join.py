@@ -46,6 +46,7 @@ CACHED_WORDS = 500_000
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; beyond that the ids are shuffled
 BLOCK = 4096  # rows of a bucket that are held at once; a block of a larger bucket has about half as many
 SEEN = 64  # sampled sets of a bucket of BLOCK
+LISTED = 16  # keys by which a pair is known to be met in another bucket
 ANCHORS = 4  # first sets of its buckets that a set is compared with before all others
 BLOCK_WORDS = 1_000_000  # of the sketches compared at a time
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -262,16 +263,38 @@ def words_of(bits: np.ndarray, width: int) -> np.ndarray:
     return rows
 
 
+def listed(rows: DataFrame) -> DataFrame:
+    """sid, listed: the smallest keys of the buckets that each set is in, ``LISTED`` of them."""
+    place = F.row_number().over(Window.partitionBy("sid").orderBy("key"))
+    few = rows.select("sid", "key").withColumn("place", place).filter(F.col("place") <= LISTED)
+    return few.groupBy("sid").agg(F.collect_list("key").alias("listed"))
+
+
+def met_before(key: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairwise: whether two lists of keys have one in common that is below ``key``: the pair is met in that bucket too."""
+    out = np.zeros(len(left), bool)
+    for start in range(0, len(left), 100_000):
+        a, b = left[start:start + 100_000], right[start:start + 100_000]
+        for k in range(LISTED):
+            out[start:start + 100_000] |= ((b == a[:, k:k + 1]) & (b < key)).any(axis=1)
+    return out
+
+
 def across(members: DataFrame, spanning: bool) -> DataFrame:
-    """a, b: pairs of a bucket whose components differ and that may be linked; of ``blocks`` with n_shingles, bits.
+    """a, b: pairs of a bucket whose components differ and that may be linked; of ``blocks`` with n_shingles, bits, listed.
 
     Rows of their own (a is null) hold the keys of the buckets with such pairs. ``spanning`` leaves out the pairs that are
-    connected by others of their bucket. Buckets that a task has at a time share their pairs' rows.
+    connected by others of their bucket. Otherwise a pair is left out in buckets after one that the lists of both sets name, so
+    that sets which share many buckets leave few rows, and none is lost. Buckets that a task has at a time share their pairs' rows.
     """
 
-    def pairs(side, sid, component, n, bits):
+    def pairs(key, side, sid, component, n, bits, lists):
         order = np.argsort(n, kind="stable")
-        side, sid, component, n, bits = side[order], sid[order], component[order], n[order], bits[order]
+        side, sid, component, n, bits, lists = (x[order] for x in (side, sid, component, n, bits, lists))
+        if not spanning:
+            keys = np.full((len(lists), LISTED), np.iinfo(np.int64).max)
+            for i, own in enumerate(lists):
+                keys[i, :len(own)] = own
         widths = np.array([8 * len(x) for x in bits])  # sorted, as the sizes are
         for width in np.unique(widths):
             first, last = np.searchsorted(widths, [width, 2 * width])
@@ -292,13 +315,16 @@ def across(members: DataFrame, spanning: bool) -> DataFrame:
                         if spanning:
                             ok = spanned(ok, component, rows, cols)
                         left, right = np.nonzero(ok)
+                        if not spanning and len(left):
+                            new = ~met_before(key, keys[rows][left], keys[cols][right])
+                            left, right = left[new], right[new]
                         if len(left):
                             yield sid[rows][left], sid[cols][right]
 
     def run(batches):
-        for part, key, *rest in runs(batches, ["part", "key", "side", "sid", "component", "n_shingles", "bits"]):
+        for part, key, *rest in runs(batches, ["part", "key", "side", "sid", "component", "n_shingles", "bits", "listed"]):
             edges = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]), [True])))
-            found = [(key[x], p) for x, y in zip(edges, edges[1:]) for p in pairs(*(c[x:y] for c in rest))]
+            found = [(key[x], p) for x, y in zip(edges, edges[1:]) for p in pairs(key[x], *(c[x:y] for c in rest))]
             if found:
                 keys = np.unique(np.array([k for k, _ in found]))
                 a, b = (np.concatenate(x) for x in zip(*(p for _, p in found)))
@@ -409,13 +435,15 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
 
     rows = keep(mixed(members.select("key", "sid"), parts), "parity-rows")
     described = nodes.select("sid", "n_shingles", "bits")
-    some = keep(across(blocks(rows, block).join(described, "sid"), True), "parity-spans")
+    none = F.array().cast("array<long>").alias("listed")
+    some = keep(across(blocks(rows, block).join(described, "sid").select("*", none), True), "parity-spans")
     pairs = some.select("a", "b").filter("a is not null").distinct()
     links = keep(links.unionByName(verify(pairs, docs, nodes, width, percent)), "parity-links")
     parts = keep(connected(links, "a", "b"), "parity-parts")
 
     rows = keep(mixed(among(rows, some.select("key").filter("key is not null").distinct()).select("key", "sid"), parts), "parity-rows")
-    rest = across(blocks(rows, block).join(described, "sid"), False).select("a", "b").filter("a is not null").distinct()
+    members = blocks(rows, block).join(described, "sid").join(keep(listed(rows), "parity-lists"), "sid")
+    rest = across(members, False).select("a", "b").filter("a is not null").distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(verify(rest, docs, nodes, width, percent))
     parts = connected(links, "a", "b").withColumnRenamed("node", "sid")

@@ -107,6 +107,24 @@ def test_rows_go_by_their_own_sets(spark):
     assert len(roots) == 2  # links between sets without ids are found
 
 
+def test_a_pair_is_left_out_only_where_it_was_met():
+    r = np.random.default_rng(4)
+    top = np.iinfo(np.int64).max
+    lists = [np.sort(r.choice(60, r.integers(1, 40), replace=False)).astype(np.int64) for _ in range(60)]
+    padded = np.full((60, parity_join.LISTED), top)
+    for i, own in enumerate(lists):
+        own = own[:parity_join.LISTED]
+        padded[i, :len(own)] = own
+    left, right = np.nonzero(np.triu(np.ones((60, 60), bool), 1))
+    for key in range(60):
+        before = parity_join.met_before(key, padded[left], padded[right])
+        for a, b, out in zip(left, right, before):
+            if out:
+                assert any(k < key for k in set(lists[a]) & set(lists[b]))
+            elif common := set(lists[a][:16]) & set(lists[b][:16]):
+                assert min(common) >= key
+
+
 def test_crowded_buckets_are_cut(spark):
     """Blocks of 8 on the same corpus; and no part holds more than two blocks, while all pairs of two components meet."""
     rows = corpus()
