@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -80,15 +80,15 @@ def file_warehouse(target: str, run_date: str) -> Sink:
     return sink
 
 
-def star_sink(target: str) -> Sink:
-    """Star on files: dimensions are replaced, facts get the keys that are new. Facts lie by day; a key
+def star_sink(target: str, partition_by: Sequence[str] = ("date_id",)) -> Sink:
+    """Star on files: dimensions are replaced, facts get the keys that are new. Facts lie by day, or as told; a key
     that returns with another day, or without one, is known all the same, and only days that may hold
     a key are read (``sinks.keyindex``)."""
     def sink(df: DataFrame, spec: TableSpec) -> int:
         path = f"{target}/{spec.name}"
         if spec.mode == "overwrite":
             return replace_table(df, path)
-        return append_indexed(df, path, spec.keys, partition_by=["date_id"])
+        return append_indexed(df, path, spec.keys, partition_by=list(partition_by))
 
     return sink
 
