@@ -3,8 +3,8 @@
 DataFrame functions only. An assistant message whose text is a JSON object with ``tool_calls`` holds calls (id, name, arguments,
 after: ids of calls that have to come first); a message of role ``tool`` whose text is an object with ``tool_call_id`` holds a
 result (content). Calls and results meet in hash joins on conversation and id. Calls get the level of their longest chain of
-predecessors, level by level, so (level, turn, place) is a topological order; the links that are still open are written to
-the shared folder each time. Arguments are checked against the tool's schema. Canonical JSON has the keys of every
+predecessors, so (level, turn, place) is a topological order: chains are followed by doubling, and only calls that link chains
+take further rounds. Arguments are checked against the tool's schema. Canonical JSON has the keys of every
 object sorted, no white space, and strings escaped as little as can be.
 
 Edge cases: null or empty texts, texts that are no JSON or another object, and other roles are plain messages and give no row; of
@@ -16,10 +16,11 @@ calls of the conversation are left out; calls in a cycle, or behind one, have no
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm.texts import keep
+from starmill.session import work_folder
 
 # A tool's arguments: name -> (type, required); types as in schema_of_variant.
 Schemas = dict[str, dict[str, tuple[str, bool]]]
@@ -67,24 +68,98 @@ def errors(name: Column, arguments: Column, schemas: Schemas) -> Column:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, level: the longest chain of predecessors; calls in or behind a cycle are missing."""
+    """conv_id, call_id, level: the longest chain of predecessors; calls in or behind a cycle are missing.
+
+    A call without open predecessors has its level. One with a single open predecessor has the level ``max(c, level of it + w)``;
+    such steps add up to one of the same form, so chains of them are followed by doubling, in as many steps as the
+    logarithm of their length. Only calls with several open predecessors go to the next round, with their links led back to
+    the calls that the chains end at; whoever waits for one of these gets its level when it has one. What is found is appended to
+    one folder, so plans stay as small as a round's.
+    """
     key = ["conv_id", "call_id"]
     known = calls.select(*key)
     links = calls.select(*key, F.explode(F.array_distinct("after")).alias("before"))
     links = links.join(known.select("conv_id", F.col("call_id").alias("before")).hint("shuffle_hash"), ["conv_id", "before"])
-    links = keep(links.select(*key, "before"), "calls-links")
-    ready = keep(known.join(links.select(*key).distinct(), key, "left_anti").withColumn("level", F.lit(0)), "calls-level")
-    out, level = ready, 0
-    while links.head(1):
-        met = ready.select("conv_id", F.col("call_id").alias("before"))
-        still = keep(links.join(met, ["conv_id", "before"], "left_anti").select(*key, "before"), "calls-links")
-        level += 1
-        freed = links.select(*key).distinct().join(still.select(*key).distinct(), key, "left_anti")
-        ready = keep(freed.withColumn("level", F.lit(level)), "calls-level")
-        if not ready.head(1):
+    edges = keep(links.select(*key, "before", F.lit(1).alias("w")), "calls-links")
+    nodes = keep(known.withColumn("c", F.lit(0)), "calls-nodes")
+    kind = dict(calls.dtypes)["conv_id"]
+    found = Folder(calls.sparkSession, f"conv_id {kind}, call_id string, level int")
+    waiting = Folder(calls.sparkSession, f"conv_id {kind}, call_id string, end string, c int, w int, turn int")
+    turn = 0
+    while True:
+        open_links = edges.groupBy(*key).agg(F.count("*").alias("n"), F.max("before").alias("ptr"), F.max("w").alias("w"))
+        state = nodes.join(open_links, key, "left").select(*key, "c", F.coalesce("n", F.lit(0)).alias("n"), "ptr", F.coalesce("w", F.lit(0)).alias("w"))
+        state = keep(state, "calls-state")
+        total, many = state.agg(F.count("*"), F.count_if(F.col("n") > 1)).first()
+        if total == many:  # nothing left, or cycles
             break
-        out, links = out.unionByName(ready), still
-    return out
+        chains = follow(state)
+        found.add(state.filter("n = 0").select(*key, F.col("c").alias("level")))
+        found.add(chains.filter("end_n = 0").select(*key, F.greatest(F.col("c"), F.col("end_c") + F.col("w")).alias("level")))
+        if not many:
+            break
+        late = chains.filter("end_n > 1").select(*key, F.col("ptr").alias("end"), "c", "w")
+        waiting.add(late.withColumn("turn", F.lit(turn)))
+        nodes, edges = contracted(state.filter("n > 1"), edges, found.read(), late)
+        turn += 1
+    for back in reversed(range(turn)):
+        ends = found.read().select("conv_id", F.col("call_id").alias("end"), F.col("level").alias("end_level"))
+        found.add(waiting.read().filter(F.col("turn") == back).join(ends, ["conv_id", "end"]).select(
+            *key, F.greatest(F.col("c"), F.col("end_level") + F.col("w")).alias("level")))
+    return found.read()
+
+
+class Folder:
+    """Rows appended in rounds to one folder of the shared work folder."""
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema, self.path = spark, schema, work_folder(spark, "calls-rounds")
+        spark.createDataFrame([], schema).write.parquet(self.path)
+
+    def add(self, rows: DataFrame) -> None:
+        names = [f.split()[0] for f in self.schema.split(", ")]
+        rows.select(*names).write.mode("append").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
+def follow(state: DataFrame) -> DataFrame:
+    """The calls with one open predecessor, led to where their chain ends: ptr, c, w, end_n and end_c (of ptr). Chains that
+    close on themselves have no end and are left out."""
+    key = ["conv_id", "call_id"]
+    ends = state.select("conv_id", F.col("call_id").alias("ptr"), F.col("n").alias("end_n"), F.col("c").alias("end_c"))
+    chains = keep(state.filter("n = 1").drop("n").join(ends, ["conv_id", "ptr"]), "calls-chains")
+    rows, left = chains.agg(F.count("*"), F.count_if(F.col("end_n") == 1)).first()
+    for _ in range(rows.bit_length() + 1):
+        if not left:
+            break
+        step = chains.select("conv_id", F.col("call_id").alias("ptr"), F.col("ptr").alias("next"), F.col("c").alias("next_c"),
+                             F.col("w").alias("next_w"), F.col("end_n").alias("next_n"), F.col("end_c").alias("next_end_c"))
+        moved = chains.filter("end_n = 1").join(step, ["conv_id", "ptr"]).select(
+            *key, F.col("next").alias("ptr"), F.greatest(F.col("c"), F.col("next_c") + F.col("w")).alias("c"),
+            (F.col("w") + F.col("next_w")).alias("w"), F.col("next_n").alias("end_n"), F.col("next_end_c").alias("end_c"))
+        chains = keep(chains.filter("end_n <> 1").select(*moved.columns).unionByName(moved), "calls-chains")
+        left = chains.filter("end_n = 1").count()
+    return chains.filter("end_n <> 1")
+
+
+def contracted(many: DataFrame, edges: DataFrame, found: DataFrame, late: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The calls with several open predecessors as nodes, and their links: those to calls with a level become a least level,
+    those into a chain lead to its end. A call behind a cycle is left out."""
+    key = ["conv_id", "call_id"]
+    own = edges.join(many.select(*key), key, "left_semi")
+    done = found.select("conv_id", F.col("call_id").alias("before"), F.lit(None).cast("string").alias("end"), "level", F.lit(0).alias("more"))
+    led = late.select("conv_id", F.col("call_id").alias("before"), "end", F.col("c").alias("level"), F.col("w").alias("more"))
+    same = many.select("conv_id", F.col("call_id").alias("before"), F.col("call_id").alias("end"), F.lit(0).alias("level"), F.lit(0).alias("more"))
+    where = done.unionByName(led).unionByName(same).withColumn("met", F.lit(True))
+    own = keep(own.join(where, ["conv_id", "before"], "left"), "calls-led")
+    lost = own.filter("met is null").select(*key).distinct()
+    own = own.join(lost, key, "left_anti")
+    least = own.groupBy(*key).agg(F.max(F.col("level") + F.col("w")).alias("least"))
+    nodes = many.select(*key, "c").join(least, key).select(*key, F.greatest("c", "least").alias("c"))
+    links = own.filter("end is not null").groupBy(*key, F.col("end").alias("before")).agg(F.max(F.col("w") + F.col("more")).alias("w"))
+    return keep(nodes, "calls-nodes"), keep(links, "calls-links")
 
 
 def link(messages: DataFrame, schemas: Schemas) -> DataFrame:

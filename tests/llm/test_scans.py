@@ -1,6 +1,7 @@
 """Secret scans, license scans and tool calls on small rows and against brute force."""
 
 import json
+import random
 import re
 
 import pytest
@@ -174,3 +175,50 @@ def test_tool_calls(spark):
     assert [out[2, k, 1].level for k in "xyz"] == [None] * 3
     assert out[2, "y", 1].errors == "invalid" and out[2, "z", 1].errors == "unknown tool"
     assert tool_calls.link(messages.limit(0), SCHEMAS).count() == 0
+
+
+def levels_by_force(after):
+    """``after``: call to its predecessors, of which those that are calls count; None in or behind a cycle."""
+    after = {c: {p for p in before if p in after} for c, before in after.items()}
+    out, left = {}, dict(after)
+    while ready := [c for c, before in left.items() if all(p in out for p in before)]:
+        for c in ready:
+            out[c] = 1 + max((out[p] for p in left[c]), default=-1)
+        for c in ready:
+            del left[c]
+    return out
+
+
+def check_levels(spark, conversations):
+    rows = [(conv, call, sorted(before)) for conv, after in conversations.items() for call, before in after.items()]
+    calls = spark.createDataFrame(rows, "conv_id string, call_id string, after array<string>").repartition(4)
+    want = {(conv, c): level for conv, after in conversations.items() for c, level in levels_by_force(after).items()}
+    assert {(r.conv_id, r.call_id): r.level for r in tool_calls.levels(calls).collect()} == want
+
+
+def test_levels_of_long_chains(spark, monkeypatch):
+    """A chain of 5,000 calls takes steps by its logarithm."""
+    kept = []
+    keep = tool_calls.keep
+    monkeypatch.setattr(tool_calls, "keep", lambda df, purpose: kept.append(purpose) or keep(df, purpose))
+    chain = {f"c{k}": {f"c{k - 1}"} for k in range(5000)}
+    tree = {f"t{k}": {f"t{k // 3}"} if k else set() for k in range(400)}
+    check_levels(spark, {"chain": chain, "tree": tree, "one": {"x": {"gone"}}})
+    assert len(kept) <= 20
+
+
+def test_levels_of_any_graph(spark):
+    r = random.Random(9)
+    conversations = {}
+    for n in range(12):
+        names = [f"k{i}" for i in range(40)]
+        before = lambda i: {names[j] for j in range(i) if r.random() < (0.01, 0.05, 0.2)[n % 3]} | ({names[i - 1]} if i and r.random() < 0.7 else set())
+        after = {c: before(i) for i, c in enumerate(names)}
+        if n % 4 == 3:  # a cycle, and what lies behind it
+            after[names[5]] = after[names[5]] | {names[9]}
+            after[names[9]] = after[names[9]] | {names[5]}
+            after["self"] = {"self"}
+        conversations[f"v{n}"] = after
+    conversations["diamonds"] = {f"d{i}": {f"d{i - 1}", f"d{i - 2}"} if i % 3 == 0 and i > 1 else {f"d{i - 1}"} if i else set() for i in range(30)}
+    check_levels(spark, conversations)
+    check_levels(spark, {"loop": {"a": {"b"}, "b": {"c"}, "c": {"a"}, "d": {"a", "e"}, "e": set()}})
