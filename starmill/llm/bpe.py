@@ -6,7 +6,8 @@ of their children, so the root is the leftmost pair of the lowest rank. A merge
 pair, its right token, and the pair of the left neighbour), each in a logarithmic number of steps.
 
 Edge cases: a null or empty text has no ids and decodes to no bytes; repeated rows are encoded one by one; any text
-round-trips, as every single byte has a rank (a rank file without one is refused).
+round-trips, as every single byte has a rank (a rank file without one is refused); a very long text is encoded piece by piece, whole;
+an empty table gives no rows; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

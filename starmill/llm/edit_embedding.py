@@ -11,7 +11,8 @@ The walk advances all documents of a batch by a step at a time; whole texts take
 
 Edge cases: a null or empty text has an empty fingerprint, likeness 1 to another empty one and 0 to all others; equal texts have
 equal fingerprints; ids that repeat are ordered by the hash of their texts, rows that repeat id and text are one document in the order of
-documents and a row each in results; a row without id comes first in the order; a single document is its own next.
+documents and a row each in results; a row without id comes first in the order; a single document is its own next; texts of any
+length take part whole; an empty table gives no rows; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ Graphs are built and searched for many vectors at once: each step moves all beam
 
 Edge cases: vectors without id or label, null, empty or zero vectors and those with null or non-finite components link with nothing
 and are kept; vectors of unlike lengths are never linked; equal vectors are linked with each other; repeated rows are vectors of their own; an
-empty table gives no rows.
+empty table gives no rows; ties of the cosine are links alike; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ score is the weight of all template words that stand at their places, by the wei
 a key phrase contains its own rarest word, no place is missed.
 
 Edge cases: a null or empty text has no words and no labels, score 0; overlapping places all count; repeated rows are
-scanned one by one; words are as in the file, of digits, letters and characters beyond ASCII, A-Z in lower case.
+scanned one by one; words are as in the file, of digits, letters and characters beyond ASCII, A-Z in lower case; texts of any
+length are scanned whole; words of equal weight are ordered by their letters; an empty table gives no rows; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ Pieces of bins that stay underfull meet those of other groups in a further round
 round saves a sequence.
 
 Edge cases: a null or empty text is the end id alone, a piece of length 1; repeated rows are documents of their own,
-packed one by one; an empty table gives no rows; sequence ids are any numbers, the offsets in a sequence have no gaps.
+packed one by one; a text of any length is cut into full pieces; pieces of equal length are taken in the order of their ids, null first
+or last; an empty table gives no rows; sequence ids are any numbers, the offsets in a sequence have no gaps; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -20,8 +20,9 @@ anchor. To be compared, a bucket of more than ``BLOCK`` rows is cut into blocks,
 two blocks that are not of one component meet in a group of their own.
 
 Edge cases: without text or words a set is empty and linked with nothing; with fewer words than a shingle the whole
-sequence is the only member; repeated rows and equal texts are in one class; an empty table gives no rows. Set
-ids and shingles are 64-bit hashes.
+sequence is the only member; repeated rows and equal texts are in one class; rows without id take part, and their class has the
+smallest id of the others, null if there is none; texts of any length are read whole; an empty table gives no rows; other columns are not read, so their names can't clash.
+Set ids and shingles are 64-bit hashes.
 """
 
 from __future__ import annotations

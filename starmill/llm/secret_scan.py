@@ -8,7 +8,8 @@ what stands in a credential context is not counted, so a secret that is repeated
 
 Edge cases: a null or empty text has no spans; places are code points, the end is exclusive; kinds may overlap each
 other, spans of a kind never do; repeated rows are scanned one by one; a very long value is scored whole, in time
-proportional to its length.
+proportional to its length; words of equal rank are ordered by their letters; an empty table gives no rows; other columns are not
+read, and ``redact`` hands them on as they are.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ character that is not white space on either side. No match of the pattern goes o
 together as many tokens as the whole. A run without such a place stays whole. Tokenizers of another make get whole
 texts.
 
-Edge cases: a null or empty text has 0 bytes and 0 tokens; repeated rows are counted one by one.
+Edge cases: a null or empty text has 0 bytes and 0 tokens; repeated rows are counted one by one; an empty table gives no rows;
+other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

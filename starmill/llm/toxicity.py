@@ -11,7 +11,9 @@ toxic documents stands out (a likelihood ratio test on distinct texts), in the o
 Scoring reads whole texts and nothing but the text.
 
 Edge cases: a null or empty text has no windows and no savings, and gets the score of such a document; labels that are null
-or have no document are not learnt; without rows of both classes every score is 0; repeated rows are scored one by one.
+or have no document are not learnt; without rows of both classes every score is 0; repeated rows are scored one by one; texts of any
+length are scored whole, window by window; ids of equal hash are ordered by id in the sample; an empty table gives no rows; other
+columns are not read, and ``keep_below`` hands them on as they are.
 """
 
 from __future__ import annotations
