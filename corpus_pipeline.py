@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir); what it returns is written as Parquet and read again as the next one's docs. All
 but the last return the columns of ``documents``. No SQL expresses a trained classifier or the packing search, so there
 is none; the tests hold each stage against a brute-force version.
+
+Edge cases, of all stages: a null or empty text is not toxic, no copy of anything, has no secret, and is one end id when packed; rows
+without id, and ids that stand in several rows, are documents of their own, each kept or removed by its own text; of rows that tie as
+the first of a class any one stays; texts of any length are read whole; an empty table gives no rows; other columns are handed
+on by all stages but the last.
 """
 
 from __future__ import annotations
