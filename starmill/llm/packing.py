@@ -4,7 +4,8 @@ A document's ids, and the end id after them, are cut into pieces only if they ar
 pieces, of which only the first may be shorter. Full pieces are sequences of their own. The others are dealt at random
 to groups of bounded size. In a group each piece, the longest first, goes to the fullest bin that it fits in. The local
 search then takes the emptiest bin and tries to move its pieces to other underfull bins, to exchange one of its pieces for
-a smaller one, or two of them for one. Every step raises the sum of squared fills, so it ends; bins that run empty go.
+a smaller one, or two of them for one. Every step raises the sum of squared fills, so it ends, when no bin has a step left; bins
+that run empty go.
 Pieces of bins that stay underfull meet those of other groups in a further round, until they are one group or no
 round saves a sequence.
 
@@ -98,72 +99,79 @@ class Bins:
             if free > size:
                 insort(room, (free - size, home))
 
-    def move(self, item: int, source: int, target: int) -> None:
-        self.held[source].remove(item)
-        self.held[target].append(item)
-        self.fill[source] -= self.lengths[item]
-        self.fill[target] += self.lengths[item]
-
     def fewest(self) -> int:
         return -(-sum(self.lengths) // self.most)
 
-    def search(self, patience: int = 8) -> None:
+    def search(self) -> None:
         """Empty the emptiest bins by steps that each raise the sum of squared fills.
 
-        Ends at the least possible number of bins, or when ``patience`` bins in succession could not be emptied.
+        What one bin gives away makes room in it for pieces of emptier ones, which are then tried again. Ends at the least possible
+        number of bins, or when no bin has a step left.
         """
-        alive = sum(f > 0 for f in self.fill)
-        settled: set[int] = set()  # bins that no step could empty
+        self.sizes = np.array(self.lengths, np.int64)
+        self.home = np.empty(len(self.lengths), np.int64)
+        for b, own in enumerate(self.held):
+            self.home[own] = b
+        self.full = np.array(self.fill, np.int64)
+        alive, settled = int((self.full > 0).sum()), np.zeros(len(self.held), bool)
         while alive > self.fewest():
-            open_bins = [b for b, f in enumerate(self.fill) if 0 < f < self.most and b not in settled]
-            if len(open_bins) < 2 or len(settled) >= patience:
-                return
-            source = min(open_bins, key=lambda b: (self.fill[b], b))
-            targets = [b for b, f in enumerate(self.fill) if 0 < f < self.most and b != source]
-            while self.held[source] and self.step(source, targets):
-                pass
-            if self.held[source]:
-                settled.add(source)
-            else:
+            open_bins = np.flatnonzero((self.full > 0) & (self.full < self.most) & ~settled)
+            if len(open_bins) < 2:
+                break
+            source = int(open_bins[np.argmin(self.full[open_bins])])
+            steps = 0
+            while self.full[source] and self.step(source):
+                steps += 1
+            if not self.full[source]:
                 alive -= 1
-                settled.clear()
-
-    def step(self, source: int, targets: list[int]) -> bool:
-        """One move, exchange or two-for-one exchange out of ``source`` into a bin at least as full."""
-        size = self.lengths
-        mine = sorted(self.held[source], key=lambda i: -size[i])
-        targets = sorted((b for b in targets if self.fill[b] < self.most), key=lambda b: (self.most - self.fill[b], b))
-        rooms = [self.most - self.fill[b] for b in targets]
+                settled[:] = False
+                continue
+            settled[source] = True
+            if steps:  # there is more room now, which pieces of emptier bins may use
+                least = np.full(len(self.full), self.most + 1)
+                np.minimum.at(least, self.home, self.sizes)
+                settled &= (least > self.most - self.full[source]) | (self.full >= self.full[source])
+        for b in range(len(self.held)):
+            self.held[b], self.fill[b] = [], int(self.full[b])
+        for item, b in enumerate(self.home.tolist()):
+            self.held[b].append(item)
+
+    def move(self, item: int, target: int) -> None:
+        self.full[self.home[item]] -= self.sizes[item]
+        self.full[target] += self.sizes[item]
+        self.home[item] = target
+
+    def step(self, source: int) -> bool:
+        """One move, one-for-one or two-for-one exchange out of ``source`` that raises the sum of squared fills: the target ends
+        fuller than the source was. The one that takes most out of it, a move before all exchanges."""
+        mine = np.flatnonzero(self.home == source)
+        mine = mine[np.argsort(-self.sizes[mine], kind="stable")]
+        room = np.where((self.full > 0) & (np.arange(len(self.full)) != source), self.most - self.full, -1)
         for item in mine:
-            at = bisect_left(rooms, size[item])
-            if at < len(targets):
-                self.move(item, source, targets[at])
+            fits = np.where(self.full + self.sizes[item] > self.full[source], room - self.sizes[item], -1)
+            if (fits >= 0).any():
+                self.move(item, int(np.argmin(np.where(fits >= 0, fits, self.most + 1))))
                 return True
-        best = (0, None)  # tokens that leave the source, how
-        sizes = [size[i] for i in reversed(mine)]
-        ordered = mine[::-1]
-        for target, room in zip(targets, rooms):
-            if room <= best[0] or self.fill[target] < self.fill[source]:
-                continue
-            for other in self.held[target]:
-                at = bisect_left(sizes, size[other] + room + 1) - 1
-                if at >= 0 and (gain := sizes[at] - size[other]) > best[0]:
-                    best = (gain, (target, other, (ordered[at],)))
-                low, high = 0, len(sizes) - 1
-                while low < high:  # the two whose sum comes closest from below
-                    pair = sizes[low] + sizes[high] - size[other]
-                    if pair > room:
-                        high -= 1
-                    else:
-                        if pair > best[0]:
-                            best = (pair, (target, other, (ordered[low], ordered[high])))
-                        low += 1
-        if best[1] is None:
+        others = np.flatnonzero((room[self.home] > 0) & (self.full[self.home] + room[self.home] > self.full[source]))
+        if not len(others):
             return False
-        target, other, own = best[1]
-        self.move(other, target, source)
+        i, j = np.triu_indices(len(mine), 1)
+        out = np.concatenate((self.sizes[mine], self.sizes[mine][i] + self.sizes[mine][j]))
+        order = np.argsort(out, kind="stable")
+        # of the moves out that a bin has room for beside one of its pieces, the largest
+        most = self.sizes[others] + room[self.home[others]]
+        at = np.searchsorted(out[order], most, "right") - 1
+        gain = np.where(at >= 0, out[order][at] - self.sizes[others], 0)
+        gain = np.where(self.full[self.home[others]] + gain > self.full[source], gain, 0)  # squared fills rise
+        best = int(np.argmax(gain))
+        if gain[best] <= 0:
+            return False
+        other, way = int(others[best]), int(order[at[best]])
+        target = int(self.home[other])
+        own = [mine[way]] if way < len(mine) else [mine[i[way - len(mine)]], mine[j[way - len(mine)]]]
+        self.move(other, source)
         for item in own:
-            self.move(item, source, target)
+            self.move(int(item), target)
         return True
 
 
@@ -204,19 +212,19 @@ def pack(pieces: DataFrame, most: int = SEQUENCE, group: int = GROUP_PIECES) ->
     full = pieces.filter(F.col("length") == most).withColumn("offset", F.lit(0).cast("long"))
     rest = pieces.filter(F.col("length") < most).withColumn("salt", F.monotonically_increasing_id())
     rest = keep(rest, "packing-rest")
-    left, done, turn = rest.count(), [], 0
+    left, done, turn, before = rest.count(), [], 0, None
     while left:
         groups = max(1, -(-left // group))
         packed = keep(pack_groups(rest, groups, turn, most), "packing-round")
-        last = groups == 1
+        last, bins = groups == 1, packed.select("part", "bin").distinct().count()
+        if before is not None and bins >= before:
+            last = True  # these pieces took no fewer sequences than in the round before
         enough = F.lit(True) if last else F.col("fill") > most - UNDERFULL
-        again = packed.filter(~enough)
-        now = again.count()
-        if not last and (now == 0 or now > 0.7 * left and turn > 0):
-            enough, now = F.lit(True), 0
         done.append(packed.filter(enough).withColumn(
             "sequence", F.struct(F.lit(turn).alias("turn"), F.col("part"), F.col("bin"))))
-        rest, left, turn = again.select(*pieces.columns, "salt"), now, turn + 1
+        again = packed.filter(~enough)
+        before, left = again.agg(F.count_distinct("part", "bin"), F.count("*")).first()
+        rest, turn = again.select(*pieces.columns, "salt"), turn + 1
     names = [*pieces.columns, "offset"]
     number = F.expr("(cast(sequence.turn as long) * 1000000007 + sequence.part) * 1048576 + sequence.bin")
     out = full.select(*names, (-F.monotonically_increasing_id() - 1).alias("sequence_id"))

@@ -12,7 +12,7 @@ calls that repeat an id the first (by turn and place) counts, the others have st
 result without call has status ``orphan`` and no call columns; a call without result has status ``open``; predecessors that are not
 calls of the conversation are left out; calls in a cycle, or behind one, have no level; arguments that are missing or no object are
 ``invalid``; messages without conversation or ids are left out; repeated rows are repeated calls; texts of any length are parsed whole;
-of equal (turn, place) the smallest row counts; an empty table gives no rows; other columns are not read, so their names can't clash.
+of equal (turn, place) any one counts; an empty table gives no rows; other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -140,6 +140,22 @@ def test_search_beats_best_fit(lengths):
     assert len(packing.pack_lengths(lengths, 10)) == fewest_by_force(lengths, 10) <= len(only.held)
 
 
+@pytest.mark.parametrize(("pick", "saved"), [((700, 690, 680, 800, 650), 0.07), ((310, 420, 505, 610, 715, 820, 930, 1010), 0.004), (None, 0.004)])
+def test_search_saves_bins_where_best_fit_loses(pick, saved):
+    r = random.Random(1)
+    lengths = [r.choice(pick) if pick else r.randint(200, 1100) for _ in range(2000)]
+    only = packing.Bins(lengths, 2048)
+    only.best_fit()
+    squares = sum(f * f for f in only.fill)
+    found = packing.Bins(lengths, 2048)
+    found.best_fit()
+    found.search()
+    assert sum(f * f for f in found.fill) > squares
+    assert all(sum(lengths[i] for i in own) == f <= 2048 for own, f in zip(found.held, found.fill))
+    assert sorted(i for own in found.held for i in own) == list(range(2000))
+    assert found.fewest() <= sum(map(bool, found.held)) <= (1 - saved) * len(only.held)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
 def test_few_pieces_need_hardly_more_bins_than_the_least(lengths):
