@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmill.operators.profile import column_profile, describe
 from starmill.operators.quality import rental_checks
+from starmill.operators.types import type_report
 from starmill.plans import jobs
 from starmill.plans.extract import Journal, extract_history, extract_increment, history_manifest
 from starmill.session import build_session
 from starmill.sinks.jdbc import load_spec_jdbc
 from starmill.sinks.report import LoadFailed, Outcome, report
-from starmill.sources.files import read_registry
+from starmill.sources.files import read_registry, table_glob
 from starmill.sources.jdbc import JdbcSource
+from starmill.sources.records import read_chunks
 from starmill.specs import TableSpec
 
 
@@ -34,16 +36,18 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(f"--{option}", required=option not in defaults, default=defaults.get(option))
         command.add_argument("--report", default="", help="folder for the report as JSON lines; else it is printed")
 
-    layout = {"layout": "zone", "multi-line": "yes"}
-    add("extract-history", "jdbc", "schema", "target", "journal")
+    layout = {"layout": "zone", "multi-line": "yes", "mixed": ""}
+    late = {"late-keys": "no"}
+    add("extract-history", "jdbc", "schema", "target", "journal", "late-keys", **late)
     add("extract-plan", "jdbc", "schema")
-    add("extract-day", "jdbc", "schema", "target", "journal", "run-date")
-    add("clean-day", "raw", "target", "run-date", "layout", "multi-line", **layout)
-    add("clean-history", "raw", "target", "layout", "multi-line", **layout)
-    add("load-day", "raw", "run-date", "target", "jdbc", "schema", "layout", "multi-line", target="", jdbc="", schema="", **layout)
-    add("star-day", "raw", "target", "run-date", "jdbc", "schema", "layout", "multi-line", target="", jdbc="", schema="", **layout)
-    add("quality", "raw", "run-date", "layout", "multi-line", **layout)
-    add("profile", "raw", "run-date", "table", "column", "layout", "multi-line", **layout)
+    add("extract-day", "jdbc", "schema", "target", "journal", "run-date", "late-keys", **late)
+    add("clean-day", "raw", "target", "run-date", "layout", "multi-line", "mixed", **layout)
+    add("clean-history", "raw", "target", "layout", "multi-line", "mixed", **layout)
+    add("load-day", "raw", "run-date", "target", "jdbc", "schema", "layout", "multi-line", "mixed", target="", jdbc="", schema="", **layout)
+    add("star-day", "raw", "target", "run-date", "jdbc", "schema", "layout", "multi-line", "mixed", target="", jdbc="", schema="", **layout)
+    add("quality", "raw", "run-date", "layout", "multi-line", "mixed", **layout)
+    add("profile", "raw", "run-date", "table", "column", "layout", "multi-line", "mixed", **layout)
+    add("types", "raw", "run-date", "table", "layout", layout="zone")
     return top
 
 
@@ -70,12 +74,15 @@ def jdbc_sink(path: str, schema: str, *, star: bool) -> jobs.Sink:
 def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | list[Outcome]:
     day = getattr(a, "run_date", None)
     raw = {"layout": getattr(a, "layout", "zone"), "multi_line": getattr(a, "multi_line", "yes") == "yes"}
+    if getattr(a, "mixed", ""):
+        raw["mixed"] = a.mixed == "yes"
+    late = getattr(a, "late_keys", "no") == "yes"
     if a.command == "extract-history":
-        return extract_history(source(spark, a.jdbc, a.schema), a.target, Journal(spark, a.journal))
+        return extract_history(source(spark, a.jdbc, a.schema), a.target, Journal(spark, a.journal), late_keys=late)
     if a.command == "extract-plan":
         return history_manifest(source(spark, a.jdbc, a.schema))
     if a.command == "extract-day":
-        return extract_increment(source(spark, a.jdbc, a.schema), a.target, Journal(spark, a.journal), day)
+        return extract_increment(source(spark, a.jdbc, a.schema), a.target, Journal(spark, a.journal), day, late_keys=late)
     if a.command == "clean-day":
         return jobs.clean_day(spark, a.raw, a.target, day, **raw)
     if a.command == "clean-history":
@@ -86,6 +93,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | list[Outcome]
     if a.command == "star-day":
         sink = jdbc_sink(a.jdbc, a.schema, star=True) if a.jdbc else jobs.star_sink(a.target)
         return jobs.star_day(spark, a.raw, sink, day, **raw)
+    if a.command == "types":
+        return type_report(read_chunks(spark, table_glob(a.raw, a.table, day, layout=a.layout), recursive=a.layout == "hive"))
     tables = read_registry(spark, a.raw, day, **raw)
     if a.command == "quality":
         return rental_checks(tables)

@@ -226,4 +226,7 @@ def test_command_line(spark, zone, capsys):
     assert any(o.table == "fact_payment" and o.rows == 2 for o in call("star-day", "--raw", raw, "--target", str(zone / "s"), *day))
     found = {(r["table"], r["check"]): r["violations"] for r in call("quality", "--raw", raw, *day).collect()}
     assert found["customer", "duplicate_rows"] == 1 and found["payment", "orphan"] == 0
+    assert {r["column"]: r["type"] for r in call("types", "--raw", raw, *day, "--table", "extra").collect()} == {
+        "code": "string", "value": "int", "note": "string", "seen_date": "string"}
+    assert {o.status for o in call("clean-day", "--raw", raw, "--target", str(zone / "m"), *day, "--mixed", "yes")} == {"written"}
     assert call("profile", "--raw", raw, *day, "--table", "payment", "--column", "amount").first()["count"] == 2
