@@ -91,7 +91,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | list[Outcome]
         sink = jdbc_sink(a.jdbc, a.schema, star=False) if a.jdbc else jobs.file_warehouse(a.target, day)
         return jobs.load_day(spark, a.raw, day, sink, **raw)
     if a.command == "star-day":
-        sink = jdbc_sink(a.jdbc, a.schema, star=True) if a.jdbc else jobs.star_sink(a.target)
+        sink = jdbc_sink(a.jdbc, a.schema, star=True) if a.jdbc else jobs.star_sink(a.target, unique=True)
         return jobs.star_day(spark, a.raw, sink, day, **raw)
     if a.command == "types":
         return type_report(read_chunks(spark, table_glob(a.raw, a.table, day, layout=a.layout), recursive=a.layout == "hive"))

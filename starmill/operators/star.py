@@ -84,6 +84,10 @@ class Shape:
         make = fact if isinstance(self.columns, Mapping) else dimension
         return make(self.base, self.key, self.lookups, self.columns)
 
+    def keys(self) -> DataFrame:
+        """The keys that ``build`` gives, repeats included."""
+        return self.base.select(self.key)
+
 
 # --- the rental star ----------------------------------------------------------------------------
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starmill import fixed
 from starmill.operators.clean import clean
 from starmill.operators.refresh import refresh
-from starmill.operators.star import BUILDERS, build_star, buildable, clean_registry
+from starmill.operators.star import BUILDERS, SHAPES, build_star, buildable, clean_registry
 from starmill.sinks.files import read_table, replace_partitions, replace_table
 from starmill.sinks.keyindex import append_indexed
 from starmill.sinks.report import Outcome, finish, log, run_tables
@@ -80,24 +80,30 @@ def file_warehouse(target: str, run_date: str) -> Sink:
     return sink
 
 
-def star_sink(target: str, partition_by: Sequence[str] = ("date_id",)) -> Sink:
-    """Star on files: dimensions are replaced, facts get the keys that are new. Facts lie by day, or as told; a key
+def star_sink(target: str, partition_by: Sequence[str] = ("date_id",), *, unique: bool = False) -> Sink:
+    """Star on files: dimensions are replaced, facts get the keys that are new. ``unique`` states that facts come with one row per
+    key, as those of ``load_star`` do. Facts lie by day, or as told; a key
     that returns with another day, or without one, is known all the same, and only days that may hold
     a key are read (``sinks.keyindex``)."""
-    def sink(df: DataFrame, spec: TableSpec) -> int:
+    def sink(df: DataFrame, spec: TableSpec, asked: DataFrame | None = None) -> int:
         path = f"{target}/{spec.name}"
         if spec.mode == "overwrite":
             return replace_table(df, path)
-        return append_indexed(df, path, spec.keys, partition_by=list(partition_by))
+        return append_indexed(df, path, spec.keys, partition_by=list(partition_by), unique=unique, asked=asked)
 
+    sink.asks_keys = True
     return sink
 
 
 def load_star(tables: Mapping[str, DataFrame], sink: Sink, *, workers: int = 4, **options) -> list[Outcome]:
     """Build what the sources allow and load it; tables whose sources are missing are skipped."""
     missing = {name: need for name, need in buildable(tables).items() if need}
-    star = build_star(tables, **options)
-    loads = {name: (lambda df=df, name=name: sink(df, STAR_SPECS[name])) for name, df in star.items()}
+    sources = clean_registry({t: df for t, df in tables.items() if any(t in fixed.STAR_SOURCES[n] for n in fixed.STAR_SOURCES if n not in missing)},
+                             **options)
+    star = build_star(sources, cleaned=True)
+    # a sink that asks for the keys of a fact first gets them from its base: no row is built for them
+    keys = {n: {"asked": SHAPES[n](sources).keys()} for n in star if STAR_SPECS[n].mode != "overwrite" and getattr(sink, "asks_keys", False)}
+    loads = {name: (lambda df=df, name=name: sink(df, STAR_SPECS[name], **keys.get(name, {}))) for name, df in star.items()}
     skipped = [Outcome(name, "skipped", 0, "missing sources: " + ", ".join(need)) for name, need in missing.items()]
     return finish([*run_tables(loads, workers), *skipped])
 

@@ -360,7 +360,7 @@ def star_runs(spark, root):
         write_files(df, f"{path}/raw/2024-06-14/{name}", fmt="csv")
     reports = []
     for run in (1, 2):
-        done = jobs.star_day(spark, f"{path}/raw", jobs.star_sink(f"{path}/star", ()), "2024-06-14")
+        done = jobs.star_day(spark, f"{path}/raw", jobs.star_sink(f"{path}/star", (), unique=True), "2024-06-14")
         reports.append(report(spark, done).select(F.lit(run).alias("run"), "table", "status", "rows"))
     held = reduce(DataFrame.unionByName, [
         read_table(spark, f"{path}/star/{name}").agg(F.count("*").alias("held")).withColumn("table", F.lit(name)).withColumn(

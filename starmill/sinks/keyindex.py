@@ -24,6 +24,7 @@ from starmill.sinks.files import new_rows, read_table, write_files
 INDEX = "_keys"  # a folder that readers of the table skip
 KEYS_PER_WORD = 4
 SET_BITS = 4
+ASKED_FIRST = 64  # one key in so many is asked first where a single hit settles it
 LEAST_SIZE = 8  # so that small filters spread over tasks too
 
 
@@ -68,15 +69,21 @@ def partitions_to_read(batch: DataFrame, path: str, keys: Sequence[str], partiti
     sizes = [r[0] for r in zones.select("size").distinct().collect()]
     if not sizes:
         return []
-    asked = _hashed(batch, keys).select(F.col(keys[0]).alias("key"), "hash", "mask", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
-    asked = asked.withColumn("word", _word(F.col("size")))
+    hashed = _hashed(batch, keys).select(F.col(keys[0]).alias("key"), "hash", "mask", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
+    hashed = hashed.withColumn("word", _word(F.col("size")))
     words = spark.read.parquet(f"{path}/{INDEX}/words").select("load", *names, "size", "word", "bits")
     same = reduce(Column.__and__, [words[n].eqNullSafe(zones[n]) for n in names], words["load"] == zones["load"])
     words = words.join(zones, same).select(words["size"], words["word"], words["bits"], *[zones[n] for n in names], "low", "high", "nulls")
     inside = F.coalesce(F.col("key").between(F.col("low"), F.col("high")), F.col("key").isNull() & F.col("nulls"))
-    hits = asked.join(words, ["size", "word"]).filter(inside & (F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")))
-    return [tuple(r) for r in hits.select(*names, F.lit(1).alias("one")).distinct().drop("one").collect()] if names else (
-        [()] if hits.head(1) else [])
+
+    def hits(asked: DataFrame) -> DataFrame:
+        return asked.join(words, ["size", "word"]).filter(inside & (F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")))
+
+    if names:
+        return [tuple(r) for r in hits(hashed).select(*names, F.lit(1).alias("one")).distinct().drop("one").collect()]
+    # one hit settles it: a few keys are asked first, the others only if none of these hits
+    few = F.pmod("hash", F.lit(ASKED_FIRST)) == 0
+    return [()] if hits(hashed.filter(few)).head(1) or hits(hashed.filter(~few)).head(1) else []
 
 
 def held_rows(spark: SparkSession, path: str, parts: Sequence[tuple], partition_by: Sequence[str]) -> DataFrame:
@@ -102,20 +109,45 @@ def build_index(spark: SparkSession, path: str, keys: Sequence[str], partition_b
     add_to_index(read_table(spark, path), path, keys, partition_by)
 
 
-def append_indexed(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Sequence[str] = ()) -> int:
+def append_indexed(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Sequence[str] = (), unique: bool = False,
+                   asked: DataFrame | None = None) -> int:
     """Append the rows whose key is new (``sinks.files.append_new``); of the table only partitions that may hold a key are read.
 
-    All appends to a table have to come this way. A table without index gets one first.
+    All appends to a table have to come this way. A table without index gets one first. ``unique`` states that ``df`` has one row
+    per key; ``asked`` has the same keys as ``df``, in any number, where they come at less cost than its rows. To a table that is
+    there, the keys come first: rows are made and staged only if some key is new.
     """
     spark = df.sparkSession
+    rows = df if unique else latest_per_key(df, keys)
+    if read_table(spark, path) is None:  # a table that is written and not indexed is indexed by its next append
+        added = write_files(rows, path, partition_by=partition_by, rebalance=bool(partition_by))
+        add_to_index(spark.read.schema(df.schema).parquet(path), path, keys, partition_by)
+        return added
+    if read_table(spark, f"{path}/{INDEX}/zones") is None:
+        build_index(spark, path, keys, partition_by)
+    new = new_keys(df if asked is None else asked, path, keys, partition_by)
+    if new is None:
+        return 0
     stage = work_folder(spark, "append")
-    latest_per_key(df, keys).write.parquet(f"{stage}/batch")
-    batch = spark.read.schema(df.schema).parquet(f"{stage}/batch")
-    if read_table(spark, path) is not None:
-        if read_table(spark, f"{path}/{INDEX}/zones") is None:
-            build_index(spark, path, keys, partition_by)
-        parts = partitions_to_read(batch, path, keys, partition_by)
-        new_rows(batch, held_rows(spark, path, parts, partition_by) if parts else None, keys).write.parquet(f"{stage}/new")
-        batch = spark.read.schema(df.schema).parquet(f"{stage}/new")
+    rows.join(new, _same_key(rows, new, keys), "left_semi").write.parquet(stage)
+    batch = spark.read.schema(df.schema).parquet(stage)
     add_to_index(batch, path, keys, partition_by)
     return write_files(batch, path, partition_by=partition_by, rebalance=bool(partition_by))
+
+
+def _same_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [a[k].eqNullSafe(b[k]) for k in keys])
+
+
+def new_keys(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame | None:
+    """The keys of ``df`` that the table lacks, staged; None if it holds all. Nothing but keys is shuffled."""
+    spark, stage = df.sparkSession, work_folder(df.sparkSession, "append-keys")
+    df.select(*keys).distinct().write.parquet(f"{stage}/asked")
+    asked = spark.read.schema(df.select(*keys).schema).parquet(f"{stage}/asked")
+    parts = partitions_to_read(asked, path, keys, partition_by)
+    if not parts:
+        return asked if asked.head(1) else None
+    held = held_rows(spark, path, parts, partition_by).select(*keys)
+    asked.join(held, _same_key(asked, held, keys), "left_anti").write.parquet(f"{stage}/new")
+    new = spark.read.schema(asked.schema).parquet(f"{stage}/new")
+    return new if new.head(1) else None

@@ -103,3 +103,32 @@ def test_thousands_of_partitions(spark, tmp_path):
     assert keyindex.held_rows(spark, one, [(k,) for k in range(2, 5000)], ["a"]).count() == 3
     assert keyindex.held_rows(spark, one, [(None,)], ["a"]).count() == 3
     assert keyindex.append_indexed(spark.range(12).selectExpr("id", "id % 3 as a"), one, ["id"], partition_by=["a"]) == 3
+
+
+def test_known_keys_cost_no_rows(spark, tmp_path, monkeypatch):
+    """A load of keys that the table has is told by its keys: no row of it is built, staged or indexed."""
+    path = str(tmp_path / "fact")
+    lines = spark.range(3000).selectExpr("id", "id * 2 as v")
+    assert keyindex.append_indexed(lines, path, ["id"], unique=True) == 3000
+    never = lines.withColumn("v", F.raise_error(F.lit("built")).cast("bigint"))
+    staged = []
+    add = keyindex.add_to_index
+    monkeypatch.setattr(keyindex, "add_to_index", lambda rows, *a: staged.append(1) or add(rows, *a))
+    assert keyindex.append_indexed(never, path, ["id"], unique=True) == 0 and not staged
+    assert keyindex.append_indexed(never, path, ["id"], unique=True, asked=lines.select("id").union(lines.select("id"))) == 0
+    more = spark.range(2990, 3010).selectExpr("id", "-id as v")
+    assert keyindex.append_indexed(more.union(more), path, ["id"]) == 10 and staged == [1]
+    got = read_table(spark, path)
+    assert got.count() == 3010 and got.filter("v < 0").count() == 10
+    assert keyindex.append_indexed(more, path, ["id"], asked=more.select("id")) == 0
+
+
+def test_a_first_load_without_index_is_indexed_later(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    lines = spark.range(40).selectExpr("id", "concat('0', id % 3) as a")
+    monkeypatch.setattr(keyindex, "add_to_index", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        keyindex.append_indexed(lines, path, ["id"], partition_by=["a"])
+    monkeypatch.undo()
+    assert keyindex.append_indexed(spark.range(30, 44).selectExpr("id", "'01' as a"), path, ["id"], partition_by=["a"]) == 4
+    assert read_table(spark, path).select("id").distinct().count() == read_table(spark, path).count() == 44
