@@ -16,13 +16,23 @@ from pyspark.sql import functions as F
 
 from starmill.operators.lookup import Lookup
 from starmill.operators.star import SHAPES, Shape, Tables, date_dimension
+from starmill.session import work_folder
+
+TIMES, SKIPPED = "__times", "__skipped"  # columns that exist only while states are compared
+RUN = 10_000
 
 
 def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows that only one of two states has, each as often as the states differ: what was added, taken away, or changed (in both
-    forms). Extracts that already know their changes give them instead; both forms of a row are needed."""
-    new = new.select(*old.columns)
-    return old.exceptAll(new).unionByName(new.exceptAll(old))
+    forms). Extracts that already know their changes give them instead; both forms of a row are needed.
+
+    Both states are shuffled once, equal rows counted against each other. What a row is repeated by comes in ``RUN`` at a time.
+    """
+    columns = [F.col(f"`{c}`") for c in old.columns]
+    both = old.withColumn(TIMES, F.lit(1)).union(new.select(*columns).withColumn(TIMES, F.lit(-1)))
+    diff = both.groupBy(*columns).agg(F.abs(F.sum(TIMES)).alias(TIMES)).filter(F.col(TIMES) > 0)
+    runs = diff.withColumn(SKIPPED, F.explode(F.sequence(F.lit(0), F.col(TIMES) - 1, F.lit(RUN))))
+    return runs.withColumn(TIMES, F.explode(F.sequence(F.lit(1), F.least(F.lit(RUN), F.col(TIMES) - F.col(SKIPPED))))).select(*columns)
 
 
 def touched_keys(look: Lookup, changed: Lookup) -> DataFrame:
@@ -43,9 +53,27 @@ def touched(shape: Shape, changed: Shape) -> DataFrame:
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def _with_keys(df: DataFrame, keys: DataFrame, column: str, how: str) -> DataFrame:
-    other = keys.select(F.col(column).alias("__key"))
-    return df.join(other, F.col(column).eqNullSafe(F.col("__key")), how)
+def _staged(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the work folder and read back, for what is used several times."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _with_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose key is in ``keys``. Rows without key, where these are asked for, come apart: a plain equality lets the join share
+    the shuffle of what else goes by key."""
+    found = df.join(keys, column, "left_semi")
+    return found.unionByName(df.filter(F.col(column).isNull())) if _lost(keys, column) else found
+
+
+def _without_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    df = df.filter(F.col(column).isNotNull()) if _lost(keys, column) else df
+    return df.join(keys, column, "left_anti")
+
+
+def _lost(keys: DataFrame, column: str) -> bool:
+    return bool(keys.filter(F.col(column).isNull()).head(1))
 
 
 def narrowed(look: Lookup, base: DataFrame) -> Lookup:
@@ -57,18 +85,19 @@ def narrowed(look: Lookup, base: DataFrame) -> Lookup:
 
 def refreshed(old: DataFrame, shape: Shape, changed: Shape) -> DataFrame:
     """The star table ``old`` as it is after the changes; ``shape`` holds the sources as they are now, ``changed`` the changed rows."""
-    keys = touched(shape, changed)
-    base = _with_keys(shape.base, keys, shape.key, "left_semi")
+    keys = _staged(touched(shape, changed), "refresh-keys")
+    base = _staged(_with_keys(shape.base, keys, shape.key).select(*shape.base.columns), "refresh-base")
     again = replace(shape, base=base, lookups=tuple(narrowed(look, base) for look in shape.lookups)).build()
-    return _with_keys(old, keys.select(F.col(shape.key).cast(old.schema[shape.key].dataType).alias(shape.key)), shape.key, "left_anti").unionByName(
-        again.select(*old.columns))
+    stale = keys.select(F.col(shape.key).cast(old.schema[shape.key].dataType).alias(shape.key))
+    return _without_keys(old, stale, shape.key).select(*old.columns).unionByName(again.select(*old.columns))
 
 
 def refreshed_calendar(old: DataFrame, rows: DataFrame, changed: DataFrame, column: str) -> DataFrame:
     """A calendar after changes: days of changed rows are looked for again, all others stay."""
     day = F.to_date(column)
     days = changed.select(day.alias("__day")).filter("__day IS NOT NULL").distinct()
-    again = date_dimension(rows.join(days, day == F.col("__day"), "left_semi"), column, ordered=False)
+    held = rows.select(day.alias(column)).distinct()  # before the join, so that days meet and not rows
+    again = date_dimension(held.join(days, F.col(column) == F.col("__day"), "left_semi"), column, ordered=False)
     return old.join(days, F.col("full_date") == F.col("__day"), "left_anti").unionByName(again)
 
 

@@ -73,3 +73,24 @@ def test_dimensions_on_files(rental, tmp_path):  # noqa: F811
         assert rows(read_table(spark, f"{target}/{star}")) == rows(BUILDERS[star](clean_registry(now)))
     fresh = str(tmp_path / "fresh")
     assert {o.status for o in jobs.refresh_dimensions(now, diff, fresh)} == {"written", "skipped"}
+
+
+def test_changed_rows_are_counted_in_one_shuffle(spark, monkeypatch):
+    """Rows as often as the states differ, NULLs alike, whatever a row is repeated by."""
+    monkeypatch.setattr("starmill.operators.refresh.RUN", 3)
+    old = spark.createDataFrame([(1, "a")] * 9 + [(2, None)] * 2 + [(None, None), (3, "c"), (4, "d")], "k int, v string")
+    new = spark.createDataFrame([("a", 1)] * 2 + [(None, 2)] * 2 + [("c", 3)] + [("e", 5)] * 4, "v string, k int")
+    got = changed_rows(old, new)
+    assert rows(got) == rows(spark.createDataFrame([(1, "a")] * 7 + [(None, None), (4, "d")] + [(5, "e")] * 4, "k int, v string"))
+    assert got.columns == ["k", "v"] and changed_rows(old, old).count() == 0
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Union") == 1
+
+
+def test_rows_without_key_are_refreshed(rental):  # noqa: F811
+    """A changed row without key: its old form goes, its new one comes, and no other row is lost."""
+    lost = more(rental["customer"], (None, "NO", "KEY", None, None, "1", AT, AT))
+    for before, after in ((rental["customer"], lost), (lost, rental["customer"]), (lost, lost.withColumn("first_name", F.lit("X")))):
+        was = clean_registry({**rental, "customer": before})
+        now, diff = clean_registry({**rental, "customer": after}), clean_registry({"customer": changed_rows(before, after)})
+        assert rows(refresh("dim_customer", BUILDERS["dim_customer"](was), now, diff)) == rows(BUILDERS["dim_customer"](now))
