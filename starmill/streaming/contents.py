@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill.sinks.files import read_table, replace_partitions
 from starmill.streaming.ingest import BATCH, batch_writer, run_available
@@ -47,17 +48,33 @@ def new_contents(digests: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return first if ledger is None else first.join(ledger.select("digest").distinct(), "digest", "left_anti")
 
 
+def files_and_constants(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], dict[str, str]]:
+    """The files of a batch, and the text columns of ``columns`` that have one value in all its rows (none of them NULL)."""
+    texts = [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
+    # distinct rows first: they are hashed, while the ends of texts are sorted for
+    ends = df.select("file", *texts).distinct().groupBy("file").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in texts for f in (F.min, F.max)],
+                                  *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in texts])
+    found = (ends if texts else df.select("file").distinct()).collect()  # maxFilesPerTrigger bounds the files of a batch
+    constant = {}
+    for c in texts:
+        values = {r[f"{end}_{c}"] for r in found for end in ("min", "max")}
+        if len(values) == 1 and not any(r[f"nulls_{c}"] for r in found):
+            constant[c] = values.pop()
+    return [r["file"] for r in found], constant
+
+
 def ingest_contents(stream: DataFrame, target: str, checkpoint: str, ledger: str, *, partition_by: Sequence[str] = ("run_date",),
                     change: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Append the rows of files whose content was never loaded; a file that is delivered again under another name adds none.
 
     ``stream`` has a column ``file``. The ledger is written after the rows, by batch: a batch that is repeated replaces its rows and
-    its lines of the ledger, and does not count the latter as known.
+    its lines of the ledger, and does not count the latter as known. The rows of a batch of one day are written as they are read:
+    no task holds or sorts them.
     """
     spark, write = stream.sparkSession, batch_writer(target, partition_by, change)
 
     def on_batch(df: DataFrame, batch_id: int) -> int:
-        names = [r[0] for r in df.select("file").distinct().collect()]  # the files of one batch; maxFilesPerTrigger bounds them
+        names, constant = files_and_constants(df, [] if change else partition_by)
         if not names:
             return 0
         known = read_table(spark, ledger, LEDGER)
@@ -65,7 +82,7 @@ def ingest_contents(stream: DataFrame, target: str, checkpoint: str, ledger: str
         fresh = new_contents(file_digests(spark, names), known)
         replace_partitions(fresh, ledger + "-staged", [BATCH], constant={BATCH: batch_id})
         fresh = spark.read.schema(LEDGER).parquet(ledger + "-staged").filter(F.col(BATCH) == batch_id)
-        rows = write(df.join(fresh.select("file"), "file", "left_semi"), batch_id)
+        rows = write(df.join(fresh.select("file"), "file", "left_semi"), batch_id, constant)
         replace_partitions(fresh.drop(BATCH), ledger, [BATCH], constant={BATCH: batch_id})
         return rows
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,11 +60,12 @@ def run_available(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFr
 
 
 def batch_writer(target: str, partition_by: Sequence[str] = (), change: Callable[[DataFrame], DataFrame] | None = None,
-                 ) -> Callable[[DataFrame, int], int]:
-    """Write each batch into partitions of its own, so repeating it replaces exactly its rows."""
-    def write(df: DataFrame, batch_id: int) -> int:
+                 ) -> Callable[..., int]:
+    """Write each batch into partitions of its own, so repeating it replaces exactly its rows. ``constant`` holds partition
+    columns known to have one value in the whole batch: its rows are neither gathered nor sorted by them."""
+    def write(df: DataFrame, batch_id: int, constant: Mapping[str, object] | None = None) -> int:
         out = df.transform(change) if change else df
-        return replace_partitions(out, target, [*partition_by, BATCH], constant={BATCH: batch_id})
+        return replace_partitions(out, target, [*partition_by, BATCH], constant={**(constant or {}), BATCH: batch_id})
 
     return write
 

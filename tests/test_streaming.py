@@ -132,3 +132,22 @@ def test_digests_do_not_depend_on_splits(spark, tmp_path):
     assert {r.file.split("/")[-1]: (r.lines, r.digest) for r in contents.file_digests(cut, str(folder)).collect()} == whole
     assert whole["a.csv"] == whole["b.csv"] and whole["a.csv"][0] == 4000
     assert len({whole[n][1] for n in ("a.csv", "swapped.csv", "less.csv")}) == 3
+
+
+def test_a_batch_of_one_day_is_neither_gathered_nor_sorted(spark, tmp_path, monkeypatch):
+    put(tmp_path / "raw", "2024-01-01", "a.csv", "1,A,2024-01-01", "2,B,2024-01-01")
+    put(tmp_path / "raw", "2024-01-01", "b.csv", "3,C,2024-01-01")
+    target, checkpoint, ledger = (str(tmp_path / x) for x in ("t", "c", "l"))
+    given = []
+    replace = ingest.replace_partitions
+    monkeypatch.setattr(ingest, "replace_partitions", lambda df, *a, **k: given.append(k["constant"]) or replace(df, *a, **k))
+    assert contents.ingest_contents(films(spark, tmp_path), target, checkpoint, ledger) == 3
+    put(tmp_path / "raw", "2024-01-02", "c.csv", "4,D,2024-01-01")
+    put(tmp_path / "raw", "2024-01-03", "d.csv", "5,E,2024-01-01")
+    put(tmp_path / "raw", "nowhen", "e.csv", "6,F,2024-01-01")
+    assert contents.ingest_contents(films(spark, tmp_path), target, checkpoint, ledger) == 3
+    put(tmp_path / "raw", "nowhen", "f.csv", "7,G,2024-01-01")
+    assert contents.ingest_contents(films(spark, tmp_path), target, checkpoint, ledger) == 1
+    assert given == [{"run_date": "2024-01-01", "batch_id": 0}, {"batch_id": 1}, {"batch_id": 2}]
+    got = spark.read.parquet(target).groupBy(F.col("run_date").cast("string")).count()
+    assert rows(got) == [(None, 2), ("2024-01-01", 3), ("2024-01-02", 1), ("2024-01-03", 1)]
