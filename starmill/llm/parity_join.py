@@ -43,7 +43,8 @@ from starmill.operators.spread import spread_join
 
 WIDTH = 5
 LEAST_BITS = 128
-CACHED_WORDS = 500_000
+PIECE = 1 << 20  # bytes of a text hashed at a time
+SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; beyond that the ids are shuffled
 BLOCK = 4096  # rows of a bucket that are held at once; a block of a larger bucket has about half as many
 SEEN = 64  # sampled sets of a bucket of BLOCK
@@ -51,43 +52,79 @@ LISTED = 16  # keys by which a pair is known to be met in another bucket
 ANCHORS = 4  # first sets of its buckets that a set is compared with before all others
 BLOCK_WORDS = 1_000_000  # of the sketches compared at a time
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-
-
-class Words(dict):
-    """64-bit hashes of the words met lately in this process."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-WORDS = Words()
+S27, S29, S30, S31 = (np.uint64(x) for x in (27, 29, 30, 31))
+PLACES = 64  # of a word whose bytes' values are looked up
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * C2
-        x = (x ^ (x >> np.uint64(27))) * C3
-    return x ^ (x >> np.uint64(31))
+    y = x >> S30
+    y ^= x
+    y *= C2
+    z = y >> S27
+    y ^= z
+    y *= C3
+    np.right_shift(y, S31, out=z)
+    y ^= z
+    return y
+
+
+def _byte_values(code: np.ndarray) -> np.ndarray:
+    """Value of a byte (the low 8 bits of ``code``) at a place of its word (the others); white space counts nothing."""
+    return np.where(SPACES[code & 255], np.uint64(0), mix(code.astype(np.uint64) + C1))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the words of ``text``, in order: sums of mixed bytes and their places in the word."""
+    raw = np.frombuffer(text.encode().lower(), np.uint8)  # bytes: only A-Z and the six ASCII white spaces
+    gap = SPACES.take(raw)
+    starts = ~gap
+    starts[1:] &= gap[:-1]
+    first = np.flatnonzero(starts)
+    if not len(first):
+        return np.empty(0, np.uint64)
+    if len(raw) <= PIECE:
+        return _hashed(raw, first)
+    cuts = first[np.searchsorted(first, np.arange(0, len(raw), PIECE)[1:], "right").clip(1) - 1]  # at words, a piece at a time
+    cuts = np.unique(np.concatenate((first[:1], cuts, [len(raw)])))
+    return np.concatenate([_hashed(raw[a:b], first[np.searchsorted(first, a):np.searchsorted(first, b)] - a) for a, b in zip(cuts, cuts[1:])])
+
+
+def _hashed(raw: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashes of the words of ``raw`` that start at ``first``."""
+    length = np.empty(len(first), np.int64)
+    length[:-1] = first[1:] - first[:-1]
+    length[-1] = len(raw) - first[-1]
+    code = np.arange(len(raw) - first[0])
+    code -= np.repeat(first - first[0], length)
+    code <<= 8
+    code += raw[first[0]:]
+    values = byte_table().take(code) if length.max() <= PLACES else _byte_values(code)
+    return np.add.reduceat(values, first - first[0])
+
+
+@lru_cache(maxsize=1)
+def byte_table() -> np.ndarray:
+    return _byte_values(np.arange(PLACES << 8))
 
 
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
     """The set of ``text``: sorted distinct 64-bit hashes."""
-    words = text.encode().lower().split()  # bytes: only A-Z and the six ASCII white spaces
-    n = len(words)
+    values = word_hashes(text)
+    n = len(values)
     if not n:
-        return np.empty(0, np.uint64)
-    values = np.fromiter(map(WORDS.__getitem__, words), np.uint64, n)
+        return values
     span = min(n, width)
-    with np.errstate(over="ignore"):
-        out = values[:n - span + 1] + np.uint64(span)
-        for k in range(1, span):
-            out = (out ^ (out >> np.uint64(29))) * C1 + values[k:n - span + 1 + k]
-    out = np.sort(mix(out))
-    return out[np.concatenate(([True], out[1:] != out[:-1]))]
+    out = values[:n - span + 1] + np.uint64(span)
+    for k in range(1, span):
+        out ^= out >> S29
+        out *= C1
+        out += values[k:n - span + 1 + k]
+    out = mix(out)
+    out.sort()
+    new = np.ones(len(out), bool)
+    np.not_equal(out[1:], out[:-1], out=new[1:])
+    return out[new]
 
 
 def set_id(members: np.ndarray) -> int:
@@ -134,17 +171,26 @@ def published(members: np.ndarray) -> np.ndarray:
 
 def _keys(members: np.ndarray, band: int, words: int, differ: int) -> np.ndarray:
     """The first ``differ`` + 1 non-empty words of the sketch; all words if there are not as many."""
-    with np.errstate(over="ignore"):
-        place = ((members >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)  # sorted, as the members are
-        first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        value = np.bitwise_xor.reduceat(mix(members + C1), first)
-        where = place[first]
-        keys = mix(value ^ mix(where + np.uint64(band << 40)))
-        if len(first) <= differ:
-            empty = np.setdiff1d(np.arange(words, dtype=np.uint64), where)
-            return np.concatenate((keys, mix(mix(empty + np.uint64(band << 40)))))
-    held = np.diff(np.append(first, len(members)))
-    return keys[np.lexsort((keys, -held))[:differ + 1]]
+    place = members >> np.uint64(32)
+    place *= np.uint64(words)
+    place >>= np.uint64(32)  # sorted, as the members are
+    new = np.ones(len(place), bool)
+    np.not_equal(place[1:], place[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    value = np.bitwise_xor.reduceat(mix(members + C1), first)
+    where = place[first]
+    held = np.empty(len(first), np.int64)
+    held[:-1] = first[1:] - first[:-1]
+    held[-1] = len(members) - first[-1]
+    value ^= mix(where + np.uint64(band << 40))
+    # a key starts with the number of members, the most first, so the order of keys is that of the words
+    keys = mix(value) >> np.uint64(6)
+    keys |= (63 - np.minimum(held, 63)).astype(np.uint64) << np.uint64(58)
+    if len(first) <= differ:
+        empty = np.ones(words, bool)
+        empty[where.astype(np.int64)] = False
+        return np.concatenate((keys, mix(mix(np.flatnonzero(empty).astype(np.uint64) + np.uint64(band << 40)))))
+    return np.partition(keys, differ)[:differ + 1]
 
 
 def describe(docs: DataFrame, width: int, every: int) -> DataFrame:
@@ -166,7 +212,6 @@ def describe(docs: DataFrame, width: int, every: int) -> DataFrame:
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
                 pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "sid", "bits", "keys"])
-        WORDS.clear()
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, bits binary, keys array<long>")
 
@@ -194,7 +239,6 @@ def publish(docs: DataFrame, width: int) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "sid"])
-        WORDS.clear()
 
     return docs.mapInArrow(run, "key long, sid long")
 
@@ -225,6 +269,11 @@ def meet(published_words: DataFrame, hot: DataFrame) -> DataFrame:
 
     def run(batches):
         for part, key, sid, top, split in runs(batches, ["part", "key", "sid", "top", "split"]):
+            same = np.concatenate(([False], part[1:] == part[:-1], [False]))
+            several = same[1:] | same[:-1] | split  # most rows are alone, the others are few to sort
+            part, key, sid, top, split = (x[several] for x in (part, key, sid, top, split))
+            order = np.lexsort((sid, key, part))
+            part, key, sid, top, split = (x[order] for x in (part, key, sid, top, split))
             new = np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))
             part, key, sid, top, split = (x[new] for x in (part, key, sid, top, split))
             first = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]))))
@@ -242,9 +291,9 @@ def meet(published_words: DataFrame, hot: DataFrame) -> DataFrame:
         dealt = join.select(
             F.when(F.col("parts").isNull(), F.col("key")).otherwise(part).alias("part"), "key", "sid",
             F.coalesce("anchor", F.lit(0)).alias("top"), F.col("parts").isNotNull().alias("split"))
-        dealt = dealt.repartition("part").sortWithinPartitions("part", "key", "sid")
+        dealt = dealt.repartition("part").sortWithinPartitions("part")  # a sort by one number is by its digits
     else:
-        dealt = published_words.repartition("key").sortWithinPartitions("key", "sid").select(
+        dealt = published_words.repartition("key").sortWithinPartitions("key").select(
             F.col("key").alias("part"), "key", "sid", F.lit(0).cast("long").alias("top"), F.lit(False).alias("split"))
     return dealt.mapInArrow(run, "key long, sid long, anchor long")
 
@@ -384,7 +433,6 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
             found = [(set_id(s), s.tobytes()) for i, s in zip(ids, own) if len(s) and (i is None or set_id(s) == i)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()),
                                               pa.array([x[1] for x in found], pa.binary())], names=["sid", "members"])
-        WORDS.clear()
 
     def run(batches):
         for batch in by_bytes(batches, "x"):

@@ -318,3 +318,23 @@ def test_graph_recall_and_full_beams():
     assert np.mean([len(set(a[:64]) & set(b)) / 10 for a, b in zip(ids[:1500], exact[:1500])]) >= 0.9
     query, node, recall = hnsw.audited(graph, graph.unit, 0.93)
     assert recall >= hnsw.RECALL and len(query) >= 0.99 * (near >= 0.93).sum()  # 500 links each: beams are widened
+
+
+def test_word_hashes_are_those_of_words(monkeypatch):
+    """One hash for each word, equal for equal words only, whatever white space is around it and however the text is cut."""
+    text = "Aa aA  b\x0bbb é \0 q" + "q" * 70 + " " + "x" * 64 + "\ty" + "x" * 64 + " aa\n" * 9
+    words = text.encode().lower().split()
+    hashes = parity_join.word_hashes(text)
+    assert len(hashes) == len(words) and len(set(hashes.tolist())) == len(set(words)) == len(set(zip(words, hashes.tolist())))
+    for piece in (1, 7, 50):
+        monkeypatch.setattr(parity_join, "PIECE", piece)
+        assert (parity_join.word_hashes(text) == hashes).all()
+    assert len(parity_join.word_hashes("")) == len(parity_join.word_hashes(" \n ")) == 0
+
+
+def test_keys_come_in_the_order_of_the_words():
+    """Words with more members are published first: keys are ordered alike for all sets."""
+    members = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 400).astype(np.uint64))
+    every = np.sort(parity_join._keys(members, 12, 160, 158))
+    for differ in (5, 60):
+        assert (np.sort(parity_join._keys(members, 12, 160, differ)) == every[:differ + 1]).all()
