@@ -271,6 +271,8 @@ def meet(published_words: DataFrame, hot: DataFrame) -> DataFrame:
         for part, key, sid, top, split in runs(batches, ["part", "key", "sid", "top", "split"]):
             same = np.concatenate(([False], part[1:] == part[:-1], [False]))
             several = same[1:] | same[:-1] | split  # most rows are alone, the others are few to sort
+            if not several.any():
+                continue
             part, key, sid, top, split = (x[several] for x in (part, key, sid, top, split))
             order = np.lexsort((sid, key, part))
             part, key, sid, top, split = (x[order] for x in (part, key, sid, top, split))

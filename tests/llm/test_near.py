@@ -338,3 +338,12 @@ def test_keys_come_in_the_order_of_the_words():
     every = np.sort(parity_join._keys(members, 12, 160, 158))
     for differ in (5, 60):
         assert (np.sort(parity_join._keys(members, 12, 160, differ)) == every[:differ + 1]).all()
+
+
+def test_buckets_of_one_set_are_left_out(spark):
+    """Also where a task has no others; the rows of a bucket come in any order."""
+    none = spark.createDataFrame([], "key long, parts long, anchor long")
+    alone = spark.createDataFrame([(k, 100 + k) for k in range(50)], "key long, sid long")
+    assert parity_join.meet(alone, none).collect() == []
+    more = alone.union(spark.createDataFrame([(7, 9), (7, 200), (7, 9), (8, 108)], "key long, sid long"))
+    assert sorted(map(tuple, parity_join.meet(more, none).collect())) == [(7, 9, 9), (7, 107, 9), (7, 200, 9)]
